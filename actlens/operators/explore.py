@@ -15,8 +15,9 @@ from actlens.functions import labels as L
 from actlens.functions.exprs import exact_pct
 
 
-def count_by(df: DataFrame, key: str, name: str = "count", ordered: bool = True) -> DataFrame:
-    """AG1/AG3-AG6: rows per value of ``key``; most first, ties by key."""
+def count_by(df: DataFrame, key: str, name: str = "count", ordered: bool = False) -> DataFrame:
+    """AG1/AG3-AG6: rows per value of ``key``; ``ordered=True`` sorts most
+    first, ties by key (a global sort: only when the ranking is the result)."""
     out = df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
     return out.orderBy(F.desc(name), F.asc(key)) if ordered else out
 
@@ -25,7 +26,10 @@ def with_share(counts: DataFrame, count_col: str = "count", name: str = "percent
                digits: int = L.SHARE_DIGITS) -> DataFrame:
     """AG2/AG7: add each row's percent of the column total (half-up digits)."""
     total = counts.select(F.sum(count_col)).scalar()
-    return counts.withColumn(name, exact_pct(F.col(count_col), total, digits))
+    # Bind the subquery once as a column; the rounding refers to it several times.
+    return counts.withColumn("_total", total).withColumn(
+        name, exact_pct(F.col(count_col), F.col("_total"), digits)
+    ).drop("_total")
 
 
 def user_activity(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:

@@ -89,7 +89,16 @@ def activity_from_events(
     ``sessions=False`` skips sessionisation (and the ``session_id`` column)
     for analyses that do not read it.
     """
-    k = _k()
+    # Rows with a null source field are incomplete (any derived column would
+    # be null): dropping them here is the cleaning step, decided on the five
+    # source columns -- pushed to the parquet scan -- rather than on every
+    # derived column, which would force all derivations for every query.
+    source = ["event_id", "ts", "user_id", "event_type", "props"]
+    complete = F.lit(True)
+    for c in source:
+        complete = complete & F.col(c).isNotNull()
+    events = events.filter(complete).withColumn("k", _k()).filter(F.col("k").isNotNull())
+    k = F.col("k")
     device = F.element_at(F.array(*[F.lit(d) for d in DEVICES]), (k % 3 + 1).cast("int"))
     act = events.select(
         "event_id",
@@ -101,7 +110,7 @@ def activity_from_events(
         F.hour("ts").cast("int").alias("hour"),
         F.date_format("ts", "EEEE").alias("day_of_week"),
         device.alias("device"),
-        k.alias("k"),
+        "k",
     )
     if sessions:
         act = gap_sessions(act, "user_id", "time", gap_seconds, "session_no").withColumn(
