@@ -21,9 +21,14 @@ def count_of(action: str, action_col: str = "action") -> Column:
     return F.count_if(F.col(action_col) == F.lit(action))
 
 
+def _nonzero(c: Column) -> Column:
+    """The divisor, or null when it is 0 (ANSI mode raises on x % 0)."""
+    return F.when(c != 0, c)
+
+
 def floor_div(num: str | Column, den: str | Column) -> Column:
     """Exact floor(num / den) for BIGINT operands, den > 0 (null when den is 0)."""
-    a, b = col(num).cast("long"), col(den).cast("long")
+    a, b = col(num).cast("long"), _nonzero(col(den).cast("long"))
     exact_multiple = (a - F.pmod(a, b)).cast("decimal(38,0)")
     return F.try_divide(exact_multiple, b.cast("decimal(38,0)")).cast("long")
 
@@ -35,7 +40,7 @@ def half_up_div(num: str | Column, den: str | Column) -> Column:
 
 def half_even_div(num: str | Column, den: str | Column) -> Column:
     """num / den rounded half-to-even (Python's ``round``), exactly."""
-    a, b = col(num).cast("long"), col(den).cast("long")
+    a, b = col(num).cast("long"), _nonzero(col(den).cast("long"))
     q, r2 = floor_div(a, b), F.pmod(a, b) * 2
     return q + F.when((r2 > b) | ((r2 == b) & (F.pmod(q, F.lit(2)) == 1)), 1).otherwise(0)
 

@@ -1,0 +1,31 @@
+"""Every registered query against its oracle SQL (DuckDB) on sf0.001, and the
+driver entry point."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+import __spark_entry__ as E
+from tools.oracle_check import compare
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+
+
+def test_every_query_has_oracle_sql():
+    assert set(E.queries()) == set(E.oracle_sql())
+    assert len(E.queries()) >= 50
+
+
+def test_entry_runs(spark):
+    df = E.entry(spark)
+    rows = df.collect()
+    assert len(rows) == 1 and df.columns[:3] == ["total_events", "total_users", "total_sessions"]
+
+
+def test_queries_match_oracle(spark):
+    res = compare(spark, SF, verbose=False)
+    bad = {k: v for k, v in res.items() if v[0] != "ok"}
+    assert not bad, bad
