@@ -7,6 +7,7 @@ same numbers with bounded work per task:
 
 1. range-partition on (key, order...): a hot key is cut into many ranges.
    The assignment is materialised once with a reliable ``checkpoint()``
+   (the checkpoint holds every input column: callers prune first)
    (in the session's shared checkpoint folder): range bounds come from a
    sample, and the numbering and the summary below must both see the very
    same ranges -- also after an executor is lost;
@@ -44,7 +45,7 @@ def running_total_within(
     rows of each ``keys`` group in ``order``, inclusive of the row itself.
     With no weight this is the 1-based position (``row_number``)."""
     keys, order = list(keys), list(order)
-    step = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
+    step = F.lit(1).cast("long") if weight is None else F.coalesce(F.col(weight).cast("long"), F.lit(0))
     frame = Window.unboundedPreceding, Window.currentRow
     if not skew_safe:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
@@ -59,11 +60,15 @@ def running_total_within(
     local = ranged.withColumn("_local", F.sum(step).over(w_local).cast("long"))
 
     # One row per non-empty range partition: its first and last key, and the
-    # total of the last key inside it.
-    summary = local.groupBy("_pid").agg(
-        F.min(key).alias("_first"),
-        F.max(key).alias("_last"),
-        F.max_by("_local", F.struct(*keys, *order)).alias("_n_last"),
+    # total of the last key inside it.  Built by a two-phase aggregate on the
+    # checkpointed rows (not from the window output, which would shuffle all
+    # rows a second time).
+    per_key = ranged.groupBy("_pid", *keys).agg(F.sum(step).alias("_tot"))
+    pk = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_k"))
+    summary = per_key.groupBy("_pid").agg(
+        F.min(pk).alias("_first"),
+        F.max(pk).alias("_last"),
+        F.max_by("_tot", pk).alias("_n_last"),
     )
     # This table has one row per partition, so ordering it in one window is
     # bounded by the partition count, not by the data.

@@ -36,6 +36,7 @@ def session_position(df: DataFrame, keys: Sequence[str] = ("session_id",), skew_
 
 def session_events(df: DataFrame, chunk_size: int = CHUNK_SIZE, skew_safe: bool = True) -> DataFrame:
     """WN3: per (session, user, chunk) the array of (time, action) in order."""
+    df = df.select(*SESSION, *ORDER, *TIEBREAK, "action")
     pos = ordinal_within(df, SESSION, ORDER + TIEBREAK, "_pos", skew_safe)
     pos = pos.withColumn("chunk", ((F.col("_pos") - 1) / F.lit(chunk_size)).cast("int"))
     grouped = pos.groupBy(*SESSION, "chunk").agg(

@@ -220,11 +220,13 @@ def anomaly_report(spark, sf):
 
 # ----------------------------------------------------- session windows
 def session_rank(spark, sf):
-    return sq.session_rank(_act(spark, sf, sessions=True)).select("event_id", "session_id", "action_rank")
+    act = _act(spark, sf, sessions=True).select("event_id", "session_id", "time")
+    return sq.session_rank(act).select("event_id", "session_id", "action_rank")
 
 
 def session_row_number(spark, sf):
-    return sq.session_position(_act(spark, sf, sessions=True)).select("event_id", "session_id", "rn")
+    act = _act(spark, sf, sessions=True).select("event_id", "session_id", "time")
+    return sq.session_position(act).select("event_id", "session_id", "rn")
 
 
 def session_events(spark, sf):
