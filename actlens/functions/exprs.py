@@ -68,6 +68,16 @@ def parse_timestamp_ntz(c: str | Column, fmt: str = L.TIME_FORMAT) -> Column:
 
 
 def epoch_micros(c: str | Column) -> Column:
-    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ, free of time zones."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("MICROSECOND", epoch, col(c))
+    """Microseconds since 1970-01-01 00:00 of a wall-clock (NTZ) timestamp.
+
+    Built from the date and clock fields, which need no time zone;
+    ``timestamp_diff`` / ``unix_micros`` would first turn the value into an
+    instant in the session zone and shift it around daylight-saving changes."""
+    c = col(c)
+    seconds = F.date_part(F.lit("SECOND"), c)  # seconds with microsecond fraction
+    return (
+        F.unix_date(F.to_date(c)).cast("long") * F.lit(86_400_000_000)
+        + F.hour(c).cast("long") * F.lit(3_600_000_000)
+        + F.minute(c).cast("long") * F.lit(60_000_000)
+        + (seconds * F.lit(1_000_000)).cast("long")
+    )
