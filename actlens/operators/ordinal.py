@@ -3,14 +3,17 @@
 ``row_number() OVER (PARTITION BY key ORDER BY ...)`` hash-partitions on the
 key, so one hot key -- a session holding a third of all events -- lands in a
 single task that must sort all of it.  :func:`ordinal_within` computes the
-same numbers with bounded work per task:
+same numbers with bounded work per task.  Group sizes are counted first (a
+two-phase aggregate); ordinary groups are numbered by one plain window, and
+only the hot groups (more than ``hot_rows`` rows; there are at most
+rows / hot_rows of them) take the range-partitioned path:
 
 1. range-partition on (key, order...): a hot key is cut into many ranges.
-   The assignment is materialised once with a reliable ``checkpoint()``
-   (the checkpoint holds every input column: callers prune first)
-   (in the session's shared checkpoint folder): range bounds come from a
-   sample, and the numbering and the summary below must both see the very
-   same ranges -- also after an executor is lost;
+   The assignment is materialised once with a reliable ``checkpoint()`` in
+   the session's shared checkpoint folder: range bounds come from a sample,
+   and the numbering and the summary below must both see the very same
+   ranges -- also after an executor is lost.  (The checkpoint holds every
+   input column: callers prune first.)
 2. number rows inside each (range partition, key) -- bounded groups;
 3. per range partition keep (first key, last key, rows of the last key):
    one row per partition, a table as small as the partition count;
@@ -32,31 +35,25 @@ from pyspark.sql import functions as F
 from actlens.sources.scratch import checkpoint_dir
 
 
-def running_total_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    out: str,
-    weight: str | None = None,
-    skew_safe: bool = True,
-    partitions: int | None = None,
-) -> DataFrame:
-    """Add ``out`` = running total of ``weight`` (1 per row when None) over the
-    rows of each ``keys`` group in ``order``, inclusive of the row itself.
-    With no weight this is the 1-based position (``row_number``)."""
-    keys, order = list(keys), list(order)
-    step = F.lit(1).cast("long") if weight is None else F.coalesce(F.col(weight).cast("long"), F.lit(0))
-    frame = Window.unboundedPreceding, Window.currentRow
-    if not skew_safe:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
-        return df.withColumn(out, F.sum(step).over(w).cast("long"))
+# Groups with more rows than this take the range-partitioned path; smaller
+# groups are numbered by one window, where a task holds at most this many.
+HOT_GROUP_ROWS = 1_000_000
+# The hot-key marker is broadcast up to this many keys (it has at most
+# rows / HOT_GROUP_ROWS keys); beyond it, a shuffle join is used.
+MAX_BROADCAST_HOT_KEYS = 200_000
 
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+def _window_total(df: DataFrame, keys: list, order: list, out: str, step) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.withColumn(out, F.sum(step).over(w).cast("long"))
+
+
+def _ranged_total(df: DataFrame, keys: list, order: list, out: str, step, n: int) -> DataFrame:
     key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_k"))
     checkpoint_dir(df.sparkSession)
     ranged = df.repartitionByRange(n, *keys, *order).withColumn("_pid", F.spark_partition_id())
     ranged = ranged.checkpoint(eager=True)
-    w_local = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(*frame)
+    w_local = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_local", F.sum(step).over(w_local).cast("long"))
 
     # One row per non-empty range partition: its first and last key, and the
@@ -64,11 +61,10 @@ def running_total_within(
     # checkpointed rows (not from the window output, which would shuffle all
     # rows a second time).
     per_key = ranged.groupBy("_pid", *keys).agg(F.sum(step).alias("_tot"))
-    pk = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_k"))
     summary = per_key.groupBy("_pid").agg(
-        F.min(pk).alias("_first"),
-        F.max(pk).alias("_last"),
-        F.max_by("_tot", pk).alias("_n_last"),
+        F.min(key).alias("_first"),
+        F.max(key).alias("_last"),
+        F.max_by("_tot", key).alias("_n_last"),
     )
     # This table has one row per partition, so ordering it in one window is
     # bounded by the partition count, not by the data.
@@ -93,6 +89,45 @@ def running_total_within(
     return joined.withColumn(out, total).drop("_pid", "_local", "_first", "_carry")
 
 
+def running_total_within(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    out: str,
+    weight: str | None = None,
+    skew_safe: bool = True,
+    partitions: int | None = None,
+    hot_rows: int = HOT_GROUP_ROWS,
+) -> DataFrame:
+    """Add ``out`` = running total of ``weight`` (1 per row when None) over the
+    rows of each ``keys`` group in ``order``, inclusive of the row itself.
+    With no weight this is the 1-based position (``row_number``).
+
+    ``skew_safe`` (default): group sizes are counted first (two-phase
+    aggregate).  Groups of at most ``hot_rows`` rows are numbered by a plain
+    window; larger groups -- at most rows / hot_rows of them -- are marked
+    through a size-checked join and numbered on the range-partitioned path.
+    No task ever holds more than ``hot_rows`` rows of one group."""
+    keys, order = list(keys), list(order)
+    step = F.lit(1).cast("long") if weight is None else F.coalesce(F.col(weight).cast("long"), F.lit(0))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not skew_safe:
+        return _window_total(df, keys, order, out, step)
+    if not keys:  # one global group: always the range-partitioned path
+        return _ranged_total(df, keys, order, out, step, n)
+
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = sizes.filter(F.col("_rows") > hot_rows).select(*keys).withColumn("_hot", F.lit(True))
+    n_hot = hot.count()
+    if n_hot == 0:
+        return _window_total(df, keys, order, out, step)
+    marker = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_KEYS else hot
+    marked = df.join(marker, keys, "left")
+    normal = _window_total(marked.filter(F.col("_hot").isNull()).drop("_hot"), keys, order, out, step)
+    heavy = _ranged_total(marked.filter(F.col("_hot")).drop("_hot"), keys, order, out, step, n)
+    return normal.unionByName(heavy)
+
+
 def ordinal_within(
     df: DataFrame,
     keys: Sequence[str],
@@ -100,10 +135,11 @@ def ordinal_within(
     out: str = "position",
     skew_safe: bool = True,
     partitions: int | None = None,
+    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Add ``out`` = 1-based position of each row within its ``keys`` group in
     ``order`` (ascending; must be a total order within a group)."""
-    return running_total_within(df, keys, order, out, None, skew_safe, partitions)
+    return running_total_within(df, keys, order, out, None, skew_safe, partitions, hot_rows)
 
 
 def rank_within(
@@ -113,6 +149,7 @@ def rank_within(
     tiebreak: Sequence[str],
     out: str = "rank",
     skew_safe: bool = True,
+    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """``rank()`` within ``keys`` by ``order``: rows tied on ``order`` share the
     position of the first of them.  Built on :func:`ordinal_within`; the tie
@@ -121,6 +158,6 @@ def rank_within(
     if not skew_safe:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(out, F.rank().over(w).cast("long"))
-    positioned = ordinal_within(df, keys, order + tiebreak, "_pos")
+    positioned = ordinal_within(df, keys, order + tiebreak, "_pos", hot_rows=hot_rows)
     firsts = positioned.groupBy(*keys, *order).agg(F.min("_pos").alias(out))
     return positioned.join(firsts, keys + order).drop("_pos")

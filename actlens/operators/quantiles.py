@@ -16,17 +16,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from actlens.operators.ordinal import running_total_within
+from actlens.operators.ordinal import HOT_GROUP_ROWS, running_total_within
 
 
 def exact_quantiles(long: DataFrame, probs: Sequence[float], key: str = "column_name",
-                    value: str = "value") -> DataFrame:
+                    value: str = "value", hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Quantiles of ``value`` per ``key`` for a long (key, value) frame.
 
     Returns (key, prob, quantile); nulls are ignored; a key with no value
     yields no rows."""
     counts = long.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_cnt"))
-    cum = running_total_within(counts, [key], [value], "_cum", weight="_cnt")
+    cum = running_total_within(counts, [key], [value], "_cum", weight="_cnt", hot_rows=hot_rows)
     n = cum.groupBy(key).agg(F.max("_cum").alias("_n"))
     probs_col = F.array(*[F.lit(float(p)) for p in probs])
     # (key, prob, lo, hi, frac) -- one row per key and probability.

@@ -30,9 +30,9 @@ def skewed(spark):
     return spark.createDataFrame(skewed_rows(), "id long, key string, t int, w int")
 
 
-@pytest.mark.parametrize("partitions", [1, 3, 16])
-def test_ordinal_equals_row_number(spark, skewed, partitions):
-    got = ordinal_within(skewed, ["key"], ["t", "id"], "pos", partitions=partitions)
+@pytest.mark.parametrize("partitions,hot_rows", [(1, 100), (3, 100), (16, 100), (16, 10), (8, 10_000_000)])
+def test_ordinal_equals_row_number(spark, skewed, partitions, hot_rows):
+    got = ordinal_within(skewed, ["key"], ["t", "id"], "pos", partitions=partitions, hot_rows=hot_rows)
     ref = skewed.withColumn("ref", F.row_number().over(Window.partitionBy("key").orderBy("t", "id")))
     joined = got.join(ref.select("id", "ref"), "id")
     assert joined.count() == skewed.count()
@@ -45,7 +45,7 @@ def test_hot_key_is_split_across_range_partitions(spark, skewed):
 
 
 def test_running_total_equals_window_sum(spark, skewed):
-    got = running_total_within(skewed, ["key"], ["t", "id"], "run", weight="w", partitions=7)
+    got = running_total_within(skewed, ["key"], ["t", "id"], "run", weight="w", partitions=7, hot_rows=50)
     w = Window.partitionBy("key").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
     ref = skewed.withColumn("ref", F.sum("w").over(w))
     assert got.join(ref.select("id", "ref"), "id").filter(F.col("run") != F.col("ref")).count() == 0
@@ -60,19 +60,20 @@ def test_global_ordinal_without_keys(spark, skewed):
 
 
 def test_rank_equals_window_rank(spark, skewed):
-    got = rank_within(skewed, ["key"], ["t"], ["id"], "rk")
+    got = rank_within(skewed, ["key"], ["t"], ["id"], "rk", hot_rows=100)
     ref = skewed.withColumn("ref", F.rank().over(Window.partitionBy("key").orderBy("t")))
     assert got.join(ref.select("id", "ref"), "id").filter(F.col("rk") != F.col("ref")).count() == 0
 
 
-def test_exact_quantiles_match_numpy(spark):
+@pytest.mark.parametrize("hot_rows", [5, 1_000_000])
+def test_exact_quantiles_match_numpy(spark, hot_rows):
     rnd = np.random.default_rng(3)
     a = rnd.integers(0, 40, 1001).astype(float)
     b = rnd.normal(size=57)
     rows = [("a", float(x)) for x in a] + [("b", float(x)) for x in b] + [("b", None)]
     long = spark.createDataFrame(rows, "column_name string, value double")
     probs = [0.0, 0.25, 0.5, 0.75, 1.0, 0.9]
-    got = {(r.column_name, r.prob): r.quantile for r in exact_quantiles(long, probs).collect()}
+    got = {(r.column_name, r.prob): r.quantile for r in exact_quantiles(long, probs, hot_rows=hot_rows).collect()}
     for name, arr in (("a", a), ("b", b)):
         for p in probs:
             assert got[(name, p)] == pytest.approx(np.quantile(arr, p), rel=1e-12, abs=1e-12)
