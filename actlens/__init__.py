@@ -15,7 +15,7 @@ from actlens.operators.prepare import (
 )
 from actlens.operators.report import describe_all, schema_profile, summary
 from actlens.operators.sequence import (
-    complete_sessions, session_events, session_position, session_rank, session_sequences,
+    complete_session_count, complete_sessions, session_events, session_position, session_rank, session_sequences,
 )
 from actlens.sources import activity, read_activity, write_csv
 
@@ -26,6 +26,6 @@ __all__ = [
     "action_matrix", "conversion", "funnel_reach", "funnel_stage", "funnel_stage_summary",
     "stacked_actions", "add_calendar", "cleaning_report", "coverage", "domains", "drop_incomplete",
     "filter_activity", "parse_time", "persist_prepared", "prepare", "preview", "search_users", "selection",
-    "describe_all", "schema_profile", "summary", "complete_sessions", "session_events", "session_position",
+    "describe_all", "schema_profile", "summary", "complete_session_count", "complete_sessions", "session_events", "session_position",
     "session_rank", "session_sequences", "activity", "read_activity", "write_csv",
 ]

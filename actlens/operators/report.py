@@ -65,14 +65,17 @@ def _kind(dtype: T.DataType) -> str:
     return "text"
 
 
-def describe_all(df: DataFrame, display: bool = False) -> DataFrame:
+def describe_all(df: DataFrame, display: bool = False, approx: bool = False,
+                 accuracy: int = 10_000) -> DataFrame:
     """AG14: pandas ``describe(include="all")`` as one row per column.
 
     count for every column; unique, top (most frequent, lowest value on
     ties) and freq for text; mean, min, 25/50/75 % and max for numeric and
     datetime columns (datetimes as epoch seconds); std (sample) for numeric
-    only.  Quantiles are exact and interpolated.  ``display=True`` renders
-    every cell as text with missing cells shown as an em dash."""
+    only.  Quantiles are exact and interpolated; ``approx=True`` uses
+    ``percentile_approx`` sketches instead (no interpolation, bounded memory,
+    one pass).  ``display=True`` renders every cell as text with missing
+    cells shown as an em dash."""
     kinds = {f.name: _kind(f.dataType) for f in df.schema.fields}
     text_cols = [c for c, k in kinds.items() if k == "text"]
     num_cols = [c for c, k in kinds.items() if k != "text"]
@@ -120,10 +123,15 @@ def describe_all(df: DataFrame, display: bool = False) -> DataFrame:
             F.min("value").alias("min"),
             F.max("value").alias("max"),
         )
-        qs = exact_quantiles(long.select("column_name", "value"), QUANTILES).groupBy("column_name").agg(*[
-            F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name)
-            for p, name in zip(QUANTILES, ("p25", "p50", "p75"))
-        ])
+        if approx:
+            qa = F.percentile_approx("value", list(QUANTILES), accuracy)
+            qs = long.groupBy("column_name").agg(qa.alias("_q")).select(
+                "column_name", *[F.col("_q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))])
+        else:
+            qs = exact_quantiles(long.select("column_name", "value"), QUANTILES).groupBy("column_name").agg(*[
+                F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name)
+                for p, name in zip(QUANTILES, ("p25", "p50", "p75"))
+            ])
         datetime_cols = [c for c in num_cols if kinds[c] == "datetime"]
         std = F.when(F.col("column_name").isin(*datetime_cols), F.lit(None)).otherwise(F.col("std")) \
             if datetime_cols else F.col("std")

@@ -76,3 +76,8 @@ def complete_sessions(df: DataFrame, match: str = "exact") -> DataFrame:
         raise ValueError(f"match must be 'exact' or 'substring', not {match!r}")
     flags = df.groupBy(*SESSION).agg(*[h.alias(f"_h{i}") for i, h in enumerate(has)])
     return flags.filter(F.col("_h0") & F.col("_h1") & F.col("_h2")).select(*SESSION)
+
+
+def complete_session_count(df: DataFrame, match: str = "exact") -> DataFrame:
+    """WN5: the number of complete sessions, as a one-row frame."""
+    return complete_sessions(df, match).agg(F.count(F.lit(1)).alias("complete_sessions"))

@@ -247,6 +247,10 @@ def complete_funnel_sessions(spark, sf):
     return sq.complete_sessions(_act(spark, sf, sessions=True))
 
 
+def complete_funnel_count(spark, sf):
+    return sq.complete_session_count(_act(spark, sf, sessions=True))
+
+
 # --------------------------------------------------------------- funnel
 def funnel_stage(spark, sf):
     return fn.funnel_stage(fn.action_matrix(_weekly(spark, sf), by=GRAIN))
@@ -312,6 +316,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         summary_kpis, describe_all,
         peak_hour, peak_weekday, top_action, top_users, behavior_report, anomaly_report,
         session_rank, session_row_number, session_events, session_sequences, complete_funnel_sessions,
+        complete_funnel_count,
         funnel_stage, funnel_stage_summary, funnel_reach, funnel_percent_initial, funnel_conversion,
         stacked_actions,
         view_purchase_ratio, anomaly_flag, flagged_users, anomaly_totals, flag_counts, behavior_type,

@@ -250,6 +250,10 @@ def oracle_sql() -> dict[str, str]:
         "complete_funnel_sessions": """SELECT session_id, user_id FROM sess GROUP BY session_id, user_id
                  HAVING count(*) FILTER (WHERE action = 'view') > 0 AND count(*) FILTER (WHERE action = 'cart') > 0
                     AND count(*) FILTER (WHERE action = 'purchase') > 0""",
+        "complete_funnel_count": """SELECT count(*) AS complete_sessions FROM (
+                 SELECT session_id FROM sess GROUP BY session_id, user_id
+                 HAVING count(*) FILTER (WHERE action = 'view') > 0 AND count(*) FILTER (WHERE action = 'cart') > 0
+                    AND count(*) FILTER (WHERE action = 'purchase') > 0)""",
         # funnel
         "funnel_stage": f"""SELECT user_id, week, views AS view_count, carts AS cart_count, purchases AS purchase_count,
                  CASE WHEN purchases > 0 THEN {_q(L.STAGE_COMPLETE)} WHEN carts > 0 THEN {_q(L.STAGE_PARTIAL)}

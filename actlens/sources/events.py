@@ -73,7 +73,7 @@ def gap_sessions(
         F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long"),
     ).select(user_col, "_bucket", out_col)
 
-    return with_bucket.join(numbered, [user_col, "_bucket"], "inner").drop("_us", "_bucket")
+    return with_bucket.join(numbered, [user_col, "_bucket"], "left").drop("_us", "_bucket")
 
 
 def activity_from_events(

@@ -93,6 +93,7 @@ def test_sequences(act):
     assert s105 == arrow.join(["view", "view", "cart", "cart", "purchase"])
     assert s109 == arrow.join(["view", "cart", "view", "purchase"])
     assert sq.complete_sessions(act).count() == 13
+    assert sq.complete_session_count(act).first().complete_sessions == 13
     # sequence length equals the session's event count
     lengths = {r.session_id: len(r.action_sequence.split(arrow)) for r in seqs}
     counts = as_dict(ex.count_by(act, "session_id", "n"), "session_id", "n")
@@ -144,6 +145,8 @@ def test_describe(act):
     assert d["device"].top == "desktop" and d["device"].freq == 40  # tie with mobile: lowest value
     assert d["hour"].min == 8 and d["hour"].max == 18 and d["hour"].p50 == 13
     assert d["hour"].std is not None and d["time"].std is None
+    approx = {r.column_name: r for r in rp.describe_all(act.select("hour", "time"), approx=True).collect()}
+    assert approx["hour"].p50 == 13 and approx["hour"]["count"] == 103
     shown = rp.describe_all(act.select("action", "hour"), display=True).collect()
     assert all(isinstance(v, str) for r in shown for v in r)
     assert any(v == "—" for r in shown for v in r)
