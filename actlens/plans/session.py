@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 
 from actlens.sources.scratch import checkpoint_dir
 
+__all__ = ["DEFAULTS", "build_session", "recommended_conf"]
+
 # Settings every run wants: adaptive execution re-plans at runtime (coalesces
 # small shuffle partitions, switches joins to broadcast when the measured size
 # allows, splits skewed join partitions), and the UI server stays off.
@@ -28,6 +30,27 @@ DEFAULTS = {
 }
 
 
+def recommended_conf(input_bytes: int, total_cores: int,
+                     target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Shuffle sizing for a cluster run over ``input_bytes`` of events.
+
+    Start with enough shuffle partitions that each holds about
+    ``target_partition_bytes`` (and at least 3 per core, so stragglers
+    balance), and let adaptive execution coalesce the small ones and split
+    skewed join partitions.  Range-partitioned numbering uses the same
+    partition count, which also bounds its broadcast summary table."""
+    partitions = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
+        # broadcast only what AQE has measured to be small
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "actlens", extra: dict | None = None) -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")

@@ -14,10 +14,20 @@ from pyspark.sql import SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; set to a fresh local folder only if unset."""
+    """The session's checkpoint folder.
+
+    On a cluster it must be configured (``spark.checkpoint.dir`` on a shared
+    file system); a machine-local folder would not be readable by other
+    executors.  Only a local-mode session without the setting gets a fresh
+    temporary folder (tests, laptops)."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: point it at a shared folder (HDFS, object store) "
+                "so checkpoints and scratch tables survive executor loss"
+            )
         current = tempfile.mkdtemp(prefix="actlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():

@@ -152,3 +152,12 @@ def test_dashboard_labels_are_selectable(spark):
     prof = spark.createDataFrame([("U1", 9, 0, 0)], "user_id string, views long, carts long, purchases long")
     out = an.flag_anomalies(prof, high=L.DASHBOARD_FLAG_HIGH, moderate=L.DASHBOARD_FLAG_MODERATE)
     assert out.first().anomaly_flag == L.DASHBOARD_FLAG_HIGH
+
+
+def test_recommended_conf_scales_partitions():
+    from actlens.plans.session import recommended_conf
+
+    small = recommended_conf(10 * 2**20, 8)
+    big = recommended_conf(100 * 2**40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 * 2**20)
