@@ -2,9 +2,10 @@ from actlens.sources.csv import read_activity, write_csv
 from actlens.sources.events import activity, activity_from_events, gap_sessions
 from actlens.sources.schema import ACTIVITY_COLUMNS, RAW_ACTIVITY
 from actlens.sources.scratch import checkpoint_dir, scratch_path
+from actlens.sources.store import read_prepared, save_prepared
 from actlens.sources.tables import table
 
 __all__ = [
     "read_activity", "write_csv", "activity", "activity_from_events", "gap_sessions",
-    "ACTIVITY_COLUMNS", "RAW_ACTIVITY", "checkpoint_dir", "scratch_path", "table",
+    "ACTIVITY_COLUMNS", "RAW_ACTIVITY", "checkpoint_dir", "scratch_path", "table", "read_prepared", "save_prepared",
 ]
