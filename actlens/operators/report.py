@@ -47,13 +47,15 @@ def summary(df: DataFrame, prof: DataFrame, normal: str = L.FLAG_NORMAL) -> Data
         F.count_distinct("user_id").alias("total_users"),
         F.count_distinct("session_id").alias("total_sessions"),
     )
-    return base.select(
+    # Each subquery is bound once as a column; later expressions refer to it.
+    bound = base.withColumn("_flags", flags).withColumn("_peak_hour", peak_hour).withColumn("_peak_day", peak_day)
+    return bound.select(
         "total_events", "total_users", "total_sessions",
-        flags["normal"].alias("normal_users"),
-        flags["anomalous"].alias("anomalous_users"),
-        exact_pct(flags["anomalous"], flags["entities"], 1).alias("anomaly_rate"),
-        peak_hour.cast("int").alias("peak_hour"),
-        peak_day.alias("peak_day"),
+        F.col("_flags.normal").alias("normal_users"),
+        F.col("_flags.anomalous").alias("anomalous_users"),
+        exact_pct(F.col("_flags.anomalous"), F.col("_flags.entities"), 1).alias("anomaly_rate"),
+        F.col("_peak_hour").cast("int").alias("peak_hour"),
+        F.col("_peak_day").alias("peak_day"),
     )
 
 
