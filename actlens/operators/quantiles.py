@@ -25,38 +25,32 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], key: str = "column_
 
     Returns (key, prob, quantile); nulls are ignored; a key with no value
     yields no rows."""
+    probs = [float(p) for p in probs]
     counts = long.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_cnt"))
     cum = running_total_within(counts, [key], [value], "_cum", weight="_cnt", hot_rows=hot_rows)
-    n = cum.groupBy(key).agg(F.max("_cum").alias("_n"))
-    probs_col = F.array(*[F.lit(float(p)) for p in probs])
-    # (key, prob, lo, hi, frac) -- one row per key and probability.
-    targets = n.select(key, "_n", F.explode(probs_col).alias("prob")).select(
-        key,
-        "prob",
-        ((F.col("_n") - 1) * F.col("prob")).alias("_h"),
-    ).select(
-        key, "prob",
-        F.floor("_h").cast("long").alias("_lo"),
-        F.ceil("_h").cast("long").alias("_hi"),
-        (F.col("_h") - F.floor("_h")).alias("_frac"),
-    )
+    # One row per key.  No join hint: adaptive execution broadcasts it when it
+    # is measured small, otherwise it is a sort-merge join whose skewed key
+    # partitions are split (this side has exactly one row per key).
+    totals = cum.groupBy(key).agg(F.max("_cum").alias("_n"))
+    j = cum.join(totals, key)
     # The value at 0-based rank r is the one whose cumulative range
-    # [cum - cnt, cum - 1] holds r.  Ranks are unrolled into rows to join.
-    ranks = targets.select(key, "prob", "_frac", F.explode(F.array(
-        F.struct(F.lit("lo").alias("side"), F.col("_lo").alias("r")),
-        F.struct(F.lit("hi").alias("side"), F.col("_hi").alias("r")),
-    )).alias("t")).select(key, "prob", "_frac", "t.side", "t.r")
-    # ranks has (#keys x #probs x 2) rows: bounded by the request, not the data.
-    c, r = cum.alias("c"), F.broadcast(ranks.alias("r"))
-    hit = c.join(
-        r,
-        (F.col(f"c.{key}") == F.col(f"r.{key}"))
-        & (F.col("r.r") >= F.col("c._cum") - F.col("c._cnt"))
-        & (F.col("r.r") <= F.col("c._cum") - 1),
-    ).select(F.col(f"r.{key}").alias(key), "r.prob", "r._frac", "r.side", F.col(f"c.{value}").alias("_v"))
-    both = hit.groupBy(key, "prob", "_frac").agg(
+    # [cum - cnt, cum - 1] holds r; emit (prob, side, frac) for every
+    # wanted rank this row holds -- at most 2 x len(probs) rows per key.
+    first, last = F.col("_cum") - F.col("_cnt"), F.col("_cum") - 1
+    hits = []
+    for p in probs:
+        h = (F.col("_n") - 1) * F.lit(p)
+        frac = h - F.floor(h)
+        for side, r in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            hits.append(F.when((r >= first) & (r <= last),
+                               F.struct(F.lit(p).alias("prob"), F.lit(side).alias("side"), frac.alias("frac"))))
+    matched = j.select(key, F.col(value).alias("_v"), F.explode(F.array(*hits)).alias("m")).filter(
+        F.col("m").isNotNull()
+    ).select(key, "_v", "m.prob", "m.side", "m.frac")
+    both = matched.groupBy(key, "prob").agg(
         F.max(F.when(F.col("side") == "lo", F.col("_v"))).alias("_vlo"),
         F.max(F.when(F.col("side") == "hi", F.col("_v"))).alias("_vhi"),
+        F.max("frac").alias("_frac"),
     )
     q = F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))
     return both.select(key, "prob", q.cast("double").alias("quantile"))
