@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from actlens.functions import labels as L
 from actlens.functions.exprs import count_of, exact_pct, exact_ratio
 from actlens.operators.explore import count_by, with_share
+from actlens.sources.scratch import materialize as _materialize
 
 METRICS = ("views", "carts", "purchases", "total_actions", "view_purchase_ratio", "anomaly_flag", "behavior_type")
 
@@ -108,9 +109,17 @@ def label_hyperactive(
     k: float = L.STDDEV_K,
     suspected: str = L.BEHAVIOR_SUSPECTED,
     normal: str = L.BEHAVIOR_NORMAL,
+    materialize: bool = False,
 ) -> DataFrame:
     """AN6: label entities whose views exceed mean + k * std.  The threshold is
-    a scalar subquery; a null threshold labels nobody."""
+    a scalar subquery; a null threshold labels nobody.
+
+    The profile is read twice (threshold and labels).  ``materialize=True``
+    writes it once to the checkpoint folder first, so the events are
+    aggregated once -- worth it when the events are large and the profile
+    (one row per entity) is not."""
+    if materialize:
+        prof = _materialize(prof)
     threshold = views_threshold(prof, k).select("threshold").scalar()
     return prof.withColumn(
         "behavior_type",
@@ -118,9 +127,11 @@ def label_hyperactive(
     )
 
 
-def hyperactive(prof: DataFrame, k: float = L.STDDEV_K, normal: str = L.BEHAVIOR_NORMAL) -> DataFrame:
+def hyperactive(prof: DataFrame, k: float = L.STDDEV_K, normal: str = L.BEHAVIOR_NORMAL,
+                materialize: bool = False) -> DataFrame:
     """AN7: only the entities suspected of hyperactivity."""
-    return label_hyperactive(prof, k, normal=normal).filter(F.col("behavior_type") != normal)
+    labelled = label_hyperactive(prof, k, normal=normal, materialize=materialize)
+    return labelled.filter(F.col("behavior_type") != normal)
 
 
 def behavior_report(prof: DataFrame, n: int = 20) -> DataFrame:

@@ -298,11 +298,11 @@ def flag_counts(spark, sf):
 
 
 def behavior_type(spark, sf):
-    return an.label_hyperactive(_prof(spark, sf))
+    return an.label_hyperactive(_prof(spark, sf), materialize=True)
 
 
 def hyperactive_users(spark, sf):
-    return an.hyperactive(_prof(spark, sf))
+    return an.hyperactive(_prof(spark, sf), materialize=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

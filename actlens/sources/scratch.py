@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -39,3 +39,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder path under the checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the checkpoint folder and read it from there.
+
+    For a derived table that several plans reuse (a per-user profile, say):
+    they then read the written rows instead of recomputing them from the
+    events, and the lineage is cut, so a lost executor does not recompute it."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
