@@ -116,16 +116,32 @@ def running_total_within(
     if not keys:  # one global group: always the range-partitioned path
         return _ranged_total(df, keys, order, out, step, n)
 
+    split = split_hot_groups(df, keys, hot_rows)
+    if split is None:
+        return _window_total(df, keys, order, out, step)
+    normal, heavy = split
+    return _window_total(normal, keys, order, out, step).unionByName(
+        _ranged_total(heavy, keys, order, out, step, n)
+    )
+
+
+def split_hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS):
+    """Split ``df`` into (ordinary rows, rows of groups above ``hot_rows``),
+    or return None when no group is that large.
+
+    Group sizes come from a two-phase aggregate; the hot keys (at most
+    rows / hot_rows of them) are counted, then marked through a broadcast
+    when their number is within :data:`MAX_BROADCAST_HOT_KEYS`, otherwise
+    through a shuffle join."""
+    keys = list(keys)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     hot = sizes.filter(F.col("_rows") > hot_rows).select(*keys).withColumn("_hot", F.lit(True))
     n_hot = hot.count()
     if n_hot == 0:
-        return _window_total(df, keys, order, out, step)
+        return None
     marker = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_KEYS else hot
     marked = df.join(marker, keys, "left")
-    normal = _window_total(marked.filter(F.col("_hot").isNull()).drop("_hot"), keys, order, out, step)
-    heavy = _ranged_total(marked.filter(F.col("_hot")).drop("_hot"), keys, order, out, step, n)
-    return normal.unionByName(heavy)
+    return (marked.filter(F.col("_hot").isNull()).drop("_hot"), marked.filter(F.col("_hot")).drop("_hot"))
 
 
 def ordinal_within(
@@ -152,12 +168,29 @@ def rank_within(
     hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """``rank()`` within ``keys`` by ``order``: rows tied on ``order`` share the
-    position of the first of them.  Built on :func:`ordinal_within`; the tie
-    groups are reduced by a two-phase aggregate and joined back."""
+    position of the first of them.  Ordinary groups use the ``rank`` window;
+    rows of hot groups are numbered by :func:`ordinal_within` and each tie
+    group takes its smallest position (a two-phase aggregate joined back)."""
     keys, order, tiebreak = list(keys), list(order), list(tiebreak)
+
+    def plain(frame: DataFrame) -> DataFrame:
+        return frame.withColumn(out, F.rank().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
+
     if not skew_safe:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(out, F.rank().over(w).cast("long"))
-    positioned = ordinal_within(df, keys, order + tiebreak, "_pos", hot_rows=hot_rows)
+        return plain(df)
+    if not keys:  # one global group: always the range-partitioned path
+        return _ranked_by_position(df, keys, order, tiebreak, out)
+    split = split_hot_groups(df, keys, hot_rows)
+    if split is None:
+        return plain(df)
+    normal, heavy = split
+    return plain(normal).unionByName(_ranked_by_position(heavy, keys, order, tiebreak, out))
+
+
+def _ranked_by_position(df: DataFrame, keys: list, order: list, tiebreak: list, out: str) -> DataFrame:
+    """Rank on the range-partitioned path: positions, then the first position
+    of each tie group (a two-phase aggregate joined back on the tie key)."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    positioned = _ranged_total(df, keys, order + tiebreak, "_pos", F.lit(1).cast("long"), n)
     firsts = positioned.groupBy(*keys, *order).agg(F.min("_pos").alias(out))
     return positioned.join(firsts, keys + order).drop("_pos")

@@ -106,3 +106,15 @@ def test_gap_sessions_match_brute_force(spark, gap_s):
     got = {r.id: r.session_no for r in gap_sessions(df, "user_id", "time", gap_s).collect()}
     exp = brute_sessions(pd.DataFrame(rows, columns=["id", "user_id", "time"]), gap_s)
     assert got == exp
+
+
+def test_global_rank_and_hot_rank_paths(spark, skewed):
+    ref = skewed.withColumn("ref", F.rank().over(Window.partitionBy("key").orderBy("t")))
+    for hot_rows in (10, 100, 10_000_000):
+        got = rank_within(skewed, ["key"], ["t"], ["id"], "rk", hot_rows=hot_rows)
+        assert got.join(ref.select("id", "ref"), "id").filter(F.col("rk") != F.col("ref")).count() == 0
+    glob = rank_within(skewed, [], ["t"], ["id"], "rk").toPandas()
+    exp = skewed.toPandas()
+    exp["exp"] = exp["t"].rank(method="min").astype(int)
+    m = glob.merge(exp[["id", "exp"]], on="id")
+    assert (m["rk"] == m["exp"]).all()
