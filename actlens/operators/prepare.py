@@ -111,13 +111,14 @@ def filter_activity(
 
 
 def domains(df: DataFrame, columns: Sequence[str] = ("action", "category", "device")) -> DataFrame:
-    """PR6: distinct non-null values of each column as (column_name, value)."""
+    """PR6: distinct non-null values of each column as (column_name, value),
+    sorted (first-seen order has no meaning on a distributed scan)."""
     long = df.select(
         F.explode(
             F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
         ).alias("cv")
     ).select("cv.column_name", "cv.value")
-    return long.filter(F.col("value").isNotNull()).distinct()
+    return long.filter(F.col("value").isNotNull()).distinct().orderBy("column_name", "value")
 
 
 def search_users(df: DataFrame, term: str | None, column: str = "user_id") -> DataFrame:
