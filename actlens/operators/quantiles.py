@@ -25,8 +25,17 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], key: str = "column_
 
     Returns (key, prob, quantile); nulls are ignored; a key with no value
     yields no rows."""
-    probs = [float(p) for p in probs]
     counts = long.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_cnt"))
+    return quantiles_from_counts(counts, probs, key, value, "_cnt", hot_rows)
+
+
+def quantiles_from_counts(counts: DataFrame, probs: Sequence[float], key: str = "column_name",
+                          value: str = "value", count: str = "_cnt",
+                          hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """As :func:`exact_quantiles`, from a (key, value, count) table with one
+    row per distinct non-null value."""
+    probs = [float(p) for p in probs]
+    counts = counts.select(key, value, F.col(count).alias("_cnt"))
     cum = running_total_within(counts, [key], [value], "_cum", weight="_cnt", hot_rows=hot_rows)
     # One row per key.  No join hint: adaptive execution broadcasts it when it
     # is measured small, otherwise it is a sort-merge join whose skewed key

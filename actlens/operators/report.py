@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 from actlens.functions import labels as L
 from actlens.functions.exprs import epoch_micros, exact_pct
 from actlens.operators.explore import peak
-from actlens.operators.quantiles import exact_quantiles
+from actlens.operators.quantiles import quantiles_from_counts
+from actlens.sources.scratch import materialize as _materialize
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 TEMPORAL = (T.TimestampType, T.TimestampNTZType, T.DateType)
@@ -68,87 +69,94 @@ def _kind(dtype: T.DataType) -> str:
 
 
 def describe_all(df: DataFrame, display: bool = False, approx: bool = False,
-                 accuracy: int = 10_000) -> DataFrame:
+                 accuracy: int = 10_000, materialize: bool = True) -> DataFrame:
     """AG14: pandas ``describe(include="all")`` as one row per column.
 
     count for every column; unique, top (most frequent, lowest value on
     ties) and freq for text; mean, min, 25/50/75 % and max for numeric and
     datetime columns (datetimes as epoch seconds); std (sample) for numeric
     only.  Quantiles are exact and interpolated; ``approx=True`` uses
-    ``percentile_approx`` sketches instead (no interpolation, bounded memory,
-    one pass).  ``display=True`` renders every cell as text with missing
-    cells shown as an em dash."""
+    ``percentile_approx`` sketches instead (no interpolation, bounded memory).
+    ``display=True`` renders every cell as text with missing cells shown as
+    an em dash.
+
+    One pass over ``df`` builds a (column, value, count) table -- one row per
+    distinct value, pre-combined on every task -- and every statistic is
+    derived from it.  With ``materialize`` (default) that table is written
+    once to the checkpoint folder, so the input is read once."""
     kinds = {f.name: _kind(f.dataType) for f in df.schema.fields}
-    text_cols = [c for c, k in kinds.items() if k == "text"]
-    num_cols = [c for c, k in kinds.items() if k != "text"]
-    parts = []
-
-    if text_cols:
-        long = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in text_cols
-        ])).alias("cv")).select("cv.*").filter(F.col("value").isNotNull())
-        per_value = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-        text = per_value.groupBy("column_name").agg(
-            F.sum("n").cast("long").alias("count"),
-            F.count(F.lit(1)).alias("unique"),
-            F.min(F.struct((-F.col("n")).alias("neg_n"), F.col("value").alias("value"))).alias("_top"),
-        ).select(
-            "column_name", "count", "unique",
-            F.col("_top.value").alias("top"), (-F.col("_top.neg_n")).alias("freq"),
-        )
-        parts.append(text)
-
-    if num_cols:
-        def as_double(c: str):
-            if kinds[c] == "numeric":
-                return F.col(c).cast("double")
-            return as_micros(c).cast("double") / F.lit(1_000_000.0)
-
-        def as_micros(c: str):
-            if kinds[c] == "numeric":
-                return F.lit(None).cast("long")
-            dtype = df.schema[c].dataType
-            ts = F.col(c).cast("timestamp_ntz") if isinstance(dtype, (T.DateType, T.TimestampType)) else F.col(c)
-            return epoch_micros(ts)
-
-        long = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), as_double(c).alias("value"), as_micros(c).alias("micros"))
-            for c in num_cols
-        ])).alias("cv")).select("cv.*")
-        # Datetime means are summed exactly in decimal micros; numeric means
-        # are the usual floating-point average.
-        exact_mean = F.avg(F.col("micros").cast("decimal(38,0)")) / F.lit(1_000_000)
-        moments = long.groupBy("column_name").agg(
-            F.count("value").alias("count"),
-            F.coalesce(exact_mean.cast("double"), F.avg("value")).alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-        )
-        if approx:
-            qa = F.percentile_approx("value", list(QUANTILES), accuracy)
-            qs = long.groupBy("column_name").agg(qa.alias("_q")).select(
-                "column_name", *[F.col("_q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))])
-        else:
-            qs = exact_quantiles(long.select("column_name", "value"), QUANTILES).groupBy("column_name").agg(*[
-                F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name)
-                for p, name in zip(QUANTILES, ("p25", "p50", "p75"))
-            ])
-        datetime_cols = [c for c in num_cols if kinds[c] == "datetime"]
-        std = F.when(F.col("column_name").isin(*datetime_cols), F.lit(None)).otherwise(F.col("std")) \
-            if datetime_cols else F.col("std")
-        numeric = moments.join(qs, "column_name", "left").withColumn("std", std)
-        parts.append(numeric)
-
-    out = None
-    for p in parts:
-        out = p if out is None else out.unionByName(p, allowMissingColumns=True)
-    cols = ["column_name", "count", "unique", "top", "freq", "mean", "std", "min", "p25", "p50", "p75", "max"]
-    for c in cols:
-        if c not in out.columns:
-            out = out.withColumn(c, F.lit(None))
-    out = out.select(
+
+    def text(c):
+        return F.col(c).cast("string") if kinds[c] == "text" else F.lit(None).cast("string")
+
+    def micros(c):
+        if kinds[c] != "datetime":
+            return F.lit(None).cast("long")
+        dtype = df.schema[c].dataType
+        ts = F.col(c).cast("timestamp_ntz") if isinstance(dtype, (T.DateType, T.TimestampType)) else F.col(c)
+        return epoch_micros(ts)
+
+    def number(c):
+        if kinds[c] == "numeric":
+            return F.col(c).cast("double")
+        if kinds[c] == "datetime":
+            return micros(c).cast("double") / F.lit(1_000_000.0)
+        return F.lit(None).cast("double")
+
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), text(c).alias("text"), number(c).alias("num"),
+                 micros(c).alias("micros"))
+        for c in df.columns
+    ])).alias("cv")).select("cv.*")
+    values = long.filter(F.col("text").isNotNull() | F.col("num").isNotNull()).groupBy(
+        "column_name", "text", "num", "micros").agg(F.count(F.lit(1)).alias("n"))
+    if materialize:
+        values = _materialize(values)
+
+    txt = values.filter(F.col("text").isNotNull()).groupBy("column_name").agg(
+        F.sum("n").cast("long").alias("count"),
+        F.count(F.lit(1)).alias("unique"),
+        F.min(F.struct((-F.col("n")).alias("neg_n"), F.col("text").alias("value"))).alias("_top"),
+    ).select("column_name", "count", "unique", F.col("_top.value").alias("top"), (-F.col("_top.neg_n")).alias("freq"))
+
+    nums = values.filter(F.col("num").isNotNull())
+    weighted_micros = (F.col("micros").cast("decimal(38,0)") * F.col("n")).cast("decimal(38,0)")
+    moments = nums.groupBy("column_name").agg(
+        F.sum("n").cast("long").alias("count"),
+        (F.sum(F.col("num") * F.col("n")) / F.sum("n")).alias("_mean_num"),
+        (F.sum(weighted_micros) / F.sum("n") / F.lit(1_000_000)).cast("double").alias("_mean_dt"),
+        F.min("num").alias("min"),
+        F.max("num").alias("max"),
+    )
+    # Sample standard deviation in two passes (deviations from the mean), which
+    # stays accurate where a sum of squares would cancel.
+    spread = nums.join(moments.select("column_name", "_mean_num", "count"), "column_name").groupBy(
+        "column_name").agg(
+        F.sqrt(F.try_divide(F.sum(F.col("n") * F.pow(F.col("num") - F.col("_mean_num"), 2)),
+                            F.max("count") - 1)).alias("std")
+    )
+    if approx:
+        qa = F.percentile_approx("num", list(QUANTILES), accuracy)
+        qs = long.filter(F.col("num").isNotNull()).groupBy("column_name").agg(qa.alias("_q")).select(
+            "column_name", *[F.col("_q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))])
+    else:
+        qs = quantiles_from_counts(nums.select("column_name", "num", "n"), QUANTILES, "column_name", "num",
+                                   "n").groupBy("column_name").agg(*[
+            F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name)
+            for p, name in zip(QUANTILES, ("p25", "p50", "p75"))
+        ])
+    datetime_cols = [c for c, k in kinds.items() if k == "datetime"] or ["\0"]
+    is_dt = F.col("column_name").isin(*datetime_cols)
+    numeric = moments.join(spread, "column_name", "left").join(qs, "column_name", "left").select(
         "column_name", "count",
+        F.when(is_dt, F.col("_mean_dt")).otherwise(F.col("_mean_num")).alias("mean"),
+        F.when(is_dt, F.lit(None)).otherwise(F.col("std")).alias("std"),
+        "min", "p25", "p50", "p75", "max",
+    )
+
+    cols = ["column_name", "count", "unique", "top", "freq", "mean", "std", "min", "p25", "p50", "p75", "max"]
+    out = txt.unionByName(numeric, allowMissingColumns=True).select(
+        "column_name", F.col("count").cast("long"),
         F.col("unique").cast("long"), F.col("top").cast("string"), F.col("freq").cast("long"),
         *[F.col(c).cast("double") for c in ("mean", "std", "min", "p25", "p50", "p75", "max")],
     )
