@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from actlens.functions import labels as L
 from actlens.functions.exprs import count_of
-from actlens.operators.ordinal import ordinal_within, rank_within
+from actlens.operators.ordinal import HOT_GROUP_ROWS, ordinal_within, rank_within
 
 SESSION = ("session_id", "user_id")
 ORDER = ("time",)
@@ -24,20 +24,23 @@ TIEBREAK = ("event_id",)
 CHUNK_SIZE = 100_000
 
 
-def session_rank(df: DataFrame, keys: Sequence[str] = ("session_id",), skew_safe: bool = True) -> DataFrame:
+def session_rank(df: DataFrame, keys: Sequence[str] = ("session_id",), skew_safe: bool = True,
+                 hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """WN1: rank of each event in its session by time; equal times share."""
-    return rank_within(df, keys, ORDER, TIEBREAK, "action_rank", skew_safe)
+    return rank_within(df, keys, ORDER, TIEBREAK, "action_rank", skew_safe, hot_rows)
 
 
-def session_position(df: DataFrame, keys: Sequence[str] = ("session_id",), skew_safe: bool = True) -> DataFrame:
+def session_position(df: DataFrame, keys: Sequence[str] = ("session_id",), skew_safe: bool = True,
+                     hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """WN2: unique 1-based position of each event in its session."""
-    return ordinal_within(df, keys, ORDER + TIEBREAK, "rn", skew_safe)
+    return ordinal_within(df, keys, ORDER + TIEBREAK, "rn", skew_safe, hot_rows=hot_rows)
 
 
-def session_events(df: DataFrame, chunk_size: int = CHUNK_SIZE, skew_safe: bool = True) -> DataFrame:
+def session_events(df: DataFrame, chunk_size: int = CHUNK_SIZE, skew_safe: bool = True,
+                   hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """WN3: per (session, user, chunk) the array of (time, action) in order."""
     df = df.select(*SESSION, *ORDER, *TIEBREAK, "action")
-    pos = ordinal_within(df, SESSION, ORDER + TIEBREAK, "_pos", skew_safe)
+    pos = ordinal_within(df, SESSION, ORDER + TIEBREAK, "_pos", skew_safe, hot_rows=hot_rows)
     pos = pos.withColumn("chunk", ((F.col("_pos") - 1) / F.lit(chunk_size)).cast("int"))
     grouped = pos.groupBy(*SESSION, "chunk").agg(
         F.array_sort(F.collect_list(F.struct("_pos", "time", "action"))).alias("_evs")
@@ -51,10 +54,11 @@ def session_events(df: DataFrame, chunk_size: int = CHUNK_SIZE, skew_safe: bool
 
 
 def session_sequences(
-    df: DataFrame, sep: str = L.SEQUENCE_SEP, chunk_size: int = CHUNK_SIZE, skew_safe: bool = True
+    df: DataFrame, sep: str = L.SEQUENCE_SEP, chunk_size: int = CHUNK_SIZE, skew_safe: bool = True,
+    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """WN4: ``view → cart → ...`` per (session, user, chunk), in time order."""
-    evs = session_events(df, chunk_size, skew_safe)
+    evs = session_events(df, chunk_size, skew_safe, hot_rows)
     return evs.select(
         *SESSION, "chunk",
         F.array_join(F.transform("actions_raw", lambda e: e["action"]), sep).alias("action_sequence"),

@@ -118,3 +118,29 @@ def test_global_rank_and_hot_rank_paths(spark, skewed):
     exp["exp"] = exp["t"].rank(method="min").astype(int)
     m = glob.merge(exp[["id", "exp"]], on="id")
     assert (m["rk"] == m["exp"]).all()
+
+
+@pytest.mark.parametrize("hot_rows", [50, 1_000_000])
+def test_giant_session_is_chunked_in_order_and_whole(spark, hot_rows):
+    from actlens.functions import labels as L
+    from actlens.operators import sequence as sq
+
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(400):  # one giant session holding most events, plus small ones
+        sess = "S-hot" if i % 5 else f"S{i % 7}"
+        t = base + dt.timedelta(seconds=rnd.randrange(100))  # many equal times: event id breaks ties
+        rows.append((i, sess, "U1", rnd.choice(["view", "cart", "purchase"]), t))
+    df = spark.createDataFrame(rows, "event_id long, session_id string, user_id string, action string, "
+                                     "time timestamp_ntz")
+    got = sq.session_sequences(df, chunk_size=37, hot_rows=hot_rows).collect()
+    pdf = pd.DataFrame(rows, columns=["event_id", "session_id", "user_id", "action", "time"])
+    for sess, g in pdf.sort_values(["time", "event_id"]).groupby("session_id"):
+        parts = sorted((r.chunk, r.action_sequence) for r in got if r.session_id == sess)
+        assert [c for c, _ in parts] == list(range(len(parts)))
+        assert all(len(p.split(L.SEQUENCE_SEP)) <= 37 for _, p in parts)
+        assert L.SEQUENCE_SEP.join(p for _, p in parts) == L.SEQUENCE_SEP.join(g["action"])
+    ranks = {r.event_id: r.action_rank for r in sq.session_rank(df, hot_rows=hot_rows).collect()}
+    pdf["exp"] = pdf.groupby("session_id")["time"].rank(method="min").astype(int)
+    assert all(ranks[e] == x for e, x in zip(pdf["event_id"], pdf["exp"]))
