@@ -124,10 +124,16 @@ def describe_all(df: DataFrame, display: bool = False, approx: bool = False,
     moments = nums.groupBy("column_name").agg(
         F.sum("n").cast("long").alias("count"),
         (F.sum(F.col("num") * F.col("n")) / F.sum("n")).alias("_mean_num"),
-        (F.sum(weighted_micros) / F.sum("n") / F.lit(1_000_000)).cast("double").alias("_mean_dt"),
+        F.sum(weighted_micros).alias("_sum_us"),
         F.min("num").alias("min"),
         F.max("num").alias("max"),
     )
+    # Mean time: total microseconds / count, rounded half-up to a whole
+    # microsecond on integers (exact at any row count), then in seconds.
+    a = F.col("_sum_us") * 2 + F.col("count").cast("decimal(38,0)")
+    b = F.col("count").cast("decimal(38,0)") * 2
+    mean_us = (a - F.pmod(a, b)) / b
+    moments = moments.withColumn("_mean_dt", (mean_us / F.lit(1_000_000)).cast("double"))
     # Sample standard deviation in two passes (deviations from the mean), which
     # stays accurate where a sum of squares would cancel.
     spread = nums.join(moments.select("column_name", "_mean_num", "count"), "column_name").groupBy(

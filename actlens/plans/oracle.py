@@ -141,7 +141,9 @@ tstat AS (
 nl AS ({num_long}),
 nstat AS (
   SELECT column_name, count(value) AS count,
-         coalesce(CAST(avg(CAST(micros AS HUGEINT)) AS DOUBLE) / 1000000, avg(value)) AS mean,
+         CASE WHEN column_name = 'time'
+              THEN CAST((2 * sum(CAST(micros AS HUGEINT)) + count(value)) // (2 * count(value)) AS DOUBLE) / 1000000
+              ELSE avg(value) END AS mean,
          CASE WHEN column_name = 'time' THEN NULL ELSE stddev_samp(value) END AS std,
          min(value) AS min, quantile_cont(value, 0.25) AS p25, quantile_cont(value, 0.5) AS p50,
          quantile_cont(value, 0.75) AS p75, max(value) AS max
