@@ -26,6 +26,6 @@ def test_entry_runs(spark):
 
 
 def test_queries_match_oracle(spark):
-    res = compare(spark, SF, verbose=False)
+    res = compare(spark, SF, verbose=False, exact=True)  # floats bit for bit
     bad = {k: v for k, v in res.items() if v[0] != "ok"}
     assert not bad, bad
