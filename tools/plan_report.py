@@ -17,6 +17,40 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from actlens.plans.catalog import QUERIES  # noqa: E402
 from actlens.plans.session import build_session  # noqa: E402
 
+NOTES = """## Reading the table
+
+* **No Python in any plan** (`python` = 0): every operator is built-in Catalyst
+  expressions inside whole-stage codegen.  **No nested-loop or cartesian
+  join** anywhere.
+* **Pushed filters**: every query that scans `events` pushes the
+  `IS NOT NULL` cleaning to parquet.  Queries showing `-` read a CSV written
+  by the query itself, a checkpoint, or only reuse an exchange whose scan is
+  printed under the subquery.
+* **One shuffle per aggregate.** Counts, profiles, the action matrix and the
+  funnel are a single partial + final aggregate; shares add a scalar
+  subquery whose shuffle the main plan reuses (`reused` = 1).
+* **Sessions**: queries reading `session_id` add the sessionisation: a
+  (user, bucket) aggregate, one window over that aggregate, and a join back
+  on (user, bucket).  AQE broadcasts the bucket table here because it
+  measured it small; on large data the plan is a sort-merge join shuffled on
+  (user, bucket), whose skewed partitions AQE splits.  Queries that do not
+  read `session_id` have no join at all (left join onto a key-unique table,
+  removed by Catalyst).
+* **Session positions** (`session_rank`, `session_row_number`,
+  `session_events`, `session_sequences`): a group-size aggregate decides,
+  before the plan is built, whether any session exceeds 1M events; here
+  none does, so positions are one window (the `windows` count includes the
+  sessionisation's window).  A hot session would add the range-partitioned,
+  checkpointed path (see `actlens/operators/ordinal.py`).
+* **Hyperactivity** (`behavior_type`, `hyperactive_users`) reads the
+  profile from a checkpoint (`checkpoint scans` = 1): the events are
+  aggregated once, and the threshold is a scalar subquery over the written
+  profile.
+* **describe_all** reads its input once: a (column, value, count) aggregate
+  is written to the checkpoint folder (`checkpoint scans`), and the text
+  statistics, moments, two-pass deviation and exact quantiles (running totals
+  over the value counts) are all computed from it."""
+
 COLUMNS = [
     ("shuffles", r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)"),
     ("broadcasts", r"BroadcastExchange"),
@@ -38,6 +72,7 @@ def main(sf_dir: str) -> None:
     print(f"Generated by `tools/plan_report.py` on `{sf_dir}` (local mode, adaptive execution on). "
           "Counts are nodes in the physical plan of each query after adaptive re-planning; "
           "checkpointed inputs (the range-partitioned numbering) appear as RDD scans.\n")
+    print(NOTES + "\n")
     print("| query | " + " | ".join(c for c, _ in COLUMNS) + " | pushed filters |")
     print("|---|" + "---|" * (len(COLUMNS) + 1))
     for name, fn in QUERIES.items():
