@@ -4,9 +4,10 @@
 key, so one hot key -- a session holding a third of all events -- lands in a
 single task that must sort all of it.  :func:`ordinal_within` computes the
 same numbers with bounded work per task.  Group sizes are counted first (a
-two-phase aggregate); ordinary groups are numbered by one plain window, and
-only the hot groups (more than ``hot_rows`` rows; there are at most
-rows / hot_rows of them) take the range-partitioned path:
+two-phase aggregate).  When no group has more than ``hot_rows`` rows, one
+plain window numbers them (no task holds more than ``hot_rows`` rows of a
+group).  Otherwise the input takes the range-partitioned path, where a hot
+group is cut across partitions and no task holds more than one range:
 
 1. range-partition on (key, order...): a hot key is cut into many ranges.
    The assignment is materialised once with a reliable ``checkpoint()`` in
@@ -35,12 +36,17 @@ from pyspark.sql import functions as F
 from actlens.sources.scratch import checkpoint_dir
 
 
-# Groups with more rows than this take the range-partitioned path; smaller
-# groups are numbered by one window, where a task holds at most this many.
+# A group with more rows than this sends the input to the range-partitioned
+# path; below it, one window numbers the groups, a task holding at most this
+# many rows of one group.
 HOT_GROUP_ROWS = 1_000_000
-# The hot-key marker is broadcast up to this many keys (it has at most
-# rows / HOT_GROUP_ROWS keys); beyond it, a shuffle join is used.
-MAX_BROADCAST_HOT_KEYS = 200_000
+
+
+def has_hot_group(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS) -> bool:
+    """Whether any ``keys`` group has more than ``hot_rows`` rows (a two-phase
+    count per key; only the answer reaches the driver)."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return not sizes.filter(F.col("_rows") > hot_rows).isEmpty()
 
 
 def _window_total(df: DataFrame, keys: list, order: list, out: str, step) -> DataFrame:
@@ -103,45 +109,16 @@ def running_total_within(
     rows of each ``keys`` group in ``order``, inclusive of the row itself.
     With no weight this is the 1-based position (``row_number``).
 
-    ``skew_safe`` (default): group sizes are counted first (two-phase
-    aggregate).  Groups of at most ``hot_rows`` rows are numbered by a plain
-    window; larger groups -- at most rows / hot_rows of them -- are marked
-    through a size-checked join and numbered on the range-partitioned path.
-    No task ever holds more than ``hot_rows`` rows of one group."""
+    ``skew_safe`` (default): group sizes are counted first.  Without a group
+    above ``hot_rows`` rows, a plain window; otherwise the range-partitioned
+    path for the whole input (cheaper than splitting it: the input is read
+    once more, not twice)."""
     keys, order = list(keys), list(order)
     step = F.lit(1).cast("long") if weight is None else F.coalesce(F.col(weight).cast("long"), F.lit(0))
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if not skew_safe:
+    if not skew_safe or (keys and not has_hot_group(df, keys, hot_rows)):
         return _window_total(df, keys, order, out, step)
-    if not keys:  # one global group: always the range-partitioned path
-        return _ranged_total(df, keys, order, out, step, n)
-
-    split = split_hot_groups(df, keys, hot_rows)
-    if split is None:
-        return _window_total(df, keys, order, out, step)
-    normal, heavy = split
-    return _window_total(normal, keys, order, out, step).unionByName(
-        _ranged_total(heavy, keys, order, out, step, n)
-    )
-
-
-def split_hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS):
-    """Split ``df`` into (ordinary rows, rows of groups above ``hot_rows``),
-    or return None when no group is that large.
-
-    Group sizes come from a two-phase aggregate; the hot keys (at most
-    rows / hot_rows of them) are counted, then marked through a broadcast
-    when their number is within :data:`MAX_BROADCAST_HOT_KEYS`, otherwise
-    through a shuffle join."""
-    keys = list(keys)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = sizes.filter(F.col("_rows") > hot_rows).select(*keys).withColumn("_hot", F.lit(True))
-    n_hot = hot.count()
-    if n_hot == 0:
-        return None
-    marker = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_KEYS else hot
-    marked = df.join(marker, keys, "left")
-    return (marked.filter(F.col("_hot").isNull()).drop("_hot"), marked.filter(F.col("_hot")).drop("_hot"))
+    return _ranged_total(df, keys, order, out, step, n)
 
 
 def ordinal_within(
@@ -168,23 +145,13 @@ def rank_within(
     hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """``rank()`` within ``keys`` by ``order``: rows tied on ``order`` share the
-    position of the first of them.  Ordinary groups use the ``rank`` window;
-    rows of hot groups are numbered by :func:`ordinal_within` and each tie
-    group takes its smallest position (a two-phase aggregate joined back)."""
+    position of the first of them.  Without a hot group, the ``rank`` window;
+    otherwise positions on the range-partitioned path, and each tie group
+    takes its smallest position (a two-phase aggregate joined back)."""
     keys, order, tiebreak = list(keys), list(order), list(tiebreak)
-
-    def plain(frame: DataFrame) -> DataFrame:
-        return frame.withColumn(out, F.rank().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
-
-    if not skew_safe:
-        return plain(df)
-    if not keys:  # one global group: always the range-partitioned path
-        return _ranked_by_position(df, keys, order, tiebreak, out)
-    split = split_hot_groups(df, keys, hot_rows)
-    if split is None:
-        return plain(df)
-    normal, heavy = split
-    return plain(normal).unionByName(_ranked_by_position(heavy, keys, order, tiebreak, out))
+    if not skew_safe or (keys and not has_hot_group(df, keys, hot_rows)):
+        return df.withColumn(out, F.rank().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
+    return _ranked_by_position(df, keys, order, tiebreak, out)
 
 
 def _ranked_by_position(df: DataFrame, keys: list, order: list, tiebreak: list, out: str) -> DataFrame:
