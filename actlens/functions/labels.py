@@ -33,6 +33,10 @@ DASHBOARD_FLAG_HIGH = "HIGH RISK"
 DASHBOARD_FLAG_MODERATE = "MODERATE"
 DASHBOARD_STAGE_BROWSE = "Browse Only"
 
+# The dashboard's anomaly rules: ratio at one digit, shorter labels.
+# Usage: profile(df, **DASHBOARD_RULES).
+DASHBOARD_RULES = {"digits": 1, "high": DASHBOARD_FLAG_HIGH, "moderate": DASHBOARD_FLAG_MODERATE}
+
 # Hyperactivity labels.
 BEHAVIOR_SUSPECTED = "BOT / HYPERACTIVE SUSPECTED"
 BEHAVIOR_NORMAL = "Normal User"

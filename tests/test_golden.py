@@ -157,3 +157,13 @@ def test_schema_profile(act):
     assert [(r.column_name, r.data_type) for r in p] == [("user_id", "string"), ("time", "timestamp_ntz"),
                                                           ("hour", "int")]
     assert all(r.n_rows == 103 and r.n_columns == 3 for r in p)
+
+
+def test_dashboard_rules(act):
+    prof = an.profile(act, **L.DASHBOARD_RULES)
+    flags = as_dict(ex.count_by(prof, "anomaly_flag", "n"), "anomaly_flag", "n")
+    assert flags == {L.DASHBOARD_FLAG_HIGH: 7, L.FLAG_NORMAL: 13}
+    ratios = {r.user_id: r.view_purchase_ratio for r in prof.collect()}
+    assert ratios["U002"] == 3.0 and ratios["U006"] == 12.0
+    staged = fn.funnel_stage(fn.action_matrix(act), browse=L.DASHBOARD_STAGE_BROWSE)
+    assert as_dict(fn.funnel_stage_summary(staged), "funnel_stage", "user_count")[L.DASHBOARD_STAGE_BROWSE] == 7
