@@ -167,3 +167,12 @@ def test_dashboard_rules(act):
     assert ratios["U002"] == 3.0 and ratios["U006"] == 12.0
     staged = fn.funnel_stage(fn.action_matrix(act), browse=L.DASHBOARD_STAGE_BROWSE)
     assert as_dict(fn.funnel_stage_summary(staged), "funnel_stage", "user_count")[L.DASHBOARD_STAGE_BROWSE] == 7
+
+
+def test_inferred_schema_gives_same_results(spark, fixture_csv):
+    inferred = read_activity(spark, fixture_csv, infer=True)
+    assert dict(inferred.dtypes)["hour"] == "int"
+    df = pr.prepare(inferred).withColumn("event_id", F.monotonically_increasing_id())
+    assert dict(df.dtypes)["time"] == "timestamp_ntz"
+    s = rp.summary(df, an.profile(df)).first()
+    assert tuple(s) == (103, 20, 20, 13, 7, 35.0, 13, "Monday")
