@@ -23,6 +23,7 @@ from actlens.functions.exprs import epoch_micros
 from actlens.sources.tables import table
 
 # FIXED VALUES of the mapping (see module docstring).
+CLICK = "click"
 CLICK_AS = "cart"
 DEVICES = ("desktop", "mobile", "tablet")
 SESSION_GAP_SECONDS = 12 * 3600
@@ -74,6 +75,9 @@ def gap_sessions(
         F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long"),
     ).select(user_col, "_bucket", out_col)
 
+    # Every event finds its bucket, so a left join returns the same rows as an
+    # inner one -- and, the right side being unique on the join keys, lets
+    # Catalyst drop the join from plans that never read the session number.
     return with_bucket.join(numbered, [user_col, "_bucket"], "left").drop("_us", "_bucket")
 
 
@@ -104,7 +108,7 @@ def activity_from_events(
     act = events.select(
         "event_id",
         F.col("user_id").cast("string").alias("user_id"),
-        F.when(F.col("event_type") == "click", F.lit(CLICK_AS)).otherwise(F.col("event_type")).alias("action"),
+        F.when(F.col("event_type") == CLICK, F.lit(CLICK_AS)).otherwise(F.col("event_type")).alias("action"),
         F.concat(F.lit("C"), (k % 6).cast("string")).alias("category"),
         F.concat(F.lit("P"), k.cast("string")).alias("product_id"),
         F.col("ts").alias("time"),
