@@ -45,11 +45,14 @@ def half_even_div(num: str | Column, den: str | Column) -> Column:
     return q + F.when((r2 > b) | ((r2 == b) & (F.pmod(q, F.lit(2)) == 1)), 1).otherwise(0)
 
 
-def exact_pct(part: str | Column, whole: str | Column, digits: int = L.SHARE_DIGITS) -> Column:
-    """round(part / whole * 100, digits) half-up for counts, computed on
-    integers so it is exact at any scale; null when ``whole`` is 0."""
+def exact_pct(part: str | Column, whole: str | Column, digits: int = L.SHARE_DIGITS,
+              rounding: str = "half_up") -> Column:
+    """round(part / whole * 100, digits) for counts, computed on integers so it
+    is exact at any scale; null when ``whole`` is 0.  ``rounding`` is
+    ``"half_up"`` (Spark's ``round``) or ``"half_even"`` (Python's)."""
     scale = 10 ** digits
-    k = half_up_div(col(part).cast("long") * (100 * scale), col(whole))
+    div = {"half_up": half_up_div, "half_even": half_even_div}[rounding]
+    k = div(col(part).cast("long") * (100 * scale), col(whole))
     return k.cast("double") / F.lit(float(scale))
 
 

@@ -80,14 +80,17 @@ def flagged(prof: DataFrame, normal: str = L.FLAG_NORMAL) -> DataFrame:
     return prof.filter(F.col("anomaly_flag") != normal)
 
 
-def anomaly_totals(prof: DataFrame, normal: str = L.FLAG_NORMAL, digits: int = 1) -> DataFrame:
+def anomaly_totals(prof: DataFrame, normal: str = L.FLAG_NORMAL, digits: int = 1,
+                   rounding: str = "half_up") -> DataFrame:
     """AN4: flagged, normal and all entities, and the anomaly rate in percent
-    (null when there is no entity)."""
+    (null when there is no entity).  The batch report shows one digit; the
+    dashboard card a whole percent rounded half to even
+    (``digits=0, rounding="half_even"``)."""
     return prof.agg(
         F.count_if(F.col("anomaly_flag") != normal).alias("anomalous_users"),
         F.count_if(F.col("anomaly_flag") == normal).alias("normal_users"),
         F.count(F.lit(1)).alias("total_users"),
-    ).withColumn("anomaly_rate", exact_pct("anomalous_users", "total_users", digits))
+    ).withColumn("anomaly_rate", exact_pct("anomalous_users", "total_users", digits, rounding))
 
 
 def flag_counts(prof: DataFrame) -> DataFrame:

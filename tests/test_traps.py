@@ -161,3 +161,12 @@ def test_recommended_conf_scales_partitions():
     big = recommended_conf(100 * 2**40, 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 24
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 * 2**20)
+
+
+def test_dashboard_rate_rounds_half_even(spark):
+    # 1 of 8 flagged: 12.5 % -> 12 on the dashboard card, 12.5 in the batch report
+    rows = [("U%d" % i, 9 if i == 0 else 1, 0, 0 if i == 0 else 1) for i in range(8)]
+    prof = an.flag_anomalies(spark.createDataFrame(rows, "user_id string, views long, carts long, purchases long"))
+    assert an.anomaly_totals(prof).first().anomaly_rate == 12.5
+    assert an.anomaly_totals(prof, digits=0, rounding="half_even").first().anomaly_rate == 12.0
+    assert an.anomaly_totals(prof, digits=0).first().anomaly_rate == 13.0
