@@ -46,11 +46,15 @@ def user_activity(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> Dat
     )
 
 
-def totals(df: DataFrame) -> DataFrame:
-    """AG12: distinct users, distinct sessions and events, one row."""
+def totals(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
+    """AG12: distinct users, distinct sessions and events, one row.
+
+    Exact by default (every distinct key is shuffled once); ``approx=True``
+    merges HyperLogLog sketches instead (relative error ``rsd``)."""
+    distinct = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.count_distinct
     return df.agg(
-        F.count_distinct("user_id").alias("total_users"),
-        F.count_distinct("session_id").alias("total_sessions"),
+        distinct("user_id").alias("total_users"),
+        distinct("session_id").alias("total_sessions"),
         F.count(F.lit(1)).alias("total_events"),
     )
 

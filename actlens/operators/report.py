@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from actlens.functions import labels as L
 from actlens.functions.exprs import epoch_micros, exact_pct
-from actlens.operators.explore import peak
+from actlens.operators.explore import peak, totals
 from actlens.operators.quantiles import quantiles_from_counts
 from actlens.sources.scratch import materialize as _materialize
 
@@ -29,11 +29,12 @@ def schema_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def summary(df: DataFrame, prof: DataFrame, normal: str = L.FLAG_NORMAL) -> DataFrame:
+def summary(df: DataFrame, prof: DataFrame, normal: str = L.FLAG_NORMAL, approx: bool = False) -> DataFrame:
     """AG13: events, users, sessions, normal and anomalous entities, anomaly
     rate (percent, 1 digit), peak hour and peak weekday -- one row, one plan.
 
-    The flag counts and the peaks are scalar subqueries, each run once."""
+    The flag counts and the peaks are scalar subqueries, each run once.
+    ``approx=True`` counts distinct users and sessions with sketches."""
     flags = prof.agg(
         F.struct(
             F.count_if(F.col("anomaly_flag") == normal).alias("normal"),
@@ -43,11 +44,7 @@ def summary(df: DataFrame, prof: DataFrame, normal: str = L.FLAG_NORMAL) -> Data
     ).scalar()
     peak_hour = peak(df, "hour").select("hour").scalar()
     peak_day = peak(df, "day_of_week").select("day_of_week").scalar()
-    base = df.agg(
-        F.count(F.lit(1)).alias("total_events"),
-        F.count_distinct("user_id").alias("total_users"),
-        F.count_distinct("session_id").alias("total_sessions"),
-    )
+    base = totals(df, approx).select("total_events", "total_users", "total_sessions")
     # Each subquery is bound once as a column; later expressions refer to it.
     bound = base.withColumn("_flags", flags).withColumn("_peak_hour", peak_hour).withColumn("_peak_day", peak_day)
     return bound.select(

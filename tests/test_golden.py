@@ -120,6 +120,9 @@ def test_anomalies(act):
 def test_summary(act):
     s = rp.summary(act, an.profile(act)).first()
     assert tuple(s) == (103, 20, 20, 13, 7, 35.0, 13, "Monday")
+    approx = rp.summary(act, an.profile(act), approx=True).first()
+    assert tuple(approx) == (103, 20, 20, 13, 7, 35.0, 13, "Monday")  # sketches are exact at this size
+    assert tuple(ex.totals(act, approx=True).first()) == (20, 20, 103)
 
 
 def test_filters_search_preview(act):
