@@ -42,10 +42,14 @@ from actlens.sources.scratch import checkpoint_dir
 HOT_GROUP_ROWS = 1_000_000
 
 
-def has_hot_group(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS) -> bool:
+def has_hot_group(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS,
+                  sizes: DataFrame | None = None) -> bool:
     """Whether any ``keys`` group has more than ``hot_rows`` rows (a two-phase
-    count per key; only the answer reaches the driver)."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    count per key; only the answer reaches the driver).  ``sizes`` -- group
+    sizes in a ``_rows`` column, when the caller can produce them more
+    cheaply than by counting ``df`` -- replaces the count."""
+    if sizes is None:
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return not sizes.filter(F.col("_rows") > hot_rows).isEmpty()
 
 
@@ -104,6 +108,7 @@ def running_total_within(
     skew_safe: bool = True,
     partitions: int | None = None,
     hot_rows: int = HOT_GROUP_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``out`` = running total of ``weight`` (1 per row when None) over the
     rows of each ``keys`` group in ``order``, inclusive of the row itself.
@@ -116,7 +121,7 @@ def running_total_within(
     keys, order = list(keys), list(order)
     step = F.lit(1).cast("long") if weight is None else F.coalesce(F.col(weight).cast("long"), F.lit(0))
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if not skew_safe or (keys and not has_hot_group(df, keys, hot_rows)):
+    if not skew_safe or (keys and not has_hot_group(df, keys, hot_rows, sizes)):
         return _window_total(df, keys, order, out, step)
     return _ranged_total(df, keys, order, out, step, n)
 
@@ -129,10 +134,11 @@ def ordinal_within(
     skew_safe: bool = True,
     partitions: int | None = None,
     hot_rows: int = HOT_GROUP_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``out`` = 1-based position of each row within its ``keys`` group in
     ``order`` (ascending; must be a total order within a group)."""
-    return running_total_within(df, keys, order, out, None, skew_safe, partitions, hot_rows)
+    return running_total_within(df, keys, order, out, None, skew_safe, partitions, hot_rows, sizes)
 
 
 def rank_within(
@@ -143,13 +149,14 @@ def rank_within(
     out: str = "rank",
     skew_safe: bool = True,
     hot_rows: int = HOT_GROUP_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """``rank()`` within ``keys`` by ``order``: rows tied on ``order`` share the
     position of the first of them.  Without a hot group, the ``rank`` window;
     otherwise positions on the range-partitioned path, and each tie group
     takes its smallest position (a two-phase aggregate joined back)."""
     keys, order, tiebreak = list(keys), list(order), list(tiebreak)
-    if not skew_safe or (keys and not has_hot_group(df, keys, hot_rows)):
+    if not skew_safe or (keys and not has_hot_group(df, keys, hot_rows, sizes)):
         return df.withColumn(out, F.rank().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
     return _ranked_by_position(df, keys, order, tiebreak, out)
 

@@ -25,22 +25,23 @@ CHUNK_SIZE = 100_000
 
 
 def session_rank(df: DataFrame, keys: Sequence[str] = ("session_id",), skew_safe: bool = True,
-                 hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """WN1: rank of each event in its session by time; equal times share."""
-    return rank_within(df, keys, ORDER, TIEBREAK, "action_rank", skew_safe, hot_rows)
+                 hot_rows: int = HOT_GROUP_ROWS, sizes: DataFrame | None = None) -> DataFrame:
+    """WN1: rank of each event in its session by time; equal times share.
+    ``sizes`` (events per session in ``_rows``) spares counting them."""
+    return rank_within(df, keys, ORDER, TIEBREAK, "action_rank", skew_safe, hot_rows, sizes)
 
 
 def session_position(df: DataFrame, keys: Sequence[str] = ("session_id",), skew_safe: bool = True,
-                     hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+                     hot_rows: int = HOT_GROUP_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """WN2: unique 1-based position of each event in its session."""
-    return ordinal_within(df, keys, ORDER + TIEBREAK, "rn", skew_safe, hot_rows=hot_rows)
+    return ordinal_within(df, keys, ORDER + TIEBREAK, "rn", skew_safe, hot_rows=hot_rows, sizes=sizes)
 
 
 def session_events(df: DataFrame, chunk_size: int = CHUNK_SIZE, skew_safe: bool = True,
-                   hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+                   hot_rows: int = HOT_GROUP_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """WN3: per (session, user, chunk) the array of (time, action) in order."""
     df = df.select(*SESSION, *ORDER, *TIEBREAK, "action")
-    pos = ordinal_within(df, SESSION, ORDER + TIEBREAK, "_pos", skew_safe, hot_rows=hot_rows)
+    pos = ordinal_within(df, SESSION, ORDER + TIEBREAK, "_pos", skew_safe, hot_rows=hot_rows, sizes=sizes)
     pos = pos.withColumn("chunk", ((F.col("_pos") - 1) / F.lit(chunk_size)).cast("int"))
     grouped = pos.groupBy(*SESSION, "chunk").agg(
         F.array_sort(F.collect_list(F.struct("_pos", "time", "action"))).alias("_evs")
@@ -55,10 +56,10 @@ def session_events(df: DataFrame, chunk_size: int = CHUNK_SIZE, skew_safe: bool
 
 def session_sequences(
     df: DataFrame, sep: str = L.SEQUENCE_SEP, chunk_size: int = CHUNK_SIZE, skew_safe: bool = True,
-    hot_rows: int = HOT_GROUP_ROWS,
+    hot_rows: int = HOT_GROUP_ROWS, sizes: DataFrame | None = None,
 ) -> DataFrame:
     """WN4: ``view → cart → ...`` per (session, user, chunk), in time order."""
-    evs = session_events(df, chunk_size, skew_safe, hot_rows)
+    evs = session_events(df, chunk_size, skew_safe, hot_rows, sizes)
     return evs.select(
         *SESSION, "chunk",
         F.array_join(F.transform("actions_raw", lambda e: e["action"]), sep).alias("action_sequence"),

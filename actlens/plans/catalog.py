@@ -25,7 +25,7 @@ from actlens.operators import prepare as pr
 from actlens.operators import report as rp
 from actlens.operators import sequence as sq
 from actlens.sources.csv import read_activity, write_csv
-from actlens.sources.events import activity
+from actlens.sources.events import activity, session_sizes
 from actlens.sources.schema import ACTIVITY_COLUMNS
 from actlens.sources.scratch import scratch_path
 
@@ -219,18 +219,20 @@ def anomaly_report(spark, sf):
 
 
 # ----------------------------------------------------- session windows
+# Session sizes come from the small (user, bucket) table instead of a count
+# over the sessionised rows; they decide whether any session is hot.
 def session_rank(spark, sf):
     act = _act(spark, sf, sessions=True).select("event_id", "session_id", "time")
-    return sq.session_rank(act).select("event_id", "session_id", "action_rank")
+    return sq.session_rank(act, sizes=session_sizes(spark, sf)).select("event_id", "session_id", "action_rank")
 
 
 def session_row_number(spark, sf):
     act = _act(spark, sf, sessions=True).select("event_id", "session_id", "time")
-    return sq.session_position(act).select("event_id", "session_id", "rn")
+    return sq.session_position(act, sizes=session_sizes(spark, sf)).select("event_id", "session_id", "rn")
 
 
 def session_events(spark, sf):
-    evs = sq.session_events(_act(spark, sf, sessions=True))
+    evs = sq.session_events(_act(spark, sf, sessions=True), sizes=session_sizes(spark, sf))
     text = F.array_join(F.transform(
         "actions_raw",
         lambda e: F.concat(F.date_format(e["time"], "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("|"), e["action"]),
@@ -240,7 +242,7 @@ def session_events(spark, sf):
 
 
 def session_sequences(spark, sf):
-    return sq.session_sequences(_act(spark, sf, sessions=True))
+    return sq.session_sequences(_act(spark, sf, sessions=True), sizes=session_sizes(spark, sf))
 
 
 def complete_funnel_sessions(spark, sf):

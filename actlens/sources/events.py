@@ -34,6 +34,32 @@ def _k() -> Column:
     return F.from_json("props", "k int")["k"]
 
 
+def _numbered_buckets(df: DataFrame, user_col: str, time_col: str, gap_seconds: int, out_col: str):
+    """(events with their bucket, per (user, bucket) table with session
+    number and event count)."""
+    gap_us = int(gap_seconds) * 1_000_000
+    us = epoch_micros(time_col)
+    bucket = ((us - F.pmod(us, F.lit(gap_us))) / F.lit(gap_us)).cast("long")
+    with_bucket = df.withColumn("_us", us).withColumn("_bucket", bucket)
+
+    per_bucket = with_bucket.groupBy(user_col, "_bucket").agg(
+        F.min("_us").alias("_first_us"), F.max("_us").alias("_last_us"), F.count(F.lit(1)).alias("_n")
+    )
+    w = Window.partitionBy(user_col).orderBy("_bucket")
+    prev_bucket = F.lag("_bucket").over(w)
+    prev_last = F.lag("_last_us").over(w)
+    starts = (
+        prev_bucket.isNull()
+        | (prev_bucket < F.col("_bucket") - 1)
+        | (F.col("_first_us") - prev_last > F.lit(gap_us))
+    )
+    numbered = per_bucket.withColumn("_start", starts.cast("int")).withColumn(
+        out_col,
+        F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long"),
+    ).select(user_col, "_bucket", out_col, "_n")
+    return with_bucket, numbered
+
+
 def gap_sessions(
     df: DataFrame,
     user_col: str = "user_id",
@@ -54,31 +80,24 @@ def gap_sessions(
     events a user has -- and joined back on (user, bucket).  No window or
     group ever holds all events of one user.
     """
-    gap_us = int(gap_seconds) * 1_000_000
-    us = epoch_micros(time_col)
-    bucket = ((us - F.pmod(us, F.lit(gap_us))) / F.lit(gap_us)).cast("long")
-    with_bucket = df.withColumn("_us", us).withColumn("_bucket", bucket)
-
-    per_bucket = with_bucket.groupBy(user_col, "_bucket").agg(
-        F.min("_us").alias("_first_us"), F.max("_us").alias("_last_us")
-    )
-    w = Window.partitionBy(user_col).orderBy("_bucket")
-    prev_bucket = F.lag("_bucket").over(w)
-    prev_last = F.lag("_last_us").over(w)
-    starts = (
-        prev_bucket.isNull()
-        | (prev_bucket < F.col("_bucket") - 1)
-        | (F.col("_first_us") - prev_last > F.lit(gap_us))
-    )
-    numbered = per_bucket.withColumn("_start", starts.cast("int")).withColumn(
-        out_col,
-        F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long"),
-    ).select(user_col, "_bucket", out_col)
-
+    with_bucket, numbered = _numbered_buckets(df, user_col, time_col, gap_seconds, out_col)
     # Every event finds its bucket, so a left join returns the same rows as an
     # inner one -- and, the right side being unique on the join keys, lets
     # Catalyst drop the join from plans that never read the session number.
-    return with_bucket.join(numbered, [user_col, "_bucket"], "left").drop("_us", "_bucket")
+    return with_bucket.join(numbered.drop("_n"), [user_col, "_bucket"], "left").drop("_us", "_bucket")
+
+
+def gap_session_sizes(
+    df: DataFrame,
+    user_col: str = "user_id",
+    time_col: str = "time",
+    gap_seconds: int = SESSION_GAP_SECONDS,
+    out_col: str = "session_no",
+) -> DataFrame:
+    """Events per gap session, (user, session number, ``_rows``), summed from
+    the (user, bucket) table: one scan and small aggregates, no join."""
+    _, numbered = _numbered_buckets(df, user_col, time_col, gap_seconds, out_col)
+    return numbered.groupBy(user_col, out_col).agg(F.sum("_n").alias("_rows"))
 
 
 def activity_from_events(
@@ -133,4 +152,14 @@ def activity(spark: SparkSession, sf_dir: str, sessions: bool = True, raw_time:
     return activity_from_events(table(spark, sf_dir, "events"), sessions=sessions, raw_time=raw_time)
 
 
-__all__ = ["activity", "activity_from_events", "gap_sessions", "DEVICES"]
+def session_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(session_id, user_id, _rows) for the sessions of :func:`activity`,
+    without materialising the sessionised rows."""
+    act = activity_from_events(table(spark, sf_dir, "events"), sessions=False)
+    sizes = gap_session_sizes(act, "user_id", "time", SESSION_GAP_SECONDS, "session_no")
+    return sizes.select(
+        F.concat_ws("-", "user_id", F.col("session_no").cast("string")).alias("session_id"), "user_id", "_rows"
+    )
+
+
+__all__ = ["activity", "activity_from_events", "gap_sessions", "gap_session_sizes", "session_sizes", "DEVICES"]

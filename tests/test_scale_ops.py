@@ -144,3 +144,12 @@ def test_giant_session_is_chunked_in_order_and_whole(spark, hot_rows):
     ranks = {r.event_id: r.action_rank for r in sq.session_rank(df, hot_rows=hot_rows).collect()}
     pdf["exp"] = pdf.groupby("session_id")["time"].rank(method="min").astype(int)
     assert all(ranks[e] == x for e, x in zip(pdf["event_id"], pdf["exp"]))
+
+
+def test_session_sizes_from_buckets_match_counts(spark):
+    from actlens.sources.events import activity, session_sizes
+
+    sf = "/root/testdata/sf0.01"
+    counted = {r.session_id: r["count"] for r in activity(spark, sf).groupBy("session_id").count().collect()}
+    summed = {r.session_id: r._rows for r in session_sizes(spark, sf).collect()}
+    assert summed == counted
