@@ -179,3 +179,22 @@ def test_inferred_schema_gives_same_results(spark, fixture_csv):
     assert dict(df.dtypes)["time"] == "timestamp_ntz"
     s = rp.summary(df, an.profile(df)).first()
     assert tuple(s) == (103, 20, 20, 13, 7, 35.0, 13, "Monday")
+
+
+def test_every_user_profile(act):
+    want = {}
+    for users, vcp in (
+        (("U001", "U007", "U009", "U014"), (2, 1, 1)),
+        (("U002", "U017"), (3, 1, 1)),
+        (("U004", "U010", "U012", "U013", "U016", "U019"), (1, 1, 1)),
+        (("U005",), (2, 2, 1)),
+        (("U003", "U015"), (10, 0, 0)),
+        (("U006",), (12, 0, 0)),
+        (("U011",), (7, 0, 0)),
+        (("U008", "U018", "U020"), (5, 0, 0)),
+    ):
+        want.update({u: vcp for u in users})
+    got = {r.user_id: (r.views, r.carts, r.purchases) for r in an.user_behavior(act).collect()}
+    assert got == want
+    matrix = {r.user_id: (r.view_count, r.cart_count, r.purchase_count) for r in fn.action_matrix(act).collect()}
+    assert matrix == want
