@@ -26,6 +26,7 @@ __all__ = [
     "action_matrix", "conversion", "funnel_reach", "funnel_stage", "funnel_stage_summary",
     "stacked_actions", "add_calendar", "cleaning_report", "coverage", "domains", "drop_incomplete",
     "filter_activity", "parse_time", "persist_prepared", "prepare", "preview", "search_users", "selection",
-    "describe_all", "schema_profile", "summary", "complete_session_count", "complete_sessions", "session_events", "session_position",
-    "session_rank", "session_sequences", "activity", "read_activity", "write_csv",
+    "describe_all", "schema_profile", "summary", "complete_session_count", "complete_sessions",
+    "session_events", "session_position", "session_rank", "session_sequences", "activity", "read_activity",
+    "write_csv",
 ]
