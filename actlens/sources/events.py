@@ -121,7 +121,12 @@ def activity_from_events(
     complete = F.lit(True)
     for c in source:
         complete = complete & F.col(c).isNotNull()
-    events = events.filter(complete).withColumn("k", _k()).filter(F.col("k").isNotNull())
+    # Rows whose props hold no k are incomplete too.  Exploding the non-null
+    # parsed value keeps them out with a single JSON parse per row; a filter
+    # on the parsed column would be copied below the projection by the
+    # optimizer and parse every row twice.
+    parsed = F.explode(F.filter(F.array(_k()), lambda v: v.isNotNull())).alias("k")
+    events = events.filter(complete).select("*", parsed)
     k = F.col("k")
     device = F.element_at(F.array(*[F.lit(d) for d in DEVICES]), (k % 3 + 1).cast("int"))
     act = events.select(
