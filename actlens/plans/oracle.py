@@ -86,8 +86,11 @@ ordered AS (
 """
 
 
-def _sql(body: str) -> str:
-    return "WITH " + BASE.strip() + "\n" + body.strip()
+def _sql(body: str, extra_ctes: str = "") -> str:
+    """The base CTEs, optional extra CTEs (``name AS (...)`` pairs, comma
+    separated), then the final SELECT."""
+    ctes = BASE.strip() + (",\n" + extra_ctes.strip() if extra_ctes else "")
+    return "WITH " + ctes + "\n" + body.strip()
 
 
 def _pct(n: str, total: str, digits: int = 2) -> str:
@@ -130,8 +133,8 @@ def _describe_sql() -> str:
         "SELECT 'time' AS column_name, epoch_us(time) / 1000000.0 AS value, epoch_us(time) AS micros FROM sess "
         "UNION ALL SELECT 'hour', CAST(hour AS DOUBLE), NULL FROM sess"
     )
-    return _sql(f"""
-, tl AS ({text_long}),
+    ctes = f"""
+tl AS ({text_long}),
 tv AS (SELECT column_name, value, count(*) AS n FROM tl WHERE value IS NOT NULL GROUP BY ALL),
 tstat AS (
   SELECT column_name, CAST(sum(n) AS BIGINT) AS count, count(*) AS "unique",
@@ -148,7 +151,8 @@ nstat AS (
          min(value) AS min, quantile_cont(value, 0.25) AS p25, quantile_cont(value, 0.5) AS p50,
          quantile_cont(value, 0.75) AS p75, max(value) AS max
   FROM nl GROUP BY column_name
-)
+)"""
+    body = """
 SELECT column_name, count, "unique", top, freq,
        CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, CAST(NULL AS DOUBLE) AS min,
        CAST(NULL AS DOUBLE) AS p25, CAST(NULL AS DOUBLE) AS p50, CAST(NULL AS DOUBLE) AS p75,
@@ -158,7 +162,14 @@ UNION ALL
 SELECT column_name, count, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT),
        round(mean, 6), round(std, 6), round(min, 6), round(p25, 6), round(p50, 6), round(p75, 6), round(max, 6)
 FROM nstat
-""")
+"""
+    return _sql(body, ctes)
+
+
+REACH = f"""
+  SELECT 1 AS step, {_q(L.REACH_VIEWED)} AS stage, count(*) FILTER (WHERE views > 0) AS users FROM prof
+  UNION ALL SELECT 2, {_q(L.REACH_CARTED)}, count(*) FILTER (WHERE carts > 0) FROM prof
+  UNION ALL SELECT 3, {_q(L.REACH_PURCHASED)}, count(*) FILTER (WHERE purchases > 0) FROM prof"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -263,12 +274,10 @@ def oracle_sql() -> dict[str, str]:
         "funnel_stage_summary": f"""SELECT funnel_stage, count(*) AS user_count FROM (
                  SELECT CASE WHEN purchases > 0 THEN {_q(L.STAGE_COMPLETE)} WHEN carts > 0 THEN {_q(L.STAGE_PARTIAL)}
                       ELSE {_q(L.STAGE_BROWSE)} END AS funnel_stage FROM beh) GROUP BY funnel_stage""",
-        "funnel_reach": f"""SELECT * FROM (
-                 SELECT 1 AS step, {_q(L.REACH_VIEWED)} AS stage, count(*) FILTER (WHERE views > 0) AS users FROM prof
-                 UNION ALL SELECT 2, {_q(L.REACH_CARTED)}, count(*) FILTER (WHERE carts > 0) FROM prof
-                 UNION ALL SELECT 3, {_q(L.REACH_PURCHASED)}, count(*) FILTER (WHERE purchases > 0) FROM prof)""",
-        "funnel_percent_initial": f"""WITH_R SELECT step, stage, users,
-                 {_pct('users', '(SELECT count(*) FILTER (WHERE views > 0) FROM prof)')} AS percent_initial FROM r""",
+        "funnel_reach": f"SELECT * FROM ({REACH})",
+        "funnel_percent_initial": f"""SELECT step, stage, users,
+                 {_pct('users', '(SELECT count(*) FILTER (WHERE views > 0) FROM prof)')} AS percent_initial
+                 FROM ({REACH})""",
         "funnel_conversion": f"""SELECT viewers, carters, purchasers,
                  {_half_even('carters * 100', 'viewers')} AS view_to_cart_rate,
                  {_half_even('purchasers * 100', 'carters')} AS cart_to_purchase_rate
@@ -292,13 +301,4 @@ def oracle_sql() -> dict[str, str]:
         "hyperactive_users": f"""SELECT {_PROFILE_COLS}, {_q(L.BEHAVIOR_SUSPECTED)} AS behavior_type FROM prof
                  WHERE views > (SELECT threshold FROM thr)""",
     }
-    out = {}
-    for name, body in q.items():
-        if name == "describe_all":
-            out[name] = body
-        elif body.startswith("WITH_R"):
-            reach = q["funnel_reach"]
-            out[name] = _sql(f", r AS ({reach})\n" + body[len("WITH_R"):])
-        else:
-            out[name] = _sql(body)
-    return out
+    return {name: body if name == "describe_all" else _sql(body) for name, body in q.items()}
