@@ -307,6 +307,20 @@ def hyperactive_users(spark, sf):
     return an.hyperactive(_prof(spark, sf), materialize=True)
 
 
+# ------------------------------------------- the reference's per-user grain
+def anomaly_flag_by_user(spark, sf):
+    return an.profile(_act(spark, sf))
+
+
+def funnel_stage_by_user(spark, sf):
+    return fn.funnel_stage(fn.action_matrix(_act(spark, sf)))
+
+
+def views_threshold_by_user(spark, sf):
+    t = an.views_threshold(an.profile(_act(spark, sf)))
+    return t.select(*[F.round(c, 6).alias(c) for c in ("mean_views", "std_views", "threshold")])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -323,6 +337,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stacked_actions,
         view_purchase_ratio, anomaly_flag, flagged_users, anomaly_totals, flag_counts, behavior_type,
         hyperactive_users,
+        anomaly_flag_by_user, funnel_stage_by_user, views_threshold_by_user,
     )
 }
 

@@ -75,6 +75,22 @@ prof AS (
                  ELSE {_q(L.FLAG_NORMAL)} END AS anomaly_flag
   FROM ratio
 ),
+ubeh AS (
+  SELECT user_id,
+         count(*) FILTER (WHERE action = 'view') AS views,
+         count(*) FILTER (WHERE action = 'cart') AS carts,
+         count(*) FILTER (WHERE action = 'purchase') AS purchases,
+         count(*) AS total_actions
+  FROM act GROUP BY user_id
+),
+uprof AS (
+  SELECT *, CASE WHEN views >= {L.MIN_VIEWS_NO_PURCHASE} AND purchases = 0 THEN {_q(L.FLAG_HIGH)}
+                 WHEN view_purchase_ratio > {L.MAX_VIEW_RATIO} AND purchases > 0 THEN {_q(L.FLAG_MODERATE)}
+                 ELSE {_q(L.FLAG_NORMAL)} END AS anomaly_flag
+  FROM (SELECT *, CASE WHEN purchases = 0 THEN CAST(views AS DOUBLE)
+                       ELSE CAST((views * 100 * 2 + purchases) // (2 * purchases) AS DOUBLE) / 100 END
+                  AS view_purchase_ratio FROM ubeh)
+),
 thr AS (
   SELECT avg(views) AS mean_views, stddev_samp(views) AS std_views,
          avg(views) + {L.STDDEV_K} * stddev_samp(views) AS threshold
@@ -300,5 +316,13 @@ def oracle_sql() -> dict[str, str]:
                  THEN {_q(L.BEHAVIOR_SUSPECTED)} ELSE {_q(L.BEHAVIOR_NORMAL)} END AS behavior_type FROM prof""",
         "hyperactive_users": f"""SELECT {_PROFILE_COLS}, {_q(L.BEHAVIOR_SUSPECTED)} AS behavior_type FROM prof
                  WHERE views > (SELECT threshold FROM thr)""",
+        # the reference's per-user grain
+        "anomaly_flag_by_user": """SELECT user_id, views, carts, purchases, total_actions, view_purchase_ratio,
+                 anomaly_flag FROM uprof""",
+        "funnel_stage_by_user": f"""SELECT user_id, views AS view_count, carts AS cart_count, purchases AS purchase_count,
+                 CASE WHEN purchases > 0 THEN {_q(L.STAGE_COMPLETE)} WHEN carts > 0 THEN {_q(L.STAGE_PARTIAL)}
+                      ELSE {_q(L.STAGE_BROWSE)} END AS funnel_stage FROM ubeh""",
+        "views_threshold_by_user": f"""SELECT round(avg(views), 6) AS mean_views, round(stddev_samp(views), 6) AS std_views,
+                 round(avg(views) + {L.STDDEV_K} * stddev_samp(views), 6) AS threshold FROM uprof""",
     }
     return {name: body if name == "describe_all" else _sql(body) for name, body in q.items()}
