@@ -316,6 +316,14 @@ def funnel_stage_by_user(spark, sf):
     return fn.funnel_stage(fn.action_matrix(_act(spark, sf)))
 
 
+def behavior_type_by_user(spark, sf):
+    return an.label_hyperactive(an.profile(_act(spark, sf)), materialize=True)
+
+
+def anomaly_totals_by_user(spark, sf):
+    return an.anomaly_totals(an.profile(_act(spark, sf)))
+
+
 def views_threshold_by_user(spark, sf):
     t = an.views_threshold(an.profile(_act(spark, sf)))
     return t.select(*[F.round(c, 6).alias(c) for c in ("mean_views", "std_views", "threshold")])
@@ -337,7 +345,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stacked_actions,
         view_purchase_ratio, anomaly_flag, flagged_users, anomaly_totals, flag_counts, behavior_type,
         hyperactive_users,
-        anomaly_flag_by_user, funnel_stage_by_user, views_threshold_by_user,
+        anomaly_flag_by_user, funnel_stage_by_user, views_threshold_by_user, behavior_type_by_user,
+        anomaly_totals_by_user,
     )
 }
 

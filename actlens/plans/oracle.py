@@ -322,6 +322,13 @@ def oracle_sql() -> dict[str, str]:
         "funnel_stage_by_user": f"""SELECT user_id, views AS view_count, carts AS cart_count, purchases AS purchase_count,
                  CASE WHEN purchases > 0 THEN {_q(L.STAGE_COMPLETE)} WHEN carts > 0 THEN {_q(L.STAGE_PARTIAL)}
                       ELSE {_q(L.STAGE_BROWSE)} END AS funnel_stage FROM ubeh""",
+        "behavior_type_by_user": f"""SELECT user_id, views, carts, purchases, total_actions, view_purchase_ratio,
+                 anomaly_flag, CASE WHEN views > (SELECT avg(views) + {L.STDDEV_K} * stddev_samp(views) FROM uprof)
+                 THEN {_q(L.BEHAVIOR_SUSPECTED)} ELSE {_q(L.BEHAVIOR_NORMAL)} END AS behavior_type FROM uprof""",
+        "anomaly_totals_by_user": f"""SELECT count(*) FILTER (WHERE anomaly_flag <> {_q(L.FLAG_NORMAL)}) AS anomalous_users,
+                 count(*) FILTER (WHERE anomaly_flag = {_q(L.FLAG_NORMAL)}) AS normal_users, count(*) AS total_users,
+                 {_pct("count(*) FILTER (WHERE anomaly_flag <> " + _q(L.FLAG_NORMAL) + ")", "count(*)", 1)}
+                   AS anomaly_rate FROM uprof""",
         "views_threshold_by_user": f"""SELECT round(avg(views), 6) AS mean_views, round(stddev_samp(views), 6) AS std_views,
                  round(avg(views) + {L.STDDEV_K} * stddev_samp(views), 6) AS threshold FROM uprof""",
     }
