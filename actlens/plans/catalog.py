@@ -7,7 +7,8 @@ are aliased to match :mod:`actlens.plans.oracle`.
 Grain: per-user counts follow the reference (one row per user).  The
 anomaly, funnel-stage and hyperactivity analyses run per (user, week),
 because in the test tables every user buys at some point, which would leave
-those rules with nothing to find.
+those rules with nothing to find; the ``*_by_user`` entries run the same
+rules at the reference's per-user grain.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actlens.functions import labels as L
 from actlens.operators import anomaly as an
 from actlens.operators import explore as ex
 from actlens.operators import funnel as fn
@@ -350,4 +350,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-__all__ = ["QUERIES", "GRAIN", "L"]
+__all__ = ["QUERIES", "GRAIN"]
