@@ -24,24 +24,36 @@ TIEBREAK = ("event_id",)
 CHUNK_SIZE = 100_000
 
 
+def _tiebreak(df: DataFrame, used: Sequence[str]) -> tuple:
+    """Order within equal times: the event key when the frame has one, else
+    the remaining columns -- rows equal on all of them are indistinguishable,
+    so any order among them gives the same result."""
+    if all(c in df.columns for c in TIEBREAK):
+        return TIEBREAK
+    return tuple(c for c in df.columns if c not in used)
+
+
 def session_rank(df: DataFrame, keys: Sequence[str] = ("session_id",), skew_safe: bool = True,
                  hot_rows: int = HOT_GROUP_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """WN1: rank of each event in its session by time; equal times share.
     ``sizes`` (events per session in ``_rows``) spares counting them."""
-    return rank_within(df, keys, ORDER, TIEBREAK, "action_rank", skew_safe, hot_rows, sizes)
+    return rank_within(df, keys, ORDER, _tiebreak(df, (*keys, *ORDER)), "action_rank", skew_safe, hot_rows, sizes)
 
 
 def session_position(df: DataFrame, keys: Sequence[str] = ("session_id",), skew_safe: bool = True,
                      hot_rows: int = HOT_GROUP_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """WN2: unique 1-based position of each event in its session."""
-    return ordinal_within(df, keys, ORDER + TIEBREAK, "rn", skew_safe, hot_rows=hot_rows, sizes=sizes)
+    order = ORDER + _tiebreak(df, (*keys, *ORDER))
+    return ordinal_within(df, keys, order, "rn", skew_safe, hot_rows=hot_rows, sizes=sizes)
 
 
 def session_events(df: DataFrame, chunk_size: int = CHUNK_SIZE, skew_safe: bool = True,
                    hot_rows: int = HOT_GROUP_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """WN3: per (session, user, chunk) the array of (time, action) in order."""
-    df = df.select(*SESSION, *ORDER, *TIEBREAK, "action")
-    pos = ordinal_within(df, SESSION, ORDER + TIEBREAK, "_pos", skew_safe, hot_rows=hot_rows, sizes=sizes)
+    tiebreak = TIEBREAK if all(c in df.columns for c in TIEBREAK) else ()
+    df = df.select(*SESSION, *ORDER, *tiebreak, "action")
+    order = ORDER + _tiebreak(df, (*SESSION, *ORDER))
+    pos = ordinal_within(df, SESSION, order, "_pos", skew_safe, hot_rows=hot_rows, sizes=sizes)
     pos = pos.withColumn("chunk", ((F.col("_pos") - 1) / F.lit(chunk_size)).cast("int"))
     grouped = pos.groupBy(*SESSION, "chunk").agg(
         F.array_sort(F.collect_list(F.struct("_pos", "time", "action"))).alias("_evs")

@@ -198,3 +198,17 @@ def test_every_user_profile(act):
     assert got == want
     matrix = {r.user_id: (r.view_count, r.cart_count, r.purchase_count) for r in fn.action_matrix(act).collect()}
     assert matrix == want
+
+
+def test_readme_example_without_event_key(spark, fixture_csv):
+    from actlens import hyperactive, prepare, profile, read_activity, session_sequences, summary
+
+    df = prepare(read_activity(spark, fixture_csv))
+    assert "event_id" not in df.columns
+    prof = profile(df)
+    assert [r.user_id for r in hyperactive(prof).collect()] == ["U006"]
+    seqs = {r.session_id: r.action_sequence for r in session_sequences(df).collect()}
+    assert seqs["S109"] == L.SEQUENCE_SEP.join(["view", "cart", "view", "purchase"])
+    assert tuple(summary(df, prof).first()) == (103, 20, 20, 13, 7, 35.0, 13, "Monday")
+    ranks = sq.session_rank(df).select("action_rank").collect()
+    assert len(ranks) == 103
