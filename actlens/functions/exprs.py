@@ -63,11 +63,23 @@ def exact_ratio(num: str | Column, den: str | Column, digits: int) -> Column:
     return k.cast("double") / F.lit(float(scale))
 
 
-def parse_timestamp_ntz(c: str | Column, fmt: str = L.TIME_FORMAT) -> Column:
+def parse_timestamp_ntz(c: str | Column, fmt: str = L.TIME_FORMAT, fraction: bool = True) -> Column:
     """Parse text with a fixed layout to TIMESTAMP_NTZ; malformed text gives
-    null instead of an ANSI error.  Already-typed timestamps pass through."""
+    null instead of an ANSI error.  With ``fraction`` the layout may be
+    followed by up to six fractional-second digits (as :func:`time_text`
+    writes them)."""
     c = col(c)
-    return F.when(F.try_to_timestamp(c, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(c, F.lit(fmt)))
+    pattern = F.lit(f"{fmt}[.SSSSSS]" if fraction else fmt)
+    return F.when(F.try_to_timestamp(c, pattern).isNotNull(), F.to_timestamp_ntz(c, pattern))
+
+
+def time_text(c: str | Column, fmt: str = L.TIME_FORMAT) -> Column:
+    """A timestamp as text in the file layout, with ``.ffffff`` only when the
+    time has a fraction of a second -- the inverse of
+    :func:`parse_timestamp_ntz`."""
+    c = col(c)
+    whole = F.date_format(c, "SSSSSS") == F.lit("000000")
+    return F.when(whole, F.date_format(c, fmt)).otherwise(F.date_format(c, f"{fmt}.SSSSSS"))
 
 
 def epoch_micros(c: str | Column) -> Column:

@@ -170,3 +170,31 @@ def test_dashboard_rate_rounds_half_even(spark):
     assert an.anomaly_totals(prof).first().anomaly_rate == 12.5
     assert an.anomaly_totals(prof, digits=0, rounding="half_even").first().anomaly_rate == 12.0
     assert an.anomaly_totals(prof, digits=0).first().anomaly_rate == 13.0
+
+
+def test_csv_export_round_trips_prepared_rows(spark, tmp_path):
+    from actlens.sources.csv import read_activity, write_csv
+
+    df = activity_frame(spark, [("U1", "S1", "view", "2024-01-15 08:00:01"), ("U1", "S1", "cart", T0 + "2")])
+    df = df.withColumn("time", F.when(F.col("action") == "cart", F.col("time") + F.expr("INTERVAL 0.123456 SECOND"))
+                       .otherwise(F.col("time")))
+    from actlens.sources.schema import ACTIVITY_COLUMNS
+
+    path = write_csv(df.withColumn("product_id", F.lit("P1")).select(*ACTIVITY_COLUMNS), str(tmp_path / "out"))
+    back = pr.prepare(read_activity(spark, path), calendar=False)
+    assert sorted(str(r.time) for r in back.collect()) == sorted(str(r.time) for r in df.collect())
+    text = open(sorted((tmp_path / "out").glob("part-*.csv"))[0]).read() + "".join(
+        open(p).read() for p in sorted((tmp_path / "out").glob("part-*.csv"))[1:])
+    assert "2024-01-15 08:00:01," in text and ".123456" in text and "T08" not in text
+
+
+def test_reordered_csv_columns_fail_loudly(spark, tmp_path):
+    import pytest as _pytest
+
+    from actlens.sources.csv import read_activity
+
+    p = tmp_path / "bad.csv"
+    p.write_text("session_id,user_id,action,category,product_id,time,hour,day_of_week,device\n"
+                 "S1,U1,view,Books,P1,2024-01-15 08:00:00,8,Monday,mobile\n")
+    with _pytest.raises(Exception):
+        read_activity(spark, str(p)).collect()
