@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from actlens.functions import labels as L
-from actlens.functions.exprs import epoch_micros, exact_pct
+from actlens.functions.exprs import epoch_micros, exact_pct, time_text
 from actlens.operators.explore import peak, totals
 from actlens.operators.quantiles import quantiles_from_counts
 from actlens.sources.scratch import materialize as _materialize
@@ -164,5 +164,16 @@ def describe_all(df: DataFrame, display: bool = False, approx: bool = False,
         *[F.col(c).cast("double") for c in ("mean", "std", "min", "p25", "p50", "p75", "max")],
     )
     if display:
-        out = out.select(*[F.coalesce(F.col(c).cast("string"), F.lit("—")).alias(c) for c in cols])
+        # Datetime statistics are shown as timestamps, as pandas does; epoch
+        # seconds are turned back by interval arithmetic, free of time zones.
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+        def shown(c: str):
+            text = F.col(c).cast("string")
+            if c in ("mean", "min", "p25", "p50", "p75", "max"):
+                as_time = time_text(epoch + F.make_dt_interval(secs=F.col(c).cast("decimal(18,6)")))
+                text = F.when(is_dt, as_time).otherwise(text)
+            return F.coalesce(text, F.lit("—")).alias(c)
+
+        out = out.select(*[shown(c) for c in cols])
     return out

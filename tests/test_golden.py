@@ -212,3 +212,9 @@ def test_readme_example_without_event_key(spark, fixture_csv):
     assert tuple(summary(df, prof).first()) == (103, 20, 20, 13, 7, 35.0, 13, "Monday")
     ranks = sq.session_rank(df).select("action_rank").collect()
     assert len(ranks) == 103
+
+
+def test_describe_display_shows_times(act):
+    shown = {r.column_name: r for r in rp.describe_all(act.select("time", "hour", "action"), display=True).collect()}
+    assert shown["time"]["min"] == "2024-01-15 08:00:00" and shown["time"]["max"].startswith("2024-01-16 ")
+    assert shown["time"]["std"] == "—" and shown["hour"]["min"] == "8.0" and shown["action"]["mean"] == "—"
