@@ -27,6 +27,9 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # Checkpoints (range-partitioned numbering, materialised profiles) are
+    # removed once nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -48,6 +51,7 @@ def recommended_conf(input_bytes: int, total_cores: int,
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
         # broadcast only what AQE has measured to be small
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 
