@@ -25,10 +25,14 @@ def _in(values) -> str:
 
 BASE = f"""
 ev AS (
-  SELECT event_id, ts, CAST(user_id AS VARCHAR) AS user_id,
-         CASE WHEN event_type = 'click' THEN 'cart' ELSE event_type END AS action,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
-  FROM events
+  SELECT * FROM (
+    SELECT event_id, ts, CAST(user_id AS VARCHAR) AS user_id,
+           CASE WHEN event_type = 'click' THEN 'cart' ELSE event_type END AS action,
+           CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+    FROM events
+    WHERE event_id IS NOT NULL AND ts IS NOT NULL AND user_id IS NOT NULL AND event_type IS NOT NULL
+      AND props IS NOT NULL)
+  WHERE k IS NOT NULL
 ),
 act AS (
   SELECT event_id, user_id, action,
