@@ -33,7 +33,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from actlens.sources.scratch import checkpoint_dir
+from actlens.sources.scratch import materialize
 
 
 # A group with more rows than this sends the input to the range-partitioned
@@ -60,9 +60,8 @@ def _window_total(df: DataFrame, keys: list, order: list, out: str, step) -> Dat
 
 def _ranged_total(df: DataFrame, keys: list, order: list, out: str, step, n: int) -> DataFrame:
     key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_k"))
-    checkpoint_dir(df.sparkSession)
     ranged = df.repartitionByRange(n, *keys, *order).withColumn("_pid", F.spark_partition_id())
-    ranged = ranged.checkpoint(eager=True)
+    ranged = materialize(ranged, "ranged")
     w_local = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_local", F.sum(step).over(w_local).cast("long"))
 

@@ -10,8 +10,6 @@ import os
 
 from pyspark.sql import SparkSession
 
-from actlens.sources.scratch import checkpoint_dir
-
 __all__ = ["DEFAULTS", "build_session", "recommended_conf"]
 
 # Settings every run wants: adaptive execution re-plans at runtime (coalesces
@@ -67,5 +65,4 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark

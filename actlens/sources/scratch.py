@@ -1,51 +1,41 @@
-"""Shared scratch locations.
+"""Intermediate tables in the cluster's shared folder.
 
-Intermediate tables and lineage cuts go under the folder the cluster names
-in ``spark.checkpoint.dir`` (a shared file system on a cluster).  Only when
-that setting is absent, as in local tests, do we create a folder of our own.
+Everything goes under the folder that the session names in
+``spark.checkpoint.dir``.  Where that setting is absent, a folder inside the
+warehouse (shared as well) is used; the session itself is never changed.
+Folders are removed when the application ends.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder.
-
-    On a cluster it must be configured (``spark.checkpoint.dir`` on a shared
-    file system); a machine-local folder would not be readable by other
-    executors.  Only a local-mode session without the setting gets a fresh
-    temporary folder (tests, laptops)."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set: point it at a shared folder (HDFS, object store) "
-                "so checkpoints and scratch tables survive executor loss"
-            )
-        current = tempfile.mkdtemp(prefix="actlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder for intermediate data."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique folder path under the checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder and read it from there.
-
-    For a derived table that several plans reuse (a per-user profile, say):
-    they then read the written rows instead of recomputing them from the
-    events, and the lineage is cut, so a lost executor does not recompute it."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """A new folder under :func:`scratch_root`, deleted when the application ends."""
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(where)
+    fs.deleteOnExit(where)
+    return path
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as parquet to a scratch folder and read it from there.
+
+    For a derived table that several plans reuse: they read the written rows
+    instead of computing them again, and the lineage is cut, so that a lost
+    executor costs only the tasks it was running."""
+    spark = df.sparkSession
+    path = f"{scratch_path(spark, name)}/data"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
