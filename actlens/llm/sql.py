@@ -2,4 +2,27 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from actlens.llm.line_dedup import MIN_PAGES, MOST, RATIO
+
+#: Line dedup: documents with ``lines``, ``kept`` and ``dropped`` (number).
+LINES_CTE = f"""
+pages AS (SELECT *, string_split(text, chr(10)) AS lines FROM documents),
+line AS (SELECT source, text, unnest(list_distinct(list_transform(lines, lambda x: trim(x, ' ' || chr(9) || chr(13))))) AS line
+         FROM pages),
+freq AS (SELECT source, line, count(DISTINCT text) AS n FROM line WHERE line != '' GROUP BY ALL),
+host AS (SELECT source, count(DISTINCT text) AS total FROM pages GROUP BY ALL),
+gone AS (SELECT f.source, list(f.line) AS gone FROM freq f JOIN host h ON f.source IS NOT DISTINCT FROM h.source
+         WHERE f.n >= {MIN_PAGES} AND f.n > {RATIO}::DOUBLE * h.total GROUP BY ALL),
+cut AS (SELECT p.*, list_filter(lines, lambda x: gone IS NULL OR NOT list_contains(gone, trim(x, ' ' || chr(9) || chr(13)))) AS some,
+               len(list_filter(lines, lambda x: trim(x, ' ' || chr(9) || chr(13)) != '')) AS full_lines
+        FROM pages p LEFT JOIN gone g ON p.source IS NOT DISTINCT FROM g.source),
+kept AS (SELECT *, CASE WHEN len(lines) - len(some) <= {MOST}::DOUBLE * full_lines THEN some ELSE lines END AS kept FROM cut)
+"""
+
+ORACLE: dict[str, str] = {
+    "op5_line_dedup": f"""
+WITH {LINES_CTE}
+SELECT doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(len(lines) - len(kept), 0)::BIGINT AS n_dropped,
+       sha256(array_to_string(kept, chr(10))) AS kept_sha256
+FROM kept""",
+}
