@@ -19,6 +19,7 @@ from actlens.llm import (
     quality_rules,
     simhash,
     substring_dedup,
+    warc,
 )
 
 
@@ -56,6 +57,10 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(_table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -73,6 +78,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_simhash": op2_simhash,
+    "op3_warc": op3_warc,
     "op5_line_dedup": op5_line_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_quality_rules": op7_quality_rules,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from actlens.llm.line_dedup import MIN_PAGES, MOST, RATIO
+from actlens.llm.warc import MIN_REVISIT
 
 #: Line dedup: documents with ``lines``, ``kept`` and ``dropped`` (number).
 LINES_CTE = f"""
@@ -13,13 +14,20 @@ freq AS (SELECT source, line, count(DISTINCT text) AS n FROM line WHERE line !=
 host AS (SELECT source, count(DISTINCT text) AS total FROM pages GROUP BY ALL),
 gone AS (SELECT f.source, list(f.line) AS gone FROM freq f JOIN host h ON f.source IS NOT DISTINCT FROM h.source
          WHERE f.n >= {MIN_PAGES} AND f.n > {RATIO}::DOUBLE * h.total GROUP BY ALL),
-cut AS (SELECT p.*, list_filter(lines, lambda x: gone IS NULL OR NOT list_contains(gone, trim(x, ' ' || chr(9) || chr(13)))) AS some,
+cut AS (SELECT p.*, list_filter(lines, lambda x: gone IS NULL OR NOT list_contains(gone, trim(x, ' ' || chr(9) || chr(13)))) AS rest,
                len(list_filter(lines, lambda x: trim(x, ' ' || chr(9) || chr(13)) != '')) AS full_lines
         FROM pages p LEFT JOIN gone g ON p.source IS NOT DISTINCT FROM g.source),
-kept AS (SELECT *, CASE WHEN len(lines) - len(some) <= {MOST}::DOUBLE * full_lines THEN some ELSE lines END AS kept FROM cut)
+kept AS (SELECT *, CASE WHEN len(lines) - len(rest) <= {MOST}::DOUBLE * full_lines THEN rest ELSE lines END AS kept FROM cut)
 """
 
 ORACLE: dict[str, str] = {
+    "op3_warc": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+g AS (SELECT html, max(page_id) AS original FROM p WHERE n >= {MIN_REVISIT} GROUP BY html)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN original != page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN original != page_id THEN original END AS refers_to
+FROM p LEFT JOIN g ON p.html = g.html""",
     "op5_line_dedup": f"""
 WITH {LINES_CTE}
 SELECT doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(len(lines) - len(kept), 0)::BIGINT AS n_dropped,
