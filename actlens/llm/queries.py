@@ -19,6 +19,7 @@ from actlens.llm import (
     quality_rules,
     simhash,
     substring_dedup,
+    url_filter,
     warc,
 )
 
@@ -61,6 +62,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_simhash": op2_simhash,
     "op3_warc": op3_warc,
+    "op4_url_filter": op4_url_filter,
     "op5_line_dedup": op5_line_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_quality_rules": op7_quality_rules,
