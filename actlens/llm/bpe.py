@@ -224,14 +224,13 @@ def decode(ids_col, path: str, pattern: str):
     return run(ids_col)
 
 
-def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Encode ``text``, decode the ids again, and return per document
-    ``doc_id, n_tokens, ids_sha256`` (of the decimal ids joined by commas)
-    and ``decoded_sha256`` (of the decoded bytes)."""
-    ids = encode(docs.select("doc_id", "text"), path, pattern)
+def summary(ids_col, path: str, pattern: str):
+    """Column expression over an array of token ids: a struct of ``n_tokens``,
+    ``ids_sha256`` (of the decimal ids joined by commas) and
+    ``decoded_sha256`` (of the decoded bytes).  Null counts as no tokens."""
 
     @arrow_udf("struct<n_tokens bigint, ids_sha256 string, decoded_sha256 string>")
-    def summary(arrays: pa.Array) -> pa.Array:
+    def run(arrays: pa.Array) -> pa.Array:
         bpe = tokenizer(path, pattern)
         name = decimal_ids(path, pattern)
         rows = []
@@ -243,7 +242,16 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
                                           ["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return ids.select("doc_id", summary("token_ids").alias("s")).select("doc_id", "s.*")
+    return run(ids_col)
+
+
+def digests(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """Encode ``text``, decode the ids again, and return per document
+    ``doc_id, n_tokens, ids_sha256, decoded_sha256`` (see :func:`summary`)
+    and, if asked for, ``token_ids``."""
+    ids = encode(docs.select("doc_id", "text"), path, pattern)
+    return ids.select("doc_id", summary(F.col("token_ids"), path, pattern).alias("s"), "token_ids").select(
+        "doc_id", "s.*", *["token_ids"] * with_ids)
 
 
 @lru_cache(maxsize=4)

@@ -254,5 +254,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6,
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all columns kept.
     Rows with a null ``doc_id`` cannot be named by a match and stay."""
-    leaks = contaminated(docs, benchmark, **how).select("doc_id").distinct()
+    # Written first, so that its size is known when the join is planned.
+    leaks = materialize(contaminated(docs, benchmark, **how).select("doc_id").distinct(), "leaks")
     return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)

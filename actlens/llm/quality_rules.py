@@ -184,4 +184,10 @@ def judge(docs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         "kept", ~F.col("base_failed") & verdict(rules))
 
 
-__all__ = ["COUNTS", "Condition", "base_failed", "covers", "fit", "judge", "learn", "sampled_labels", "verdict"]
+def keep_good(docs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The rows of ``docs`` that :func:`judge` keeps, all columns as they are."""
+    good = with_counts(docs, whole=True).where(~base_failed() & verdict(rules))
+    return good.select("row.*")
+
+
+__all__ = ["COUNTS", "Condition", "base_failed", "covers", "fit", "judge", "keep_good", "learn", "sampled_labels", "verdict"]

@@ -259,3 +259,16 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4, spare: int
     of_print = distinct.join(groups, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(of_print, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is the smallest of its group, all
+    columns as they are.  Rows with a null ``doc_id`` stay; rows that share a
+    ``doc_id`` are one document, of which the first row in text order stays."""
+    groups = near_duplicates(docs, **how)
+    first = groups.where("doc_id = component_id").groupBy("doc_id").count()
+    kept = docs.join(first.where("count = 1"), "doc_id", "left_semi")
+    repeated = docs.join(first.where("count > 1"), "doc_id", "left_semi").groupBy("doc_id").agg(
+        F.min(F.struct(*[F.col(c) for c in sorted(docs.columns, key=lambda c: c != "text")])).alias("row"))
+    return kept.unionByName(repeated.select(*[F.col("row")[c].alias(c) for c in docs.columns])).unionByName(
+        docs.where("doc_id is null"))

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from actlens.llm.batches import slices, words
 
@@ -61,13 +62,18 @@ def counts_of(text: str | None) -> tuple[int, ...]:
             stops, upper, marked)
 
 
-def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``doc_id`` and :data:`COUNTS` (long) of every row; one pass, no shuffle."""
+def with_counts(docs: DataFrame, text_col: str = "text", whole: bool = False) -> DataFrame:
+    """``doc_id`` and :data:`COUNTS` (long) of every row; one pass, no shuffle.
+    With ``whole`` the row itself comes instead of ``doc_id``, as struct ``row``."""
+    lead = F.struct(*docs.columns).alias("row") if whole else F.col("doc_id").cast("long").alias("doc_id")
+    chosen = docs.select(lead, F.col(text_col).alias("_text"))
+    name = chosen.columns[0]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "_text"):
             rows = [counts_of(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(list(c), pa.int64()) for c in zip(*rows))], ["doc_id", *COUNTS])
+                [batch.column(0), *(pa.array(list(c), pa.int64()) for c in zip(*rows))], [name, *COUNTS])
 
-    schema = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS)
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", f"`{text_col}` text").mapInArrow(run, schema)
+    schema = f"{name} {chosen.schema[0].dataType.simpleString()}, " + ", ".join(f"{c} long" for c in COUNTS)
+    return chosen.mapInArrow(run, schema)
