@@ -270,7 +270,7 @@ def detect(docs: DataFrame, threshold: float = 0.9) -> DataFrame:
         accepted = seen["code"][probability >= threshold].tolist()
     good = F.array(*[F.lit(int(c)) for c in accepted]) if accepted else F.array().cast("array<int>")
     added = F.filter("loose", lambda s, i: F.array_contains(good, F.element_at("codes", F.size("base") + i + 1)))
-    n = [F.size(F.filter("base", lambda s, k=k: s["k"] == k)).cast("long").alias(f"n_{name}")
-         for k, name in enumerate(KINDS)]
+    kinds = F.transform("base", lambda s: s["k"])
+    n = [(F.size("base") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return found.select("doc_id", *n, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
                         _joined(F.concat("base", added)).alias("spans"))

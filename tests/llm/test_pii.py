@@ -1,0 +1,88 @@
+import random
+import re
+from hashlib import sha256
+
+import numpy as np
+
+from actlens.llm import pii
+
+
+def brute(text):
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        out.append((0, m.start(), m.end()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m.group().split(".")):
+            out.append((1, m.start(), m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m.group())
+        total = 0
+        for i, c in enumerate(reversed(digits)):
+            v = int(c) * (2 if i % 2 else 1)
+            total += v - 9 if v > 9 else v
+        if 13 <= len(digits) <= 19 and total % 10 == 0:
+            out.append((2, m.start(), m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(re.sub("[^0-9]", "", m.group())) <= 15:
+            out.append((3, m.start(), m.end()))
+    return sorted(out)
+
+
+ATOMS = ["1", "23", "255", "256", ".", ".", " ", "-", "+", "@", "a", "b.c", "é", "(", ")", "x@y.z", "4111111111111111", "007",
+         "+1 (974) 555-3436", "10.0.0.1", "\n", "٣", "😀", "5500 0000 0000 0004", "at", " dot ", "[at]", ":", "1:2:3:4:5:6:7:8"]
+
+
+def texts(n, seed=3):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(ATOMS) for _ in range(rng.randint(0, 14))) for _ in range(n)]
+
+
+def test_base_spans_equal_the_patterns():
+    for t in texts(30000):
+        assert pii.base_spans(t) == brute(t), t
+
+
+def test_long_runs_take_linear_time():
+    t = "1" * 300000 + " " + "a" * 200000 + "@" + "." * 100000 + "+1" + "(" * 100000 + "1.1." * 50000
+    assert len(pii.base_spans(t)) == 25000
+
+
+def test_candidates_overlap_no_base_span():
+    for t in texts(5000, 4):
+        base, loose = pii.candidates(t)
+        assert base == brute(t)
+        assert all(b <= x or y <= a for _, a, b in loose for _, x, y in base)
+
+
+def test_reliabilities_find_a_liar():
+    rng = np.random.default_rng(2)
+    truth = rng.random(4000) < 0.3
+    right = np.array([0.95, 0.9, 0.85, 0.55, 0.9])
+    says = np.where(rng.random((4000, 5)) < right, truth[:, None], ~truth[:, None])
+    vote = np.where(rng.random((4000, 5)) < 0.2, 0, np.where(says, 1, 2))
+    patterns, inverse, count = np.unique(vote, axis=0, return_inverse=True, return_counts=True)
+    p, rate = pii.reliabilities(patterns, count)
+    assert ((p > 0.5)[inverse.ravel()] == truth).mean() > 0.95
+    trust = rate[1][:, 1] / (rate[1][:, 1] + rate[1][:, 2])
+    assert trust.argmin() == 3 and abs(trust[0] - 0.95) < 0.05
+
+
+def test_detect(spark):
+    rows = [(i, t, 0) for i, t in enumerate(texts(300, 9))] + [(900, None, 0), (901, "", 0), (901, "", 0), (None, "a@b.cd", 0)]
+    rows += [(1000 + i, f"call me by phone: {200 + i} 555 01{i:02d} or mail joe at example dot com", 0) for i in range(40)]
+    rows += [(2000 + i, f"phone +1 (974) 555-34{i:02d}, mail a{i}@example.com", 0) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, base int")
+    got = pii.detect(docs.repartition(3)).collect()
+    assert len(got) == len(rows)
+    by_id = {r.doc_id: r for r in got}
+    for i, t, _ in rows:
+        base = brute(t or "")
+        r = by_id[i]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for x, _, _ in base) for k in range(4)]
+        text = [f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in base]
+        assert r.base_sha256 == sha256(",".join(text).encode()).hexdigest()
+        spans = r.spans.split(",") if r.spans else []
+        assert set(text) <= set(spans)
+        order = [(pii.KINDS.index(k), int(a)) for k, a, _ in (s.split(":") for s in spans)]
+        assert order == sorted(order)
+    assert pii.detect(docs.limit(0)).collect() == []
