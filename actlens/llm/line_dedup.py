@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from actlens.sources.scratch import materialize
+
 RATIO = 0.02
 MIN_PAGES = 5
 MOST = 0.8
@@ -56,9 +58,10 @@ def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str =
     """All rows and columns of ``docs``, with boilerplate lines taken out of
     ``text_col``, and the columns ``n_lines`` and ``n_dropped`` (long).
 
-    No size is assumed of the table of hosts: adaptive execution broadcasts
-    it where it is measured small, and splits a hot host's rows otherwise."""
-    gone = boilerplate(docs, host_col, text_col, ratio, min_pages).select(
+    The table of hosts is written first, so its size is known when the join
+    is planned: it is broadcast only if small, and otherwise shuffled apart
+    from its aggregate, so that a hot host's rows can be split."""
+    gone = materialize(boilerplate(docs, host_col, text_col, ratio, min_pages), "boilerplate").select(
         F.col("host").alias("_host"), F.col("gone").alias("_gone"))
     joined = docs.join(gone, docs[host_col].eqNullSafe(gone["_host"]), "left")
     lines = joined.withColumn("_lines", F.split(text_col, "\n")).withColumn(

@@ -72,7 +72,8 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
     captures = captures.withColumn("equal", F.sha2("payload", 256))
     groups = captures.where(F.octet_length("payload") >= min_revisit).groupBy("equal").agg(
         F.max("id").alias("original"), F.count("id").alias("n")).where("n > 1").select("equal", "original")
-    captures = captures.join(groups, "equal", "left").withColumn(
+    # Written first: its size is known when the join is planned, and a hot payload's captures can be split.
+    captures = captures.join(materialize(groups, "equal-payloads"), "equal", "left").withColumn(
         "refers", F.when(F.col("original") != F.col("id"), F.col("original")))
     uri, capture, revisit = F.col("uri"), F.col("id"), F.col("refers").isNotNull()
     digest = ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.sha1("payload")))
