@@ -18,12 +18,13 @@ has ``2 ** BITS`` slots at most, whatever the input.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,6 +82,20 @@ def ftrl_pass(rows: list[tuple[np.ndarray, np.ndarray, int]], z: np.ndarray, n:
         n[slots] += g * g
 
 
+def _one_shard(state: Broadcast, p: FTRL) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """One pass over a shard from the common state: what changed in it."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        z, n = (a.copy() for a in state.value)
+        # a fixed order that has nothing to do with the ids' order
+        rows = rows.sort_values("doc_id", ignore_index=True).sample(frac=1, random_state=11)
+        ftrl_pass(list(zip(rows["slots"], rows["vals"], rows["label"])), z, n, p)
+        changed = np.flatnonzero(n != state.value[1])
+        return pd.DataFrame({"slot": changed, "dz": z[changed] - state.value[0][changed],
+                             "dn": n[changed] - state.value[1][changed]})
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, train: Column, p: FTRL = FTRL(), max_rows: int = MAX_TRAINING_ROWS,
         bits: int = BITS) -> np.ndarray:
     """Train on the labelled rows of ``docs`` whose ``doc_id`` meets ``train``;
@@ -106,17 +121,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, p: FTRL = FTRL(), max
     for _ in range(p.rounds):
         state = spark.sparkContext.broadcast((z, n))
 
-        def shard(pdf: pd.DataFrame, state=state) -> pd.DataFrame:
-            z, n = (a.copy() for a in state.value)
-            pdf = pdf.sort_values("doc_id")
-            # rows in an order that does not depend on doc_id's meaning, the same in every run
-            pdf = pdf.sample(frac=1, random_state=11)
-            ftrl_pass(list(zip(pdf["slots"], pdf["vals"], pdf["label"])), z, n, p)
-            changed = np.flatnonzero(n != state.value[1])
-            return pd.DataFrame({"slot": changed, "dz": z[changed] - state.value[0][changed],
-                                 "dn": n[changed] - state.value[1][changed]})
-
-        moved = rows.groupBy("shard").applyInPandas(shard, "slot int, dz double, dn double")
+        moved = rows.groupBy("shard").applyInPandas(_one_shard(state, p), "slot int, dz double, dn double")
         # At most 2 ** bits + 3 rows: the state, averaged over the shards.
         moved = moved.groupBy("slot").agg(F.sort_array(F.collect_list(F.struct("dz", "dn"))).alias("d")).select(
             "slot", F.expr("aggregate(d, 0D, (a, x) -> a + x.dz)").alias("dz"),
