@@ -20,12 +20,18 @@ from actlens.operators import sequence as sq
 from actlens.sources.csv import read_activity
 
 
-def analyses(df, prof):
-    """(name, DataFrame) pairs in the order of the batch report."""
+USED = ["user_id", "session_id", "action", "category", "time", "hour", "day_of_week", "device"]
+SEQUENCE_SEGMENT = 100_000  # events in one row of a session's text sequence
+
+
+def analyses(raw, df, prof):
+    """(name, DataFrame) pairs in the order of the batch report.  Schema,
+    cleaning and describe are about the ``raw`` rows (time parsed), the rest
+    about the prepared ones."""
     matrix = fn.funnel_stage(fn.action_matrix(df))
     return [
-        ("schema", rp.schema_profile(df)),
-        ("cleaning", pr.cleaning_report(df)),
+        ("schema", rp.schema_profile(raw)),
+        ("cleaning", pr.cleaning_report(raw)),
         ("action_share", ex.with_share(ex.count_by(df, "action", "total_count", ordered=True), "total_count")),
         ("hour_counts", ex.count_by(df, "hour", "activity_count", ordered=True)),
         ("peak_hour", ex.peak(df, "hour", "activity_count")),
@@ -37,7 +43,7 @@ def analyses(df, prof):
         ("funnel_stage_summary", fn.funnel_stage_summary(matrix)),
         ("funnel_reach", fn.funnel_reach(prof, percent_initial=True)),
         ("funnel_conversion", fn.conversion(prof)),
-        ("session_sequences", sq.session_sequences(df)),
+        ("session_sequences", sq.session_sequences(df, SEQUENCE_SEGMENT)),
         ("complete_sessions", sq.complete_session_count(df)),
         ("behavior_report", an.behavior_report(prof, 20)),
         ("flagged_users", an.flagged(prof)),
@@ -45,7 +51,7 @@ def analyses(df, prof):
         ("views_threshold", an.views_threshold(prof, L.STDDEV_K)),
         ("hyperactive_users", an.hyperactive(prof)),
         ("summary", rp.summary(df, prof)),
-        ("describe", rp.describe_all(df.select(*[c for c in df.columns if c != "event_id"]), display=True)),
+        ("describe", rp.describe_all(raw, display=True)),
     ]
 
 
@@ -58,18 +64,20 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
-    from pyspark.sql import functions as F
 
     builder = SparkSession.builder.appName("actlens")
     if args.master:
         builder = builder.master(args.master)
     spark = builder.getOrCreate()
-    raw = read_activity(spark, args.path)
-    # The prepared frame feeds every analysis: parse the CSV once (IO4).
-    df = pr.persist_prepared(pr.prepare(raw).withColumn("event_id", F.monotonically_increasing_id()))
+    raw = pr.parse_time(read_activity(spark, args.path))
+    # The prepared rows feed most analyses: the CSV is parsed once (IO4), and
+    # only the columns that an analysis reads are kept.  Events at the same
+    # time are ordered by their other columns, so results do not depend on
+    # how files are split.
+    df = pr.persist_prepared(pr.prepare(raw, calendar=False), USED)
     prof = an.profile(df)
     try:
-        for name, result in analyses(df, prof):
+        for name, result in analyses(raw, df, prof):
             if args.out:
                 result.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
             else:

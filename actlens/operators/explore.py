@@ -32,18 +32,26 @@ def with_share(counts: DataFrame, count_col: str = "count", name: str = "percent
     ).drop("_total")
 
 
-def user_activity(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
-    """AG8: per user total actions, distinct sessions, distinct categories.
+def user_activity(df: DataFrame, approx: bool = False, rsd: float = 0.01, sessions: DataFrame | None = None,
+                  ordered: bool = False) -> DataFrame:
+    """AG8: per user total actions, distinct sessions, distinct categories;
+    ``ordered=True`` sorts the most active first, ties by user.
 
-    Exact distinct counts by default (Catalyst rewrites the two distinct
+    Exact distinct counts by default (Catalyst rewrites the distinct
     aggregates into one Expand + partial aggregation); ``approx=True`` uses
-    HyperLogLog sketches instead."""
+    HyperLogLog sketches instead.  ``sessions`` (``user_id, total_sessions``)
+    gives the session counts where they are known per user; ``df`` then needs
+    no ``session_id``, and the two tables are joined user by user."""
     distinct = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.count_distinct
-    return df.groupBy("user_id").agg(
+    by_user = df.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("total_actions"),
-        distinct("session_id").alias("total_sessions"),
+        *([] if sessions is not None else [distinct("session_id").alias("total_sessions")]),
         distinct("category").alias("categories_browsed"),
     )
+    if sessions is not None:
+        by_user = by_user.join(sessions.select("user_id", "total_sessions"), "user_id").select(
+            "user_id", "total_actions", "total_sessions", "categories_browsed")
+    return by_user.orderBy(F.desc("total_actions"), F.asc("user_id")) if ordered else by_user
 
 
 def totals(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
@@ -64,6 +72,10 @@ def peak(df: DataFrame, key: str, name: str = "count") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(name)).orderBy(F.desc(name), F.asc(key)).limit(1)
 
 
-def top_users(df: DataFrame, n: int = 10, approx: bool = False) -> DataFrame:
-    """TK4: the ``n`` most active users (ties by user id); a top-k, no full sort."""
-    return user_activity(df, approx).orderBy(F.desc("total_actions"), F.asc("user_id")).limit(n)
+def top_users(df: DataFrame, n: int = 10, approx: bool = False, sessions: DataFrame | None = None) -> DataFrame:
+    """TK4: the ``n`` most active users (ties by user id).  The top is taken
+    from a plain count first; distinct sessions and categories are counted for
+    those ``n`` users only (a semi-join on ``n`` rows, the caller's number)."""
+    top = df.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), F.asc("user_id")).limit(n)
+    chosen = df.join(F.broadcast(top.select("user_id")), "user_id", "left_semi")
+    return user_activity(chosen, approx, sessions=sessions).orderBy(F.desc("total_actions"), F.asc("user_id"))

@@ -84,8 +84,10 @@ def conversion(prof: DataFrame) -> DataFrame:
     )
 
 
-def stacked_actions(prof: DataFrame) -> DataFrame:
-    """FN6: per-entity views / carts / purchases in long form (action, n)."""
+def stacked_actions(prof: DataFrame, ordered: bool = False) -> DataFrame:
+    """FN6: per-entity views / carts / purchases in long form (action, n);
+    ``ordered=True`` sorts the most active entities first, ties by key."""
     keys = keys_of(prof)
     ids = keys + (["total_actions"] if "total_actions" in prof.columns else [])
-    return prof.unpivot(ids, ["views", "carts", "purchases"], "action", "n")
+    out = prof.unpivot(ids, ["views", "carts", "purchases"], "action", "n")
+    return out.orderBy(F.desc("total_actions"), *keys, "action") if ordered else out

@@ -2,33 +2,29 @@
 
 ``row_number() OVER (PARTITION BY key ORDER BY ...)`` hash-partitions on the
 key, so one hot key -- a session holding a third of all events -- lands in a
-single task that must sort all of it.  :func:`ordinal_within` computes the
-same numbers with bounded work per task.  Group sizes are counted first (a
-two-phase aggregate).  When no group has more than ``hot_rows`` rows, one
-plain window numbers them (no task holds more than ``hot_rows`` rows of a
-group).  Otherwise the input takes the range-partitioned path, where a hot
-group is cut across partitions and no task holds more than one range:
-
-1. range-partition on (key, order...): a hot key is cut into many ranges.
-   The assignment is materialised once with a reliable ``checkpoint()`` in
-   the session's shared checkpoint folder: range bounds come from a sample,
-   and the numbering and the summary below must both see the very same
-   ranges -- also after an executor is lost.  (The checkpoint holds every
-   input column: callers prune first.)
-2. number rows inside each (range partition, key) -- bounded groups;
-3. per range partition keep (first key, last key, rows of the last key):
-   one row per partition, a table as small as the partition count;
-4. a key that starts in an earlier partition continues its count: the carry
-   is the running total of that key over the preceding partitions, computed
-   on the small table and broadcast back (its size is the partition count).
-
-The result equals ``row_number`` for every row (the order must be total:
-end it with a unique column).
+single task that must sort all of it.  Here every input, large or small, takes
+the same path, on which no task holds more than one range of rows:
+
+1. range-partition on (key, order...): a hot key is cut into many ranges.  The
+   rows are written once with their range number to the shared scratch folder:
+   range bounds come from a sample, and the numbering and the summary below
+   must both see the very same ranges, also after an executor is lost.
+   (Callers prune columns first.)
+2. number rows inside each (range, key) -- bounded groups;
+3. per range keep (first key, last key, rows of the last key): one row per
+   range, a table as small as the partition count;
+4. a key that starts in an earlier range continues its count: the carry is the
+   running total of that key over the preceding ranges.
+
+The result equals ``row_number`` for every row; nulls in keys or order are
+values like others (first in order).  The order must be total: end it with a
+unique column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,46 +32,35 @@ from pyspark.sql import functions as F
 from actlens.sources.scratch import materialize
 
 
-# A group with more rows than this sends the input to the range-partitioned
-# path; below it, one window numbers the groups, a task holding at most this
-# many rows of one group.
-HOT_GROUP_ROWS = 1_000_000
-
-
-def has_hot_group(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS,
-                  sizes: DataFrame | None = None) -> bool:
-    """Whether any ``keys`` group has more than ``hot_rows`` rows (a two-phase
-    count per key; only the answer reaches the driver).  ``sizes`` -- group
-    sizes in a ``_rows`` column, when the caller can produce them more
-    cheaply than by counting ``df`` -- replaces the count."""
-    if sizes is None:
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return not sizes.filter(F.col("_rows") > hot_rows).isEmpty()
-
-
-def _window_total(df: DataFrame, keys: list, order: list, out: str, step) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(out, F.sum(step).over(w).cast("long"))
-
-
-def _ranged_total(df: DataFrame, keys: list, order: list, out: str, step, n: int) -> DataFrame:
+def running_total_within(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    out: str,
+    weight: str | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Add ``out`` = running total of ``weight`` (1 per row when None) over the
+    rows of each ``keys`` group in ``order``, inclusive of the row itself.
+    With no weight this is the 1-based position (``row_number``)."""
+    keys, order = list(keys), list(order)
+    step = F.lit(1).cast("long") if weight is None else F.coalesce(F.col(weight).cast("long"), F.lit(0))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_k"))
     ranged = df.repartitionByRange(n, *keys, *order).withColumn("_pid", F.spark_partition_id())
     ranged = materialize(ranged, "ranged")
     w_local = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_local", F.sum(step).over(w_local).cast("long"))
 
-    # One row per non-empty range partition: its first and last key, and the
-    # total of the last key inside it.  Built by a two-phase aggregate on the
-    # checkpointed rows (not from the window output, which would shuffle all
-    # rows a second time).
+    # One row per range: its first and last key, and the total of the last key
+    # inside it.  Built by a two-phase aggregate on the written rows.
     per_key = ranged.groupBy("_pid", *keys).agg(F.sum(step).alias("_tot"))
     summary = per_key.groupBy("_pid").agg(
         F.min(key).alias("_first"),
         F.max(key).alias("_last"),
         F.max_by("_tot", key).alias("_n_last"),
     )
-    # This table has one row per partition, so ordering it in one window is
+    # This table has one row per range, so ordering it in one window is
     # bounded by the partition count, not by the data.
     w_pid = Window.orderBy("_pid")
     prev_last = F.lag("_last").over(w_pid)
@@ -92,78 +77,27 @@ def _ranged_total(df: DataFrame, keys: list, order: list, out: str, step, n: int
         .otherwise(F.lit(0))
         .cast("long"),
     ).select("_pid", "_first", "_carry")
-
-    joined = local.join(F.broadcast(summary), "_pid")
+    # No join hint: adaptive execution broadcasts the summary if it is measured small.
+    joined = local.join(summary, "_pid")
     total = F.col("_local") + F.when(key.eqNullSafe(F.col("_first")), F.col("_carry")).otherwise(F.lit(0))
     return joined.withColumn(out, total).drop("_pid", "_local", "_first", "_carry")
 
 
-def running_total_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    out: str,
-    weight: str | None = None,
-    skew_safe: bool = True,
-    partitions: int | None = None,
-    hot_rows: int = HOT_GROUP_ROWS,
-    sizes: DataFrame | None = None,
-) -> DataFrame:
-    """Add ``out`` = running total of ``weight`` (1 per row when None) over the
-    rows of each ``keys`` group in ``order``, inclusive of the row itself.
-    With no weight this is the 1-based position (``row_number``).
-
-    ``skew_safe`` (default): group sizes are counted first.  Without a group
-    above ``hot_rows`` rows, a plain window; otherwise the range-partitioned
-    path for the whole input (cheaper than splitting it: the input is read
-    once more, not twice)."""
-    keys, order = list(keys), list(order)
-    step = F.lit(1).cast("long") if weight is None else F.coalesce(F.col(weight).cast("long"), F.lit(0))
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if not skew_safe or (keys and not has_hot_group(df, keys, hot_rows, sizes)):
-        return _window_total(df, keys, order, out, step)
-    return _ranged_total(df, keys, order, out, step, n)
-
-
-def ordinal_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    out: str = "position",
-    skew_safe: bool = True,
-    partitions: int | None = None,
-    hot_rows: int = HOT_GROUP_ROWS,
-    sizes: DataFrame | None = None,
-) -> DataFrame:
+def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "position",
+                   partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of each row within its ``keys`` group in
     ``order`` (ascending; must be a total order within a group)."""
-    return running_total_within(df, keys, order, out, None, skew_safe, partitions, hot_rows, sizes)
+    return running_total_within(df, keys, order, out, None, partitions)
 
 
-def rank_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    tiebreak: Sequence[str],
-    out: str = "rank",
-    skew_safe: bool = True,
-    hot_rows: int = HOT_GROUP_ROWS,
-    sizes: DataFrame | None = None,
-) -> DataFrame:
+def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], tiebreak: Sequence[str],
+                out: str = "rank", partitions: int | None = None) -> DataFrame:
     """``rank()`` within ``keys`` by ``order``: rows tied on ``order`` share the
-    position of the first of them.  Without a hot group, the ``rank`` window;
-    otherwise positions on the range-partitioned path, and each tie group
-    takes its smallest position (a two-phase aggregate joined back)."""
-    keys, order, tiebreak = list(keys), list(order), list(tiebreak)
-    if not skew_safe or (keys and not has_hot_group(df, keys, hot_rows, sizes)):
-        return df.withColumn(out, F.rank().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
-    return _ranked_by_position(df, keys, order, tiebreak, out)
-
-
-def _ranked_by_position(df: DataFrame, keys: list, order: list, tiebreak: list, out: str) -> DataFrame:
-    """Rank on the range-partitioned path: positions, then the first position
-    of each tie group (a two-phase aggregate joined back on the tie key)."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    positioned = _ranged_total(df, keys, order + tiebreak, "_pos", F.lit(1).cast("long"), n)
+    position of the first of them.  Positions first; then each tie group takes
+    its smallest position (a two-phase aggregate joined back, nulls included)."""
+    keys, order = list(keys), list(order)
+    positioned = ordinal_within(df, keys, order + list(tiebreak), "_pos", partitions)
     firsts = positioned.groupBy(*keys, *order).agg(F.min("_pos").alias(out))
-    return positioned.join(firsts, keys + order).drop("_pos")
+    firsts = firsts.select(*[F.col(c).alias(f"_tie_{c}") for c in keys + order], out)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_tie_{c}")) for c in keys + order])
+    return positioned.join(firsts, same).drop("_pos", *[f"_tie_{c}" for c in keys + order])

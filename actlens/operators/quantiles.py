@@ -1,65 +1,67 @@
 """Exact, linearly interpolated quantiles computed across the cluster.
 
 ``percentile`` keeps every distinct value of a column in one aggregation
-buffer.  Here the values are first reduced to (value, count) by a two-phase
-aggregate, cumulative counts come from :func:`running_total_within` (range
-partitioned, no single task sees a whole column), and only the rows holding
-the wanted ranks are kept.  Interpolation matches ``quantile_cont`` /
-pandas: for probability q over n values the 0-based rank h = (n - 1) q, and
-the result is v[floor h] + (h - floor h) * (v[ceil h] - v[floor h]).
+buffer.  Here values are first counted into a fixed number of equal ranges
+between a column's minimum and maximum (at most ``RANGES`` rows per column);
+the cumulative counts say which ranges hold the wanted ranks, and only the
+values in those ranges are counted one by one.  Interpolation matches
+``quantile_cont`` / pandas: for probability q over n values the 0-based rank
+h = (n - 1) q, and the result is v[floor h] + (h - floor h) * (v[ceil h] - v[floor h]).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from actlens.operators.ordinal import HOT_GROUP_ROWS, running_total_within
+RANGES = 65_536
 
 
-def exact_quantiles(long: DataFrame, probs: Sequence[float], key: str = "column_name",
-                    value: str = "value", hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Quantiles of ``value`` per ``key`` for a long (key, value) frame.
-
-    Returns (key, prob, quantile); nulls are ignored; a key with no value
-    yields no rows."""
-    counts = long.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_cnt"))
-    return quantiles_from_counts(counts, probs, key, value, "_cnt", hot_rows)
+def _ranks(probs: Sequence[float]):
+    """(probability, rank of the lower value, of the upper one, their mix) over ``_n`` values."""
+    out = []
+    for p in probs:
+        h = (F.col("_n") - 1) * F.lit(float(p))
+        out.append((float(p), F.floor(h), F.ceil(h), h - F.floor(h)))
+    return out
 
 
-def quantiles_from_counts(counts: DataFrame, probs: Sequence[float], key: str = "column_name",
-                          value: str = "value", count: str = "_cnt",
-                          hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """As :func:`exact_quantiles`, from a (key, value, count) table with one
-    row per distinct non-null value."""
-    probs = [float(p) for p in probs]
-    counts = counts.select(key, value, F.col(count).alias("_cnt"))
-    cum = running_total_within(counts, [key], [value], "_cum", weight="_cnt", hot_rows=hot_rows)
-    # One row per key.  No join hint: adaptive execution broadcasts it when it
-    # is measured small, otherwise it is a sort-merge join whose skewed key
-    # partitions are split (this side has exactly one row per key).
-    totals = cum.groupBy(key).agg(F.max("_cum").alias("_n"))
-    j = cum.join(totals, key)
-    # The value at 0-based rank r is the one whose cumulative range
-    # [cum - cnt, cum - 1] holds r; emit (prob, side, frac) for every
-    # wanted rank this row holds -- at most 2 x len(probs) rows per key.
-    first, last = F.col("_cum") - F.col("_cnt"), F.col("_cum") - 1
+def exact_quantiles(long: DataFrame, probs: Sequence[float], key: str = "column_name",
+                    value: str = "value") -> DataFrame:
+    """Quantiles of ``value`` per ``key`` for a long (key, value) frame with few
+    keys (columns).  Returns (key, prob, quantile); nulls are ignored; a key
+    with no value yields no rows.  ``long`` is read three times (bounds, ranges,
+    values in the wanted ranges), each time with a two-phase aggregate."""
+    rows = long.filter(F.col(value).isNotNull()).select(F.col(key).alias("_key"), F.col(value).cast("double").alias("_v"))
+    bounds = rows.groupBy("_key").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("_v").alias("_n"))
+    width = F.col("_hi") - F.col("_lo")
+    part = F.least(F.lit(RANGES - 1), F.floor(F.when(width > 0, (F.col("_v") - F.col("_lo")) / width * RANGES).otherwise(
+        F.lit(0.0)))).cast("int")
+    placed = rows.join(bounds.select("_key", "_lo", "_hi"), "_key").select("_key", "_v", part.alias("_part"))
+    # At most RANGES rows per column: a window over them is bounded.
+    by_part = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    ranges = placed.groupBy("_key", "_part").agg(F.count("_v").alias("_c")).withColumn(
+        "_end", F.sum("_c").over(by_part)).join(bounds.select("_key", "_n"), "_key")
+    before = F.col("_end") - F.col("_c")
+    holds = F.lit(False)
+    for _, low, high, _ in _ranks(probs):
+        holds = holds | ((low >= before) & (low < F.col("_end"))) | ((high >= before) & (high < F.col("_end")))
+    wanted = ranges.where(holds).select("_key", "_part", before.alias("_before"), "_n")
+    counts = placed.join(wanted.select("_key", "_part"), ["_key", "_part"], "left_semi").groupBy("_key", "_part", "_v").agg(
+        F.count(F.lit(1)).alias("_c"))
+    in_part = Window.partitionBy("_key", "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    values = counts.withColumn("_cum", F.sum("_c").over(in_part)).join(wanted, ["_key", "_part"])
+    end = F.col("_before") + F.col("_cum")
     hits = []
-    for p in probs:
-        h = (F.col("_n") - 1) * F.lit(p)
-        frac = h - F.floor(h)
-        for side, r in (("lo", F.floor(h)), ("hi", F.ceil(h))):
-            hits.append(F.when((r >= first) & (r <= last),
-                               F.struct(F.lit(p).alias("prob"), F.lit(side).alias("side"), frac.alias("frac"))))
-    matched = j.select(key, F.col(value).alias("_v"), F.explode(F.array(*hits)).alias("m")).filter(
-        F.col("m").isNotNull()
-    ).select(key, "_v", "m.prob", "m.side", "m.frac")
-    both = matched.groupBy(key, "prob").agg(
-        F.max(F.when(F.col("side") == "lo", F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("side") == "hi", F.col("_v"))).alias("_vhi"),
-        F.max("frac").alias("_frac"),
-    )
-    q = F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))
-    return both.select(key, "prob", q.cast("double").alias("quantile"))
+    for p, low, high, mix in _ranks(probs):
+        for side, r in (("lo", low), ("hi", high)):
+            hits.append(F.when((r >= end - F.col("_c")) & (r < end),
+                               F.struct(F.lit(p).alias("prob"), F.lit(side).alias("side"), mix.alias("mix"))))
+    found = values.select("_key", "_v", F.explode(F.array(*hits)).alias("m")).where("m is not null").select("_key", "_v", "m.*")
+    both = found.groupBy("_key", "prob").agg(
+        F.max(F.when(F.col("side") == "lo", F.col("_v"))).alias("a"),
+        F.max(F.when(F.col("side") == "hi", F.col("_v"))).alias("b"), F.max("mix").alias("mix"))
+    q = F.col("a") + F.col("mix") * (F.col("b") - F.col("a"))
+    return both.select(F.col("_key").alias(key), "prob", q.alias("quantile"))

@@ -9,9 +9,7 @@ from pyspark.sql import types as T
 
 from actlens.functions import labels as L
 from actlens.functions.exprs import epoch_micros, exact_pct, time_text
-from actlens.operators.explore import peak, totals
-from actlens.operators.quantiles import quantiles_from_counts
-from actlens.sources.scratch import materialize as _materialize
+from actlens.operators.quantiles import exact_quantiles
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 TEMPORAL = (T.TimestampType, T.TimestampNTZType, T.DateType)
@@ -29,32 +27,39 @@ def schema_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def summary(df: DataFrame, prof: DataFrame, normal: str = L.FLAG_NORMAL, approx: bool = False) -> DataFrame:
-    """AG13: events, users, sessions, normal and anomalous entities, anomaly
-    rate (percent, 1 digit), peak hour and peak weekday -- one row, one plan.
-
-    The flag counts and the peaks are scalar subqueries, each run once.
-    ``approx=True`` counts distinct users and sessions with sketches."""
-    flags = prof.agg(
-        F.struct(
-            F.count_if(F.col("anomaly_flag") == normal).alias("normal"),
-            F.count_if(F.col("anomaly_flag") != normal).alias("anomalous"),
-            F.count(F.lit(1)).alias("entities"),
-        )
-    ).scalar()
-    peak_hour = peak(df, "hour").select("hour").scalar()
-    peak_day = peak(df, "day_of_week").select("day_of_week").scalar()
-    base = totals(df, approx).select("total_events", "total_users", "total_sessions")
-    # Each subquery is bound once as a column; later expressions refer to it.
-    bound = base.withColumn("_flags", flags).withColumn("_peak_hour", peak_hour).withColumn("_peak_day", peak_day)
-    return bound.select(
-        "total_events", "total_users", "total_sessions",
-        F.col("_flags.normal").alias("normal_users"),
-        F.col("_flags.anomalous").alias("anomalous_users"),
+def summary(df: DataFrame, prof: DataFrame, normal: str = L.FLAG_NORMAL, approx: bool = False,
+            unit: str = "users") -> DataFrame:
+    """AG13: events, users, sessions, normal and anomalous entities of the
+    profile (named by ``unit``), anomaly rate (percent, 1 digit), peak hour and
+    peak weekday -- one row, one plan.
+
+    One aggregate of the events by (hour, weekday), at most 168 rows, gives the
+    events and both peaks.  Users and flags come from the profile; sessions too
+    where it has ``total_sessions`` per entity, else they are counted from
+    ``df`` (``approx=True``: with sketches).  Peaks take the lowest value on ties."""
+    cells = df.groupBy("hour", "day_of_week").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.collect_list(F.struct("hour", "day_of_week", "n")).alias("cells"), F.sum("n").alias("events"))
+    total = "aggregate(filter(cells, y -> y.{0} <=> x), 0L, (a, y) -> a + y.n)"
+    peak = "array_min(transform(array_distinct(transform(cells, c -> c.{0})), x -> struct(-" + total + " as n, x as v))).v"
+    distinct = (lambda c: F.approx_count_distinct(c, 0.01)) if approx else F.count_distinct
+    own_sessions = "total_sessions" in prof.columns
+    flags = prof.agg(F.struct(
+        F.count_if(F.col("anomaly_flag") == normal).alias("normal"),
+        F.count_if(F.col("anomaly_flag") != normal).alias("anomalous"),
+        F.count(F.lit(1)).alias("entities"),
+        (F.count(F.lit(1)) if unit == "users" else distinct("user_id")).alias("users"),
+        (F.sum("total_sessions") if own_sessions else F.lit(None).cast("long")).alias("sessions"))).scalar()
+    one = cells.withColumn("_flags", flags)
+    if not own_sessions:
+        one = one.withColumn("_sessions", df.agg(distinct("session_id")).scalar())
+    sessions = F.col("_flags.sessions") if own_sessions else F.col("_sessions")
+    return one.select(
+        F.coalesce("events", F.lit(0)).alias("total_events"), F.col("_flags.users").alias("total_users"),
+        F.coalesce(sessions, F.lit(0)).alias("total_sessions"),
+        F.col("_flags.normal").alias(f"normal_{unit}"), F.col("_flags.anomalous").alias(f"anomalous_{unit}"),
+        *([] if unit == "users" else [F.col("_flags.entities").alias(f"total_{unit}")]),
         exact_pct(F.col("_flags.anomalous"), F.col("_flags.entities"), 1).alias("anomaly_rate"),
-        F.col("_peak_hour").cast("int").alias("peak_hour"),
-        F.col("_peak_day").alias("peak_day"),
-    )
+        F.expr(peak.format("hour")).cast("int").alias("peak_hour"), F.expr(peak.format("day_of_week")).alias("peak_day"))
 
 
 def _kind(dtype: T.DataType) -> str:
@@ -65,108 +70,104 @@ def _kind(dtype: T.DataType) -> str:
     return "text"
 
 
-def describe_all(df: DataFrame, display: bool = False, approx: bool = False,
-                 accuracy: int = 10_000, materialize: bool = True) -> DataFrame:
-    """AG14: pandas ``describe(include="all")`` as one row per column.
+def describe_all(df: DataFrame, display: bool = False, approx: bool = False, accuracy: int = 10_000) -> DataFrame:
+    """AG14: pandas ``describe(include="all")``, one row per column of ``df``
+    (also of an empty one: count 0).
 
-    count for every column; unique, top (most frequent, lowest value on
-    ties) and freq for text; mean, min, 25/50/75 % and max for numeric and
-    datetime columns (datetimes as epoch seconds); std (sample) for numeric
-    only.  Quantiles are exact and interpolated; ``approx=True`` uses
-    ``percentile_approx`` sketches instead (no interpolation, bounded memory).
-    ``display=True`` renders every cell as text with missing cells shown as
-    an em dash.
+    count for every column; unique, top (most frequent, lowest value on ties)
+    and freq for text; mean, min, 25/50/75 % and max for numeric and datetime
+    columns (datetimes as epoch seconds); std (sample) for numeric only.
+    ``display=True`` renders every cell as text, a missing one as an em dash.
 
-    One pass over ``df`` builds a (column, value, count) table -- one row per
-    distinct value, pre-combined on every task -- and every statistic is
-    derived from it.  With ``materialize`` (default) that table is written
-    once to the checkpoint folder, so the input is read once."""
+    Numeric columns are one aggregate of single rows; text columns are counted
+    by value; quantiles are exact and interpolated (:mod:`.quantiles`).
+    Nothing is written.  ``approx=True`` keeps memory bounded whatever the data:
+    sketches for unique, top and freq (``approx_top_k``) and quantiles
+    (``percentile_approx``, no interpolation), one aggregate, one row a column."""
     kinds = {f.name: _kind(f.dataType) for f in df.schema.fields}
-
-    def text(c):
-        return F.col(c).cast("string") if kinds[c] == "text" else F.lit(None).cast("string")
+    text_cols = [c for c, k in kinds.items() if k == "text"]
+    num_cols = [c for c, k in kinds.items() if k != "text"]
+    time_cols = [c for c, k in kinds.items() if k == "datetime"]
 
     def micros(c):
-        if kinds[c] != "datetime":
-            return F.lit(None).cast("long")
         dtype = df.schema[c].dataType
-        ts = F.col(c).cast("timestamp_ntz") if isinstance(dtype, (T.DateType, T.TimestampType)) else F.col(c)
-        return epoch_micros(ts)
+        return epoch_micros(F.col(c).cast("timestamp_ntz") if isinstance(dtype, (T.DateType, T.TimestampType)) else F.col(c))
 
     def number(c):
-        if kinds[c] == "numeric":
-            return F.col(c).cast("double")
+        return micros(c).cast("double") / F.lit(1_000_000.0) if kinds[c] == "datetime" else F.col(c).cast("double")
+
+    # One row for the whole table: every number's moments (and, approximately, the rest).
+    aggs = []
+    for i, c in enumerate(num_cols):
+        x = number(c)
+        aggs += [F.count(c).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
+                 F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
         if kinds[c] == "datetime":
-            return micros(c).cast("double") / F.lit(1_000_000.0)
-        return F.lit(None).cast("double")
-
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), text(c).alias("text"), number(c).alias("num"),
-                 micros(c).alias("micros"))
-        for c in df.columns
-    ])).alias("cv")).select("cv.*")
-    values = long.filter(F.col("text").isNotNull() | F.col("num").isNotNull()).groupBy(
-        "column_name", "text", "num", "micros").agg(F.count(F.lit(1)).alias("n"))
-    if materialize:
-        values = _materialize(values)
-
-    txt = values.filter(F.col("text").isNotNull()).groupBy("column_name").agg(
-        F.sum("n").cast("long").alias("count"),
-        F.count(F.lit(1)).alias("unique"),
-        F.min(F.struct((-F.col("n")).alias("neg_n"), F.col("text").alias("value"))).alias("_top"),
-    ).select("column_name", "count", "unique", F.col("_top.value").alias("top"), (-F.col("_top.neg_n")).alias("freq"))
-
-    nums = values.filter(F.col("num").isNotNull())
-    weighted_micros = (F.col("micros").cast("decimal(38,0)") * F.col("n")).cast("decimal(38,0)")
-    moments = nums.groupBy("column_name").agg(
-        F.sum("n").cast("long").alias("count"),
-        (F.sum(F.col("num") * F.col("n")) / F.sum("n")).alias("_mean_num"),
-        F.sum(weighted_micros).alias("_sum_us"),
-        F.min("num").alias("min"),
-        F.max("num").alias("max"),
-    )
-    # Mean time: total microseconds / count, rounded half-up to a whole
-    # microsecond on integers (exact at any row count), then in seconds.
-    a = F.col("_sum_us") * 2 + F.col("count").cast("decimal(38,0)")
-    b = F.col("count").cast("decimal(38,0)") * 2
-    mean_us = (a - F.pmod(a, b)) / b
-    moments = moments.withColumn("_mean_dt", (mean_us / F.lit(1_000_000)).cast("double"))
-    # Sample standard deviation in two passes (deviations from the mean), which
-    # stays accurate where a sum of squares would cancel.
-    spread = nums.join(moments.select("column_name", "_mean_num", "count"), "column_name").groupBy(
-        "column_name").agg(
-        F.sqrt(F.try_divide(F.sum(F.col("n") * F.pow(F.col("num") - F.col("_mean_num"), 2)),
-                            F.max("count") - 1)).alias("std")
-    )
+            aggs.append(F.sum(micros(c).cast("decimal(38,0)")).alias(f"us{i}"))
+        if approx:
+            aggs.append(F.percentile_approx(x, list(QUANTILES), accuracy).alias(f"q{i}"))
     if approx:
-        qa = F.percentile_approx("num", list(QUANTILES), accuracy)
-        qs = long.filter(F.col("num").isNotNull()).groupBy("column_name").agg(qa.alias("_q")).select(
-            "column_name", *[F.col("_q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))])
+        for i, c in enumerate(text_cols):
+            x = F.col(c).cast("string")
+            aggs += [F.count(c).alias(f"tn{i}"), F.approx_count_distinct(x).alias(f"tu{i}"),
+                     F.filter(F.expr(f"approx_top_k(cast(`{c}` as string), 2)"), lambda e: e["item"].isNotNull()).alias(f"tt{i}")]
+
+    def mean(i, c):
+        if kinds[c] != "datetime":
+            return F.col(f"mean{i}")
+        # Total microseconds / count, rounded half-up to a whole microsecond on
+        # integers (exact at any row count), then in seconds.
+        a = F.col(f"us{i}") * 2 + F.col(f"n{i}").cast("decimal(38,0)")
+        b = F.col(f"n{i}").cast("decimal(38,0)") * 2
+        return F.when(F.col(f"n{i}") > 0, (F.try_divide(a - F.pmod(a, F.when(b > 0, b)), b) / F.lit(1_000_000)).cast("double"))
+
+    null = lambda kind: F.lit(None).cast(kind)
+    rows = [F.struct(
+        F.lit(c).alias("column_name"), F.col(f"n{i}").alias("count"), mean(i, c).alias("mean"),
+        (null("double") if kinds[c] == "datetime" else F.col(f"std{i}")).alias("std"), F.col(f"min{i}").alias("min"),
+        F.col(f"max{i}").alias("max"),
+        *[(F.col(f"q{i}")[j] if approx else null("double")).alias(p) for j, p in enumerate(("p25", "p50", "p75"))])
+        for i, c in enumerate(num_cols)]
+    one = df.agg(*aggs) if aggs else None
+    shape = "column_name string, count long, mean double, std double, min double, max double, p25 double, p50 double, p75 double"
+    numeric = one.select(F.inline(F.array(*rows))) if rows else df.sparkSession.createDataFrame([], shape)
+    if approx:
+        texts = [F.struct(F.lit(c).alias("column_name"), F.col(f"tn{i}").alias("count"), F.col(f"tu{i}").alias("unique"),
+                          F.try_element_at(f"tt{i}", F.lit(1))["item"].alias("top"),
+                          F.try_element_at(f"tt{i}", F.lit(1))["count"].alias("freq")) for i, c in enumerate(text_cols)]
+        text = one.select(F.inline(F.array(*texts))) if texts else None
     else:
-        qs = quantiles_from_counts(nums.select("column_name", "num", "n"), QUANTILES, "column_name", "num",
-                                   "n").groupBy("column_name").agg(*[
-            F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name)
-            for p, name in zip(QUANTILES, ("p25", "p50", "p75"))
-        ])
-    datetime_cols = [c for c, k in kinds.items() if k == "datetime"] or ["\0"]
-    is_dt = F.col("column_name").isin(*datetime_cols)
-    numeric = moments.join(spread, "column_name", "left").join(qs, "column_name", "left").select(
-        "column_name", "count",
-        F.when(is_dt, F.col("_mean_dt")).otherwise(F.col("_mean_num")).alias("mean"),
-        F.when(is_dt, F.lit(None)).otherwise(F.col("std")).alias("std"),
-        "min", "p25", "p50", "p75", "max",
-    )
+        if num_cols:
+            long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), number(c).alias("value"))
+                                                 for c in num_cols])).alias("x")).select("x.*")
+            at = exact_quantiles(long, QUANTILES).groupBy("column_name").agg(*[
+                F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name) for p, name in zip(QUANTILES, ("p25", "p50", "p75"))])
+            numeric = numeric.drop("p25", "p50", "p75").join(at, "column_name", "left")
+        text = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+                                             for c in text_cols])).alias("x")).select("x.*") if text_cols else None
+        if text is not None:
+            text = text.where("value is not null").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+            text = text.groupBy("column_name").agg(
+                F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"),
+                F.min(F.struct((-F.col("n")).alias("neg"), F.col("value").alias("value"))).alias("t"),
+            ).select("column_name", "count", "unique", F.col("t.value").alias("top"), (-F.col("t.neg")).alias("freq"))
 
     cols = ["column_name", "count", "unique", "top", "freq", "mean", "std", "min", "p25", "p50", "p75", "max"]
-    out = txt.unionByName(numeric, allowMissingColumns=True).select(
-        "column_name", F.col("count").cast("long"),
-        F.col("unique").cast("long"), F.col("top").cast("string"), F.col("freq").cast("long"),
-        *[F.col(c).cast("double") for c in ("mean", "std", "min", "p25", "p50", "p75", "max")],
-    )
+    listing = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column_name string")
+    found = numeric if text is None else text.unionByName(numeric, allowMissingColumns=True)
+    for c in ("unique", "top", "freq"):
+        found = found if c in found.columns else found.withColumn(c, null("string" if c == "top" else "long"))
+    empty_text = F.col("column_name").isin(*text_cols) if text_cols else F.lit(False)
+    out = listing.join(found, "column_name", "left").select(
+        "column_name", F.coalesce("count", F.lit(0)).cast("long").alias("count"),
+        F.coalesce("unique", F.when(empty_text, 0)).cast("long").alias("unique"),
+        F.col("top").cast("string").alias("top"), F.col("freq").cast("long").alias("freq"),
+        *[F.col(c).cast("double").alias(c) for c in cols[5:]])
     if display:
         # Datetime statistics are shown as timestamps, as pandas does; epoch
         # seconds are turned back by interval arithmetic, free of time zones.
         epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        is_dt = F.col("column_name").isin(*time_cols) if time_cols else F.lit(False)
 
         def shown(c: str):
             text = F.col(c).cast("string")

@@ -1,10 +1,10 @@
 """Session ranks and time-ordered action sequences (WN1-WN5).
 
-Sequences are ordered by (time, event key), so equal times still give one
-stable order.  A session's sequence is built in consecutive chunks of at
-most ``chunk_size`` events: a normal session is one chunk (exactly the whole
-sequence), and a giant session becomes several ordered rows instead of one
-unbounded array in one task.  Nothing is dropped.
+Events are ordered by (time, event key), so equal times still give one stable
+order.  The event sequence is in long form, a row per event, whatever a
+session's size; a text sequence is built in consecutive segments of a size that
+the caller names, so that no row or task has to hold an unbounded session.
+Nothing is dropped.
 """
 
 from __future__ import annotations
@@ -16,12 +16,11 @@ from pyspark.sql import functions as F
 
 from actlens.functions import labels as L
 from actlens.functions.exprs import count_of
-from actlens.operators.ordinal import HOT_GROUP_ROWS, ordinal_within, rank_within
+from actlens.operators.ordinal import ordinal_within, rank_within
 
 SESSION = ("session_id", "user_id")
 ORDER = ("time",)
 TIEBREAK = ("event_id",)
-CHUNK_SIZE = 100_000
 
 
 def _tiebreak(df: DataFrame, used: Sequence[str]) -> tuple:
@@ -33,49 +32,39 @@ def _tiebreak(df: DataFrame, used: Sequence[str]) -> tuple:
     return tuple(c for c in df.columns if c not in used)
 
 
-def session_rank(df: DataFrame, keys: Sequence[str] = ("session_id",), skew_safe: bool = True,
-                 hot_rows: int = HOT_GROUP_ROWS, sizes: DataFrame | None = None) -> DataFrame:
-    """WN1: rank of each event in its session by time; equal times share.
-    ``sizes`` (events per session in ``_rows``) spares counting them."""
-    return rank_within(df, keys, ORDER, _tiebreak(df, (*keys, *ORDER)), "action_rank", skew_safe, hot_rows, sizes)
+def session_rank(df: DataFrame, keys: Sequence[str] = ("session_id",)) -> DataFrame:
+    """WN1: rank of each event in its session by time; equal times share."""
+    return rank_within(df, keys, ORDER, _tiebreak(df, (*keys, *ORDER)), "action_rank")
 
 
-def session_position(df: DataFrame, keys: Sequence[str] = ("session_id",), skew_safe: bool = True,
-                     hot_rows: int = HOT_GROUP_ROWS, sizes: DataFrame | None = None) -> DataFrame:
+def session_position(df: DataFrame, keys: Sequence[str] = ("session_id",)) -> DataFrame:
     """WN2: unique 1-based position of each event in its session."""
-    order = ORDER + _tiebreak(df, (*keys, *ORDER))
-    return ordinal_within(df, keys, order, "rn", skew_safe, hot_rows=hot_rows, sizes=sizes)
+    return ordinal_within(df, keys, ORDER + _tiebreak(df, (*keys, *ORDER)), "rn")
 
 
-def session_events(df: DataFrame, chunk_size: int = CHUNK_SIZE, skew_safe: bool = True,
-                   hot_rows: int = HOT_GROUP_ROWS, sizes: DataFrame | None = None) -> DataFrame:
-    """WN3: per (session, user, chunk) the array of (time, action) in order."""
+def session_events(df: DataFrame) -> DataFrame:
+    """WN3: the ordered events of each (session, user), one row per event:
+    ``session_id, user_id, position, time, action``."""
     tiebreak = TIEBREAK if all(c in df.columns for c in TIEBREAK) else ()
     df = df.select(*SESSION, *ORDER, *tiebreak, "action")
-    order = ORDER + _tiebreak(df, (*SESSION, *ORDER))
-    pos = ordinal_within(df, SESSION, order, "_pos", skew_safe, hot_rows=hot_rows, sizes=sizes)
-    pos = pos.withColumn("chunk", ((F.col("_pos") - 1) / F.lit(chunk_size)).cast("int"))
-    grouped = pos.groupBy(*SESSION, "chunk").agg(
-        F.array_sort(F.collect_list(F.struct("_pos", "time", "action"))).alias("_evs")
-    )
-    return grouped.select(
-        *SESSION, "chunk",
-        F.transform("_evs", lambda e: F.struct(e["time"].alias("time"), e["action"].alias("action"))).alias(
-            "actions_raw"
-        ),
-    )
-
-
-def session_sequences(
-    df: DataFrame, sep: str = L.SEQUENCE_SEP, chunk_size: int = CHUNK_SIZE, skew_safe: bool = True,
-    hot_rows: int = HOT_GROUP_ROWS, sizes: DataFrame | None = None,
-) -> DataFrame:
-    """WN4: ``view → cart → ...`` per (session, user, chunk), in time order."""
-    evs = session_events(df, chunk_size, skew_safe, hot_rows, sizes)
-    return evs.select(
-        *SESSION, "chunk",
-        F.array_join(F.transform("actions_raw", lambda e: e["action"]), sep).alias("action_sequence"),
-    )
+    positioned = ordinal_within(df, SESSION, ORDER + _tiebreak(df, (*SESSION, *ORDER)), "position")
+    return positioned.select(*SESSION, "position", "time", "action")
+
+
+def session_sequences(df: DataFrame, segment_size: int, sep: str = L.SEQUENCE_SEP) -> DataFrame:
+    """WN4: ``view → cart → ...`` per (session, user), in time order, in
+    segments of at most ``segment_size`` events: ``session_id, user_id,
+    segment`` (from 0), ``first_position`` and ``action_sequence``.  A session
+    of at most ``segment_size`` events is one row; the segments of a longer
+    one, joined by ``sep`` in order, are its whole sequence."""
+    if segment_size < 1:
+        raise ValueError("segment_size must be at least 1")
+    rows = session_events(df).withColumn("segment", F.expr(f"(position - 1) div {int(segment_size)}"))
+    parts = rows.groupBy(*SESSION, "segment").agg(
+        F.min("position").alias("first_position"),
+        F.array_sort(F.collect_list(F.struct("position", "action"))).alias("_events"))
+    text = F.array_join(F.transform("_events", lambda e: e["action"]), sep)
+    return parts.select(*SESSION, "segment", "first_position", text.alias("action_sequence"))
 
 
 def complete_sessions(df: DataFrame, match: str = "exact") -> DataFrame:

@@ -4,11 +4,12 @@ Every entry reads ``events`` through the activity adapter (so its work grows
 with the table) and returns a DataFrame without collecting it.  Column names
 are aliased to match :mod:`actlens.plans.oracle`.
 
-Grain: per-user counts follow the reference (one row per user).  The
-anomaly, funnel-stage and hyperactivity analyses run per (user, week),
-because in the test tables every user buys at some point, which would leave
-those rules with nothing to find; the ``*_by_user`` entries run the same
-rules at the reference's per-user grain.
+Grain: totals, reach, conversion and the summary are per user, as in the
+reference; their ``*_by_week`` entries run per (user, week) and name what they
+count ``entities``.  The anomaly, funnel-stage and hyperactivity listings run
+per (user, week), because in the test tables every user buys at some point,
+which would leave those rules with nothing to find; the ``*_by_user`` entries
+run them per user.
 """
 
 from __future__ import annotations
@@ -25,9 +26,10 @@ from actlens.operators import prepare as pr
 from actlens.operators import report as rp
 from actlens.operators import sequence as sq
 from actlens.sources.csv import read_activity, write_csv
-from actlens.sources.events import activity, session_sizes
+from actlens.sources.events import activity, user_totals
 from actlens.sources.schema import ACTIVITY_COLUMNS
 from actlens.sources.scratch import scratch_path
+from actlens.sources.store import read_prepared, save_prepared
 
 GRAIN = ("user_id", "week")
 
@@ -40,6 +42,8 @@ COVERAGE = dict(actions=("view", "cart"), categories=None, devices=("desktop", "
 EXPORT = dict(actions=("view", "cart", "purchase"), categories=("C0", "C1", "C2", "C3"),
               devices=("mobile", "tablet"), term="1")
 NULL_CATEGORY_MOD = 17      # the null-cleaning examples null category where k % 17 = 0
+SEQUENCE_SEGMENT = 100_000  # events in one row of a session's text sequence
+SHORT_SEGMENT = 3           # the same for the entry that shows segments
 MALFORMED_TIME_MOD = 23     # the parsing example garbles time where k % 23 = 0
 
 
@@ -57,6 +61,15 @@ def _prof(spark: SparkSession, sf: str) -> DataFrame:
     return an.profile(_weekly(spark, sf), by=GRAIN)
 
 
+def _users(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-user profile with session counts: one scan, no join of events."""
+    return an.flag_anomalies(user_totals(activity(spark, sf, sessions=False)))
+
+
+def _per_user(spark: SparkSession, sf: str) -> DataFrame:
+    return an.profile(_act(spark, sf))
+
+
 def _with_null_category(spark: SparkSession, sf: str) -> DataFrame:
     act = activity(spark, sf, sessions=False)
     return act.withColumn(
@@ -67,7 +80,7 @@ def _with_null_category(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- sources
 def src_csv_scan(spark, sf):
     raw = activity(spark, sf, sessions=True, raw_time=True).select(*ACTIVITY_COLUMNS)
-    path = write_csv(raw, scratch_path(spark, "activity-csv"))
+    path = write_csv(raw, scratch_path(spark, "activity-csv") + "/data")
     return pr.parse_time(read_activity(spark, path))
 
 
@@ -78,12 +91,19 @@ def src_profile(spark, sf):
 def sink_csv(spark, sf):
     act = activity(spark, sf, sessions=True, raw_time=True).select(*ACTIVITY_COLUMNS)
     chosen = act.filter(pr.selection(**EXPORT))
-    path = write_csv(chosen, scratch_path(spark, "export-csv"))
+    path = write_csv(chosen, scratch_path(spark, "export-csv") + "/data")
     return pr.parse_time(read_activity(spark, path))
 
 
 def reuse_cached(spark, sf):
-    return pr.persist_prepared(_act(spark, sf, sessions=True), ["user_id", "session_id", "action", "time", "hour"])
+    """Two results from one prepared table that is written once (and removed
+    when the application ends): events and sessions per action."""
+    columns = ["user_id", "session_id", "action", "time"]
+    path = save_prepared(_act(spark, sf, sessions=True).select(*columns), scratch_path(spark, "prepared") + "/data")
+    stored = read_prepared(spark, path)
+    events = ex.count_by(stored, "action", "n").select(F.lit("events").alias("result"), "action", "n")
+    sessions = ex.count_by(stored.select("session_id", "action").distinct(), "action", "n")
+    return events.union(sessions.select(F.lit("sessions").alias("result"), "action", "n"))
 
 
 # ---------------------------------------------------------- preparation
@@ -135,7 +155,7 @@ def user_points(spark, sf):
 
 # ---------------------------------------------------------- aggregations
 def action_counts(spark, sf):
-    return ex.count_by(_act(spark, sf), "action", "total_count")
+    return ex.count_by(_act(spark, sf), "action", "total_count", ordered=True)
 
 
 def action_share(spark, sf):
@@ -143,15 +163,15 @@ def action_share(spark, sf):
 
 
 def hour_counts(spark, sf):
-    return ex.count_by(_act(spark, sf), "hour", "activity_count")
+    return ex.count_by(_act(spark, sf), "hour", "activity_count", ordered=True)
 
 
 def weekday_counts(spark, sf):
-    return ex.count_by(_act(spark, sf), "day_of_week", "activity_count")
+    return ex.count_by(_act(spark, sf), "day_of_week", "activity_count", ordered=True)
 
 
 def category_counts(spark, sf):
-    return ex.count_by(_act(spark, sf), "category", "interactions")
+    return ex.count_by(_act(spark, sf), "category", "interactions", ordered=True)
 
 
 def device_counts(spark, sf):
@@ -163,7 +183,7 @@ def device_share(spark, sf):
 
 
 def user_activity(spark, sf):
-    return ex.user_activity(_act(spark, sf, sessions=True))
+    return ex.user_activity(_act(spark, sf), sessions=_users(spark, sf), ordered=True)
 
 
 def user_behavior(spark, sf):
@@ -180,19 +200,36 @@ def views_threshold(spark, sf):
 
 
 def distinct_totals(spark, sf):
-    return ex.totals(_act(spark, sf, sessions=True))
+    return _users(spark, sf).agg(
+        F.count("user_id").alias("total_users"), F.coalesce(F.sum("total_sessions"), F.lit(0)).alias("total_sessions"),
+        F.coalesce(F.sum("total_actions"), F.lit(0)).alias("total_events"))
 
 
 def summary_kpis(spark, sf):
-    return rp.summary(_act(spark, sf, sessions=True), _prof(spark, sf))
+    return rp.summary(_act(spark, sf), _users(spark, sf))
 
 
-def describe_all(spark, sf):
-    d = rp.describe_all(_act(spark, sf, sessions=True).select(*ACTIVITY_COLUMNS))
+def summary_kpis_by_week(spark, sf):
+    return rp.summary(_act(spark, sf, sessions=True), _prof(spark, sf), unit="entities")
+
+
+def _described(df):
+    d = rp.describe_all(df)
     return d.select(*[F.round(c, 6).alias(c) if c in ("mean", "std", "min", "p25", "p50", "p75", "max") else c
                       for c in d.columns])
 
 
+def describe_all(spark, sf):
+    return _described(_act(spark, sf, sessions=True).select(*ACTIVITY_COLUMNS))
+
+
+def describe_missing(spark, sf):
+    """Columns without any value are described too."""
+    act = _act(spark, sf).select("event_id", "action", "hour")
+    return _described(act.withColumn("coupon", F.when(F.col("hour") < 0, F.col("action"))).withColumn(
+        "discount", F.when(F.col("hour") < 0, F.col("hour"))))
+
+
 # ----------------------------------------------------------- top-k
 def peak_hour(spark, sf):
     return ex.peak(_act(spark, sf), "hour", "activity_count")
@@ -207,7 +244,7 @@ def top_action(spark, sf):
 
 
 def top_users(spark, sf):
-    return ex.top_users(_act(spark, sf, sessions=True), 10)
+    return ex.top_users(_act(spark, sf), 10, sessions=_users(spark, sf))
 
 
 def behavior_report(spark, sf):
@@ -219,30 +256,26 @@ def anomaly_report(spark, sf):
 
 
 # ----------------------------------------------------- session windows
-# Session sizes come from the small (user, bucket) table instead of a count
-# over the sessionised rows; they decide whether any session is hot.
 def session_rank(spark, sf):
     act = _act(spark, sf, sessions=True).select("event_id", "session_id", "time")
-    return sq.session_rank(act, sizes=session_sizes(spark, sf)).select("event_id", "session_id", "action_rank")
+    return sq.session_rank(act).select("event_id", "session_id", "action_rank")
 
 
 def session_row_number(spark, sf):
     act = _act(spark, sf, sessions=True).select("event_id", "session_id", "time")
-    return sq.session_position(act, sizes=session_sizes(spark, sf)).select("event_id", "session_id", "rn")
+    return sq.session_position(act).select("event_id", "session_id", "rn")
 
 
 def session_events(spark, sf):
-    evs = sq.session_events(_act(spark, sf, sessions=True), sizes=session_sizes(spark, sf))
-    text = F.array_join(F.transform(
-        "actions_raw",
-        lambda e: F.concat(F.date_format(e["time"], "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("|"), e["action"]),
-    ), ",")
-    return evs.select("session_id", "user_id", "chunk", F.size("actions_raw").alias("n_events"),
-                      text.alias("events_text"))
+    return sq.session_events(_act(spark, sf, sessions=True))
 
 
 def session_sequences(spark, sf):
-    return sq.session_sequences(_act(spark, sf, sessions=True), sizes=session_sizes(spark, sf))
+    return sq.session_sequences(_act(spark, sf, sessions=True), SEQUENCE_SEGMENT)
+
+
+def session_sequence_segments(spark, sf):
+    return sq.session_sequences(_act(spark, sf, sessions=True), SHORT_SEGMENT)
 
 
 def complete_funnel_sessions(spark, sf):
@@ -259,23 +292,49 @@ def funnel_stage(spark, sf):
 
 
 def funnel_stage_summary(spark, sf):
-    return fn.funnel_stage_summary(funnel_stage(spark, sf))
+    return fn.funnel_stage_summary(funnel_stage_by_user(spark, sf))
+
+
+def funnel_stage_summary_by_week(spark, sf):
+    return fn.funnel_stage_summary(funnel_stage(spark, sf)).withColumnRenamed("user_count", "entities")
 
 
 def funnel_reach(spark, sf):
-    return fn.funnel_reach(_prof(spark, sf))
+    return fn.funnel_reach(_per_user(spark, sf))
+
+
+def funnel_reach_by_week(spark, sf):
+    return fn.funnel_reach(_prof(spark, sf)).withColumnRenamed("users", "entities")
 
 
 def funnel_percent_initial(spark, sf):
-    return fn.funnel_reach(_prof(spark, sf), percent_initial=True)
+    return fn.funnel_reach(_per_user(spark, sf), percent_initial=True)
+
+
+def funnel_percent_initial_by_week(spark, sf):
+    return fn.funnel_reach(_prof(spark, sf), percent_initial=True).withColumnRenamed("users", "entities")
 
 
 def funnel_conversion(spark, sf):
-    return fn.conversion(_prof(spark, sf))
+    return fn.conversion(_per_user(spark, sf))
+
+
+def funnel_conversion_by_week(spark, sf):
+    out = fn.conversion(_prof(spark, sf))
+    return out.withColumnsRenamed({c: f"{c}_entities" for c in ("viewers", "carters", "purchasers")})
 
 
 def stacked_actions(spark, sf):
-    return fn.stacked_actions(_prof(spark, sf))
+    return fn.stacked_actions(_prof(spark, sf), ordered=True)
+
+
+def user_stats(spark, sf):
+    """The combined per-user table: actions by kind, categories, sessions, ratio, flag."""
+    act = _act(spark, sf).select("user_id", "category").distinct().groupBy("user_id").agg(
+        F.count("category").alias("categories_browsed"))
+    return _users(spark, sf).join(act, "user_id").select(
+        "user_id", "total_actions", "views", "carts", "purchases", "categories_browsed", "total_sessions",
+        "view_purchase_ratio", "anomaly_flag")
 
 
 # -------------------------------------------------------------- anomaly
@@ -292,7 +351,12 @@ def flagged_users(spark, sf):
 
 
 def anomaly_totals(spark, sf):
-    return an.anomaly_totals(_prof(spark, sf))
+    return an.anomaly_totals(_per_user(spark, sf))
+
+
+def anomaly_totals_by_week(spark, sf):
+    return an.anomaly_totals(_prof(spark, sf)).withColumnsRenamed(
+        {f"{c}_users": f"{c}_entities" for c in ("anomalous", "normal", "total")})
 
 
 def flag_counts(spark, sf):
@@ -347,6 +411,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         hyperactive_users,
         anomaly_flag_by_user, funnel_stage_by_user, views_threshold_by_user, behavior_type_by_user,
         anomaly_totals_by_user,
+        summary_kpis_by_week, describe_missing, session_sequence_segments, funnel_stage_summary_by_week,
+        funnel_reach_by_week, funnel_percent_initial_by_week, funnel_conversion_by_week, anomaly_totals_by_week,
+        user_stats,
     )
 }
 

@@ -36,12 +36,12 @@ ev AS (
 ),
 act AS (
   SELECT event_id, user_id, action,
-         'C' || CAST(k % 6 AS VARCHAR) AS category,
+         'C' || CAST((k % 6 + 6) % 6 AS VARCHAR) AS category,
          'P' || CAST(k AS VARCHAR) AS product_id,
          ts AS time,
          CAST(hour(ts) AS INTEGER) AS hour,
          dayname(ts) AS day_of_week,
-         CASE k % 3 WHEN 0 THEN 'desktop' WHEN 1 THEN 'mobile' ELSE 'tablet' END AS device,
+         CASE (k % 3 + 3) % 3 WHEN 0 THEN 'desktop' WHEN 1 THEN 'mobile' ELSE 'tablet' END AS device,
          k
   FROM ev
 ),
@@ -135,8 +135,7 @@ def _sel(where: dict) -> str:
     return " AND ".join(conds) if conds else "TRUE"
 
 
-_PARSED_TIME = "strptime(strftime(time, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S')"
-_ACTIVITY_OUT = f"user_id, session_id, action, category, product_id, {_PARSED_TIME} AS time, hour, day_of_week, device"
+_ACTIVITY_OUT = "user_id, session_id, action, category, product_id, time, hour, day_of_week, device"
 _PROFILE_COLS = "user_id, week, views, carts, purchases, total_actions, view_purchase_ratio, anomaly_flag"
 
 _SCHEMA_ROWS = [
@@ -186,19 +185,73 @@ FROM nstat
     return _sql(body, ctes)
 
 
-REACH = f"""
-  SELECT 1 AS step, {_q(L.REACH_VIEWED)} AS stage, count(*) FILTER (WHERE views > 0) AS users FROM prof
-  UNION ALL SELECT 2, {_q(L.REACH_CARTED)}, count(*) FILTER (WHERE carts > 0) FROM prof
-  UNION ALL SELECT 3, {_q(L.REACH_PURCHASED)}, count(*) FILTER (WHERE purchases > 0) FROM prof"""
+def reach(prof: str, name: str) -> str:
+    return f"""
+  SELECT 1 AS step, {_q(L.REACH_VIEWED)} AS stage, count(*) FILTER (WHERE views > 0) AS {name} FROM {prof}
+  UNION ALL SELECT 2, {_q(L.REACH_CARTED)}, count(*) FILTER (WHERE carts > 0) FROM {prof}
+  UNION ALL SELECT 3, {_q(L.REACH_PURCHASED)}, count(*) FILTER (WHERE purchases > 0) FROM {prof}"""
+
+
+def _describe_missing_sql() -> str:
+    number = lambda c: f"""SELECT {_q(c)} AS column_name, count({c}) AS count, CAST(NULL AS BIGINT) AS "unique",
+        CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq, round(avg({c}), 6) AS mean,
+        round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS min,
+        round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS p25, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS p50,
+        round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS p75, CAST(max({c}) AS DOUBLE) AS max FROM t"""
+    none = ", ".join(["CAST(NULL AS DOUBLE)"] * 7)
+    text = lambda c: f"""SELECT {_q(c)}, count({c}), count(DISTINCT {c}),
+        (SELECT {c} FROM t WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1),
+        (SELECT count(*) FROM t WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC LIMIT 1), {none} FROM t"""
+    ctes = """t AS (SELECT event_id, action, hour, CAST(NULL AS VARCHAR) AS coupon, CAST(NULL AS INTEGER) AS discount FROM act)"""
+    return _sql(" UNION ALL ".join([number("event_id"), number("hour"), number("discount"), text("action"), text("coupon")]), ctes)
 
 
 def oracle_sql() -> dict[str, str]:
     nullcat = f"CASE WHEN k % {C.NULL_CATEGORY_MOD} = 0 THEN NULL ELSE category END"
-    garbled = (f"CASE WHEN k % {C.MALFORMED_TIME_MOD} = 0 THEN strftime(time, '%d/%m/%Y') "
-               "ELSE strftime(time, '%Y-%m-%d %H:%M:%S') END")
     filt = _sel(dict(actions=C.FILTER_ACTIONS, categories=C.FILTER_CATEGORIES, devices=C.FILTER_DEVICES))
     schema_values = ", ".join(f"({i}, {_q(n)}, {_q(t)})" for i, n, t in _SCHEMA_ROWS)
     sep = _q(L.SEQUENCE_SEP)
+
+    def segments(size):
+        return f"""SELECT session_id, user_id, CAST((pos - 1) // {size} AS BIGINT) AS segment, min(pos) AS first_position,
+                 string_agg(action, {sep} ORDER BY pos) AS action_sequence FROM ordered
+                 GROUP BY session_id, user_id, (pos - 1) // {size}"""
+
+    def summary(prof, unit, more=""):
+        flagged = f"count(*) FILTER (WHERE anomaly_flag <> {_q(L.FLAG_NORMAL)})"
+        return f"""SELECT (SELECT count(*) FROM sess) AS total_events,
+                 (SELECT count(DISTINCT user_id) FROM sess) AS total_users,
+                 (SELECT count(DISTINCT session_id) FROM sess) AS total_sessions,
+                 (SELECT count(*) FILTER (WHERE anomaly_flag = {_q(L.FLAG_NORMAL)}) FROM {prof}) AS normal_{unit},
+                 (SELECT {flagged} FROM {prof}) AS anomalous_{unit}, {more}
+                 (SELECT {_pct(flagged, "count(*)", 1)} FROM {prof}) AS anomaly_rate,
+                 (SELECT hour FROM act GROUP BY hour ORDER BY count(*) DESC, hour LIMIT 1) AS peak_hour,
+                 (SELECT day_of_week FROM act GROUP BY day_of_week ORDER BY count(*) DESC, day_of_week LIMIT 1)
+                   AS peak_day"""
+
+    def stages(table, name):
+        return f"""SELECT funnel_stage, count(*) AS {name} FROM (
+                 SELECT CASE WHEN purchases > 0 THEN {_q(L.STAGE_COMPLETE)} WHEN carts > 0 THEN {_q(L.STAGE_PARTIAL)}
+                      ELSE {_q(L.STAGE_BROWSE)} END AS funnel_stage FROM {table}) GROUP BY funnel_stage"""
+
+    def percent_initial(prof, name):
+        return f"""SELECT step, stage, {name},
+                 {_pct(name, f'(SELECT count(*) FILTER (WHERE views > 0) FROM {prof})')} AS percent_initial
+                 FROM ({reach(prof, name)})"""
+
+    def converted(prof, suffix=""):
+        return f"""SELECT viewers AS viewers{suffix}, carters AS carters{suffix}, purchasers AS purchasers{suffix},
+                 {_half_even('carters * 100', 'viewers')} AS view_to_cart_rate,
+                 {_half_even('purchasers * 100', 'carters')} AS cart_to_purchase_rate
+                 FROM (SELECT count(*) FILTER (WHERE views > 0) AS viewers, count(*) FILTER (WHERE carts > 0) AS carters,
+                              count(*) FILTER (WHERE purchases > 0) AS purchasers FROM {prof})"""
+
+    def flag_totals(prof, unit):
+        flagged = f"count(*) FILTER (WHERE anomaly_flag <> {_q(L.FLAG_NORMAL)})"
+        return f"""SELECT {flagged} AS anomalous_{unit},
+                 count(*) FILTER (WHERE anomaly_flag = {_q(L.FLAG_NORMAL)}) AS normal_{unit}, count(*) AS total_{unit},
+                 {_pct(flagged, "count(*)", 1)} AS anomaly_rate FROM {prof}"""
+
     q = {
         # sources
         "src_csv_scan": f"SELECT {_ACTIVITY_OUT} FROM sess",
@@ -206,9 +259,10 @@ def oracle_sql() -> dict[str, str]:
                  (SELECT count(*) FROM act) AS n_rows, CAST({len(_SCHEMA_ROWS)} AS INTEGER) AS n_columns
                  FROM (VALUES {schema_values}) v(p, n, t)""",
         "sink_csv": f"SELECT {_ACTIVITY_OUT} FROM sess WHERE {_sel(C.EXPORT)}",
-        "reuse_cached": "SELECT user_id, session_id, action, time, hour FROM sess",
+        "reuse_cached": """SELECT 'events' AS result, action, count(*) AS n FROM sess GROUP BY action
+                 UNION ALL SELECT 'sessions', action, count(DISTINCT session_id) FROM sess GROUP BY action""",
         # preparation
-        "prep_timestamp": f"SELECT event_id, try_strptime({garbled}, '%Y-%m-%d %H:%M:%S') AS time FROM act",
+        "prep_timestamp": f"SELECT event_id, CASE WHEN k % {C.MALFORMED_TIME_MOD} = 0 THEN NULL ELSE time END AS time FROM act",
         "prep_drop_nulls": f"""SELECT event_id, user_id, action, category, device, time, hour
                  FROM (SELECT event_id, user_id, action, {nullcat} AS category, device, time, hour FROM act)
                  WHERE category IS NOT NULL""",
@@ -248,16 +302,9 @@ def oracle_sql() -> dict[str, str]:
                  round(threshold, 6) AS threshold FROM thr""",
         "distinct_totals": """SELECT count(DISTINCT user_id) AS total_users, count(DISTINCT session_id) AS total_sessions,
                  count(*) AS total_events FROM sess""",
-        "summary_kpis": f"""SELECT (SELECT count(*) FROM sess) AS total_events,
-                 (SELECT count(DISTINCT user_id) FROM sess) AS total_users,
-                 (SELECT count(DISTINCT session_id) FROM sess) AS total_sessions,
-                 (SELECT count(*) FILTER (WHERE anomaly_flag = {_q(L.FLAG_NORMAL)}) FROM prof) AS normal_users,
-                 (SELECT count(*) FILTER (WHERE anomaly_flag <> {_q(L.FLAG_NORMAL)}) FROM prof) AS anomalous_users,
-                 (SELECT {_pct("count(*) FILTER (WHERE anomaly_flag <> " + _q(L.FLAG_NORMAL) + ")", "count(*)", 1)}
-                  FROM prof) AS anomaly_rate,
-                 (SELECT hour FROM act GROUP BY hour ORDER BY count(*) DESC, hour LIMIT 1) AS peak_hour,
-                 (SELECT day_of_week FROM act GROUP BY day_of_week ORDER BY count(*) DESC, day_of_week LIMIT 1)
-                   AS peak_day""",
+        "summary_kpis": summary("uprof", "users"),
+        "summary_kpis_by_week": summary("prof", "entities", "(SELECT count(*) FROM prof) AS total_entities,"),
+        "describe_missing": _describe_missing_sql(),
         "describe_all": _describe_sql(),
         # top-k
         "peak_hour": "SELECT hour, count(*) AS activity_count FROM act GROUP BY hour ORDER BY 2 DESC, 1 LIMIT 1",
@@ -274,12 +321,9 @@ def oracle_sql() -> dict[str, str]:
                  FROM sess""",
         "session_row_number": """SELECT event_id, session_id,
                  row_number() OVER (PARTITION BY session_id ORDER BY time, event_id) AS rn FROM sess""",
-        "session_events": f"""SELECT session_id, user_id, CAST((pos - 1) // {100_000} AS INTEGER) AS chunk,
-                 CAST(count(*) AS INTEGER) AS n_events,
-                 string_agg(strftime(time, '%Y-%m-%d %H:%M:%S.%f') || '|' || action, ',' ORDER BY pos) AS events_text
-                 FROM ordered GROUP BY ALL""",
-        "session_sequences": f"""SELECT session_id, user_id, CAST((pos - 1) // {100_000} AS INTEGER) AS chunk,
-                 string_agg(action, {sep} ORDER BY pos) AS action_sequence FROM ordered GROUP BY ALL""",
+        "session_events": "SELECT session_id, user_id, pos AS position, time, action FROM ordered",
+        "session_sequences": segments(C.SEQUENCE_SEGMENT),
+        "session_sequence_segments": segments(C.SHORT_SEGMENT),
         "complete_funnel_sessions": """SELECT session_id, user_id FROM sess GROUP BY session_id, user_id
                  HAVING count(*) FILTER (WHERE action = 'view') > 0 AND count(*) FILTER (WHERE action = 'cart') > 0
                     AND count(*) FILTER (WHERE action = 'purchase') > 0""",
@@ -291,18 +335,18 @@ def oracle_sql() -> dict[str, str]:
         "funnel_stage": f"""SELECT user_id, week, views AS view_count, carts AS cart_count, purchases AS purchase_count,
                  CASE WHEN purchases > 0 THEN {_q(L.STAGE_COMPLETE)} WHEN carts > 0 THEN {_q(L.STAGE_PARTIAL)}
                       ELSE {_q(L.STAGE_BROWSE)} END AS funnel_stage FROM beh""",
-        "funnel_stage_summary": f"""SELECT funnel_stage, count(*) AS user_count FROM (
-                 SELECT CASE WHEN purchases > 0 THEN {_q(L.STAGE_COMPLETE)} WHEN carts > 0 THEN {_q(L.STAGE_PARTIAL)}
-                      ELSE {_q(L.STAGE_BROWSE)} END AS funnel_stage FROM beh) GROUP BY funnel_stage""",
-        "funnel_reach": f"SELECT * FROM ({REACH})",
-        "funnel_percent_initial": f"""SELECT step, stage, users,
-                 {_pct('users', '(SELECT count(*) FILTER (WHERE views > 0) FROM prof)')} AS percent_initial
-                 FROM ({REACH})""",
-        "funnel_conversion": f"""SELECT viewers, carters, purchasers,
-                 {_half_even('carters * 100', 'viewers')} AS view_to_cart_rate,
-                 {_half_even('purchasers * 100', 'carters')} AS cart_to_purchase_rate
-                 FROM (SELECT count(*) FILTER (WHERE views > 0) AS viewers, count(*) FILTER (WHERE carts > 0) AS carters,
-                              count(*) FILTER (WHERE purchases > 0) AS purchasers FROM prof)""",
+        "funnel_stage_summary": stages("ubeh", "user_count"),
+        "funnel_stage_summary_by_week": stages("beh", "entities"),
+        "funnel_reach": f"SELECT * FROM ({reach('uprof', 'users')})",
+        "funnel_reach_by_week": f"SELECT * FROM ({reach('prof', 'entities')})",
+        "funnel_percent_initial": percent_initial("uprof", "users"),
+        "funnel_percent_initial_by_week": percent_initial("prof", "entities"),
+        "funnel_conversion": converted("uprof"),
+        "funnel_conversion_by_week": converted("prof", "_entities"),
+        "user_stats": """SELECT user_id, p.total_actions, views, carts, purchases, categories_browsed, total_sessions,
+                 view_purchase_ratio, anomaly_flag FROM uprof p JOIN (
+                 SELECT user_id, count(DISTINCT session_id) AS total_sessions, count(DISTINCT category) AS categories_browsed
+                 FROM sess GROUP BY user_id) USING (user_id)""",
         "stacked_actions": """SELECT user_id, week, total_actions, 'views' AS action, views AS n FROM prof
                  UNION ALL SELECT user_id, week, total_actions, 'carts', carts FROM prof
                  UNION ALL SELECT user_id, week, total_actions, 'purchases', purchases FROM prof""",
@@ -310,10 +354,8 @@ def oracle_sql() -> dict[str, str]:
         "view_purchase_ratio": "SELECT user_id, week, views, carts, purchases, total_actions, view_purchase_ratio FROM ratio",
         "anomaly_flag": f"SELECT {_PROFILE_COLS} FROM prof",
         "flagged_users": f"SELECT {_PROFILE_COLS} FROM prof WHERE anomaly_flag <> {_q(L.FLAG_NORMAL)}",
-        "anomaly_totals": f"""SELECT count(*) FILTER (WHERE anomaly_flag <> {_q(L.FLAG_NORMAL)}) AS anomalous_users,
-                 count(*) FILTER (WHERE anomaly_flag = {_q(L.FLAG_NORMAL)}) AS normal_users, count(*) AS total_users,
-                 {_pct("count(*) FILTER (WHERE anomaly_flag <> " + _q(L.FLAG_NORMAL) + ")", "count(*)", 1)}
-                   AS anomaly_rate FROM prof""",
+        "anomaly_totals": flag_totals("uprof", "users"),
+        "anomaly_totals_by_week": flag_totals("prof", "entities"),
         "flag_counts": f"""SELECT anomaly_flag, "count", {_pct('"count"', '(SELECT count(*) FROM prof)')} AS percentage
                  FROM (SELECT anomaly_flag, count(*) AS "count" FROM prof GROUP BY anomaly_flag)""",
         "behavior_type": f"""SELECT {_PROFILE_COLS}, CASE WHEN views > (SELECT threshold FROM thr)
@@ -329,11 +371,8 @@ def oracle_sql() -> dict[str, str]:
         "behavior_type_by_user": f"""SELECT user_id, views, carts, purchases, total_actions, view_purchase_ratio,
                  anomaly_flag, CASE WHEN views > (SELECT avg(views) + {L.STDDEV_K} * stddev_samp(views) FROM uprof)
                  THEN {_q(L.BEHAVIOR_SUSPECTED)} ELSE {_q(L.BEHAVIOR_NORMAL)} END AS behavior_type FROM uprof""",
-        "anomaly_totals_by_user": f"""SELECT count(*) FILTER (WHERE anomaly_flag <> {_q(L.FLAG_NORMAL)}) AS anomalous_users,
-                 count(*) FILTER (WHERE anomaly_flag = {_q(L.FLAG_NORMAL)}) AS normal_users, count(*) AS total_users,
-                 {_pct("count(*) FILTER (WHERE anomaly_flag <> " + _q(L.FLAG_NORMAL) + ")", "count(*)", 1)}
-                   AS anomaly_rate FROM uprof""",
+        "anomaly_totals_by_user": flag_totals("uprof", "users"),
         "views_threshold_by_user": f"""SELECT round(avg(views), 6) AS mean_views, round(stddev_samp(views), 6) AS std_views,
                  round(avg(views) + {L.STDDEV_K} * stddev_samp(views), 6) AS threshold FROM uprof""",
     }
-    return {name: body if name == "describe_all" else _sql(body) for name, body in q.items()}
+    return {name: body if name.startswith("describe_") else _sql(body) for name, body in q.items()}

@@ -7,8 +7,8 @@ time, hour, weekday and device per event.  ``events`` carries
 * ``k``            = integer ``props.k``
 * ``user_id``      = text of ``user_id``
 * ``action``       = ``click`` read as ``cart``; other types unchanged
-* ``category``     = ``'C' || k % 6``;  ``product_id`` = ``'P' || k``
-* ``device``       = desktop / mobile / tablet by ``k % 3``
+* ``category``     = ``'C' || pmod(k, 6)``;  ``product_id`` = ``'P' || k``
+* ``device``       = desktop / mobile / tablet by ``pmod(k, 3)``
 * ``hour``, ``day_of_week`` from ``ts``
 * ``session_id``   = ``user || '-' || n``: the n-th run of a user's events
   in which consecutive events are at most ``gap`` apart.
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from actlens.functions.exprs import epoch_micros
+from actlens.functions.exprs import count_of, epoch_micros, time_text
 from actlens.sources.tables import table
 
 # FIXED VALUES of the mapping (see module docstring).
@@ -34,17 +34,16 @@ def _k() -> Column:
     return F.from_json("props", "k int")["k"]
 
 
-def _numbered_buckets(df: DataFrame, user_col: str, time_col: str, gap_seconds: int, out_col: str):
-    """(events with their bucket, per (user, bucket) table with session
-    number and event count)."""
+def _buckets(df: DataFrame, user_col: str, time_col: str, gap_seconds: int, *aggs: Column):
+    """(events with their bucket, per (user, bucket) table with ``_start``: 1
+    where a session begins in the bucket, and the given aggregates)."""
     gap_us = int(gap_seconds) * 1_000_000
     us = epoch_micros(time_col)
     bucket = ((us - F.pmod(us, F.lit(gap_us))) / F.lit(gap_us)).cast("long")
     with_bucket = df.withColumn("_us", us).withColumn("_bucket", bucket)
 
     per_bucket = with_bucket.groupBy(user_col, "_bucket").agg(
-        F.min("_us").alias("_first_us"), F.max("_us").alias("_last_us"), F.count(F.lit(1)).alias("_n")
-    )
+        F.min("_us").alias("_first_us"), F.max("_us").alias("_last_us"), *aggs)
     w = Window.partitionBy(user_col).orderBy("_bucket")
     prev_bucket = F.lag("_bucket").over(w)
     prev_last = F.lag("_last_us").over(w)
@@ -53,11 +52,7 @@ def _numbered_buckets(df: DataFrame, user_col: str, time_col: str, gap_seconds:
         | (prev_bucket < F.col("_bucket") - 1)
         | (F.col("_first_us") - prev_last > F.lit(gap_us))
     )
-    numbered = per_bucket.withColumn("_start", starts.cast("int")).withColumn(
-        out_col,
-        F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long"),
-    ).select(user_col, "_bucket", out_col, "_n")
-    return with_bucket, numbered
+    return with_bucket, per_bucket.withColumn("_start", starts.cast("int"))
 
 
 def gap_sessions(
@@ -80,24 +75,28 @@ def gap_sessions(
     events a user has -- and joined back on (user, bucket).  No window or
     group ever holds all events of one user.
     """
-    with_bucket, numbered = _numbered_buckets(df, user_col, time_col, gap_seconds, out_col)
+    with_bucket, buckets = _buckets(df, user_col, time_col, gap_seconds)
+    w = Window.partitionBy(user_col).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = buckets.withColumn(out_col, F.sum("_start").over(w).cast("long")).select(user_col, "_bucket", out_col)
     # Every event finds its bucket, so a left join returns the same rows as an
     # inner one -- and, the right side being unique on the join keys, lets
     # Catalyst drop the join from plans that never read the session number.
-    return with_bucket.join(numbered.drop("_n"), [user_col, "_bucket"], "left").drop("_us", "_bucket")
+    return with_bucket.join(numbered, [user_col, "_bucket"], "left").drop("_us", "_bucket")
 
 
-def gap_session_sizes(
+def user_totals(
     df: DataFrame,
     user_col: str = "user_id",
     time_col: str = "time",
     gap_seconds: int = SESSION_GAP_SECONDS,
-    out_col: str = "session_no",
 ) -> DataFrame:
-    """Events per gap session, (user, session number, ``_rows``), summed from
-    the (user, bucket) table: one scan and small aggregates, no join."""
-    _, numbered = _numbered_buckets(df, user_col, time_col, gap_seconds, out_col)
-    return numbered.groupBy(user_col, out_col).agg(F.sum("_n").alias("_rows"))
+    """Per user: ``views``, ``carts``, ``purchases``, ``total_actions`` and
+    ``total_sessions``, all from the (user, bucket) table: one scan of the
+    events and two-phase aggregates, no join."""
+    counts = {"views": count_of("view"), "carts": count_of("cart"), "purchases": count_of("purchase"),
+              "total_actions": F.count(F.lit(1))}
+    _, buckets = _buckets(df, user_col, time_col, gap_seconds, *[c.alias(n) for n, c in counts.items()])
+    return buckets.groupBy(user_col).agg(*[F.sum(n).alias(n) for n in counts], F.sum("_start").alias("total_sessions"))
 
 
 def activity_from_events(
@@ -128,12 +127,12 @@ def activity_from_events(
     parsed = F.explode(F.filter(F.array(_k()), lambda v: v.isNotNull())).alias("k")
     events = events.filter(complete).select("*", parsed)
     k = F.col("k")
-    device = F.element_at(F.array(*[F.lit(d) for d in DEVICES]), (k % 3 + 1).cast("int"))
+    device = F.element_at(F.array(*[F.lit(d) for d in DEVICES]), (F.pmod(k, F.lit(3)) + 1).cast("int"))
     act = events.select(
         "event_id",
         F.col("user_id").cast("string").alias("user_id"),
         F.when(F.col("event_type") == CLICK, F.lit(CLICK_AS)).otherwise(F.col("event_type")).alias("action"),
-        F.concat(F.lit("C"), (k % 6).cast("string")).alias("category"),
+        F.concat(F.lit("C"), F.pmod(k, F.lit(6)).cast("string")).alias("category"),
         F.concat(F.lit("P"), k.cast("string")).alias("product_id"),
         F.col("ts").alias("time"),
         F.hour("ts").cast("int").alias("hour"),
@@ -146,7 +145,7 @@ def activity_from_events(
             "session_id", F.concat_ws("-", "user_id", F.col("session_no").cast("string"))
         ).drop("session_no")
     if raw_time:
-        act = act.withColumn("time", F.date_format("time", "yyyy-MM-dd HH:mm:ss"))
+        act = act.withColumn("time", time_text("time"))
     cols = ["event_id", "user_id", "session_id", "action", "category", "product_id",
             "time", "hour", "day_of_week", "device", "k"]
     return act.select(*[c for c in cols if c in act.columns])
@@ -157,14 +156,4 @@ def activity(spark: SparkSession, sf_dir: str, sessions: bool = True, raw_time:
     return activity_from_events(table(spark, sf_dir, "events"), sessions=sessions, raw_time=raw_time)
 
 
-def session_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(session_id, user_id, _rows) for the sessions of :func:`activity`,
-    without materialising the sessionised rows."""
-    act = activity_from_events(table(spark, sf_dir, "events"), sessions=False)
-    sizes = gap_session_sizes(act, "user_id", "time", SESSION_GAP_SECONDS, "session_no")
-    return sizes.select(
-        F.concat_ws("-", "user_id", F.col("session_no").cast("string")).alias("session_id"), "user_id", "_rows"
-    )
-
-
-__all__ = ["activity", "activity_from_events", "gap_sessions", "gap_session_sizes", "session_sizes", "DEVICES"]
+__all__ = ["activity", "activity_from_events", "gap_sessions", "user_totals", "DEVICES"]

@@ -3,9 +3,8 @@ activity files (Structured Streaming).
 
 The batch operators are reused unchanged on a streaming DataFrame: Spark
 keeps the aggregation state (per key, or per entity) in its fault-tolerant
-state store and updates it per micro-batch; progress and state live under
-``checkpointLocation`` in the shared checkpoint folder, so a restarted query
-resumes where it stopped.  Event-time counts use a watermark so the state of
+state store and updates it per micro-batch; progress and state live in the folder
+that the caller names, so a query restarted with it resumes where it stopped.  Event-time counts use a watermark so the state of
 closed windows is dropped.
 """
 
@@ -21,7 +20,6 @@ from pyspark.sql.streaming import StreamingQuery
 from actlens.operators.anomaly import flag_anomalies, user_behavior
 from actlens.operators.prepare import drop_incomplete, parse_time
 from actlens.sources.schema import RAW_ACTIVITY
-from actlens.sources.scratch import scratch_path
 
 
 def read_activity_stream(
@@ -35,7 +33,7 @@ def read_activity_stream(
     (time parsed, incomplete rows dropped)."""
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("enforceSchema", False)  # as the batch reader: headers are checked
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return drop_incomplete(parse_time(reader.load(path)))
@@ -70,13 +68,11 @@ def running_profile(stream: DataFrame, by: Sequence[str] = ("user_id",), **rules
     return flag_anomalies(user_behavior(stream, by), **rules)
 
 
-def start(result: DataFrame, name: str, output_mode: str = "update", sink: str = "memory",
-          checkpoint: str | None = None, **options) -> StreamingQuery:
-    """Start ``result`` into ``sink`` with its checkpoint in the shared folder."""
-    location = checkpoint or scratch_path(result.sparkSession, f"stream-{name}")
-    writer = result.writeStream.outputMode(output_mode).format(sink).option("checkpointLocation", location)
-    if sink == "memory":
-        writer = writer.queryName(name)
+def start(result: DataFrame, sink: str, checkpoint: str, output_mode: str = "update", **options) -> StreamingQuery:
+    """Start ``result`` into the named sink.  ``checkpoint`` is the folder (on
+    the cluster's shared file system) that holds progress and state: a query
+    restarted with the same folder resumes where it stopped."""
+    writer = result.writeStream.outputMode(output_mode).format(sink).option("checkpointLocation", checkpoint)
     for k, v in options.items():
-        writer = writer.option(k, v)
+        writer = writer.queryName(v) if k == "name" else writer.option(k, v)
     return writer.start()

@@ -21,57 +21,38 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="actlens-test-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    if not s.sparkContext.getCheckpointDir():
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="actlens-test-ckpt-"))
     yield s
 
 
 # ---------------------------------------------------------------------------
-# Generated activity fixture with the counts of FIXTURES.md section 2.
-# Per-user action counts and session shapes, hour / weekday / category /
-# device marginals are reproduced; the row-level pairing of the marginals is
-# generated, not copied.
-PER_USER = {  # user number -> action sequence of its single session
-    **{u: "v c p" for u in (4, 10, 12, 13, 16, 19)},
-    **{u: "v v c p" for u in (1, 7, 14)},
-    9: "v c v p",
-    **{u: "v v v c p" for u in (2, 17)},
-    5: "v v c c p",
-    3: " ".join(["v"] * 10), 15: " ".join(["v"] * 10),
-    6: " ".join(["v"] * 12),
-    11: " ".join(["v"] * 7),
-    **{u: " ".join(["v"] * 5) for u in (8, 18, 20)},
-}
-HOURS = {13: 22, 10: 13, 9: 12, 15: 10, 12: 9, 16: 9, 14: 7, 11: 6, 17: 6, 18: 5, 8: 4}
-CATEGORIES = {"Books": 23, "Electronics": 22, "Beauty": 18, "Clothing": 18, "Sports": 15, "Furniture": 7}
-DEVICES = {"desktop": 40, "mobile": 40, "tablet": 23}
+# Generated activity fixture: every user's actions, and the other columns,
+# follow from the numbers below.  The tests derive their expectations from
+# these rows with plain Python.
 ACTION = {"v": "view", "c": "cart", "p": "purchase"}
+CATEGORIES = ("Garden", "Music", "Toys", "Tools")
+DEVICES = ("phone", "laptop", "kiosk")
 
 
-def fixture_rows():
-    events = []
-    for u in range(1, 21):
-        for a in PER_USER[u].split():
-            events.append((f"U{u:03d}", f"S{100 + u}", ACTION[a]))
-    n = len(events)
-    hours = sorted(h for h, c in HOURS.items() for _ in range(c))
-    days = [("Monday", dt.date(2024, 1, 15))] * 55 + [("Tuesday", dt.date(2024, 1, 16))] * (n - 55)
-    cats = [c for c, k in CATEGORIES.items() for _ in range(k)]
-    devs = [d for d, k in DEVICES.items() for _ in range(k)]
-    seen: dict = {}
+def actions_of(user: int) -> str:
+    """Single session of a user, by the user's number modulo 5; user 16 views a lot for one purchase."""
+    if user == 16:
+        return "v" * 19 + "pp"
+    return {0: "v" * user, 1: "vcp", 2: "vvcpp", 3: "v" * user + "c", 4: "vcvp"}[user % 5]
+
+
+def fixture_rows(users: int = 17):
     rows = []
-    for i, (user, session, action) in enumerate(events):
-        day_name, day = days[i]
-        hour = hours[:55][i] if i < 55 else hours[55:][i - 55]
-        minute = seen.get((day, hour), 0)
-        seen[(day, hour)] = minute + 1
-        t = dt.datetime.combine(day, dt.time(hour, minute * 2))
-        rows.append((user, session, action, cats[(i * 7) % n], f"P{200 + i % 76}", t.strftime("%Y-%m-%d %H:%M:%S"),
-                     hour, day_name, devs[(i * 11) % n]))
-    return rows
+    for u in range(1, users + 1):
+        for i, a in enumerate(actions_of(u)):
+            t = dt.datetime(2023, 5, 1 + u % 3, 7 + (u + i) // 4, (7 * u + 11 * i) % 60, i)
+            t = max(t, rows[-1][5] + dt.timedelta(seconds=1)) if i else t  # in order within the session
+            rows.append((f"u-{u:02d}", f"s-{100 - u}", ACTION[a], CATEGORIES[(u + i * i) % 4], f"item{(3 * u + i) % 23}", t,
+                         t.hour, t.strftime("%A"), DEVICES[(u * i) % 3]))
+    return [(*r[:5], r[5].strftime("%Y-%m-%d %H:%M:%S"), *r[6:]) for r in rows]
 
 
 @pytest.fixture(scope="session")

@@ -8,6 +8,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from actlens.plans.catalog import QUERIES
 from tools.oracle_check import compare
 
 SF = "/root/testdata/sf0.001"
@@ -15,8 +16,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not p
 
 
 def test_every_query_has_oracle_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 50
+    assert set(QUERIES) <= set(E.oracle_sql()) and set(QUERIES) <= set(E.queries())
+    assert len(QUERIES) >= 60
 
 
 def test_entry_runs(spark):
@@ -26,6 +27,19 @@ def test_entry_runs(spark):
 
 
 def test_queries_match_oracle(spark):
-    res = compare(spark, SF, verbose=False, exact=True)  # floats bit for bit
+    res = compare(spark, SF, list(QUERIES), verbose=False, exact=True)  # floats bit for bit
     bad = {k: v for k, v in res.items() if v[0] != "ok"}
     assert not bad, bad
+
+
+ORDERED = {"action_counts": ("total_count", "action"), "hour_counts": ("activity_count", "hour"),
+           "weekday_counts": ("activity_count", "day_of_week"), "category_counts": ("interactions", "category"),
+           "user_activity": ("total_actions", "user_id"), "top_users": ("total_actions", "user_id")}
+
+
+def test_ranked_results_come_most_first(spark):
+    for name, (count, key) in ORDERED.items():
+        rows = [(-r[count], r[key]) for r in QUERIES[name](spark, SF).collect()]
+        assert rows == sorted(rows) and len(rows) > 1, name
+    rows = [(-r.total_actions, r.user_id, r.week, r.action) for r in QUERIES["stacked_actions"](spark, SF).collect()]
+    assert rows == sorted(rows)

@@ -2,14 +2,30 @@
 
 from __future__ import annotations
 
+import csv
+
 from actlens.__main__ import main
+from tests.conftest import fixture_rows
+
+HEADER = ["user_id", "session_id", "action", "category", "product_id", "time", "hour", "day_of_week", "device"]
 
 
-def test_cli_writes_every_result(spark, fixture_csv, tmp_path):
+def test_cli_writes_every_result(spark, tmp_path):
+    """A malformed time and a missing value are counted as removed; schema
+    and describe are about the nine columns of the file."""
+    rows = fixture_rows()
+    bad = [(*rows[0][:5], "01/05/2023", *rows[0][6:]), (None, *rows[1][1:])]
+    with open(tmp_path / "activity.csv", "w", newline="") as f:
+        csv.writer(f).writerows([HEADER, *rows, *bad])
     out = tmp_path / "results"
-    main([fixture_csv, "--out", str(out)])
+    main([str(tmp_path / "activity.csv"), "--out", str(out)])
     written = {p.name for p in out.iterdir()}
     assert {"action_share", "summary", "session_sequences", "hyperactive_users", "describe"} <= written
-    summary = spark.read.parquet(str(out / "summary")).first()
-    assert (summary.total_events, summary.anomalous_users, summary.peak_hour) == (103, 7, 13)
-    assert [r.user_id for r in spark.read.parquet(str(out / "hyperactive_users")).collect()] == ["U006"]
+    read = lambda name: spark.read.parquet(str(out / name))
+    assert tuple(read("cleaning").first()) == (len(rows) + 2, len(rows), 2)
+    assert sorted(r.column_name for r in read("describe").collect()) == sorted(HEADER)
+    assert {(r.n_rows, r.n_columns) for r in read("schema").collect()} == {(len(rows) + 2, 9)}
+    summary = read("summary").first()
+    assert (summary.total_events, summary.total_users) == (len(rows), 17)
+    described = {r.column_name: r["count"] for r in read("describe").collect()}
+    assert described["time"] == described["user_id"] == str(len(rows) + 1) and described["action"] == str(len(rows) + 2)

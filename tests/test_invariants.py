@@ -21,15 +21,18 @@ needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not
 @needs_tables
 def test_query_invariants(spark):
     q = {name: C.QUERIES[name](spark, SF) for name in (
-        "action_share", "device_share", "funnel_stage_summary", "anomaly_flag", "session_sequences",
+        "action_share", "device_share", "funnel_stage_summary_by_week", "funnel_reach_by_week", "summary_kpis", "anomaly_flag", "session_sequences",
         "distinct_totals", "stacked_actions", "user_behavior", "flag_counts", "session_row_number",
         "describe_all", "funnel_reach", "complete_funnel_count", "complete_funnel_sessions", "user_activity")}
     assert q["action_share"].agg(F.sum("percentage")).first()[0] == pytest.approx(100, abs=0.05)
     assert q["device_share"].agg(F.sum("percentage")).first()[0] == pytest.approx(100, abs=0.05)
     entities = q["anomaly_flag"].count()
-    assert q["funnel_stage_summary"].agg(F.sum("user_count")).first()[0] == entities
+    assert q["funnel_stage_summary_by_week"].agg(F.sum("entities")).first()[0] == entities
     assert q["flag_counts"].agg(F.sum("count")).first()[0] == entities
-    assert q["funnel_reach"].filter("step = 1").first().users <= entities
+    assert q["funnel_reach_by_week"].filter("step = 1").first().entities <= entities
+    kpis = q["summary_kpis"].first()
+    assert kpis.normal_users + kpis.anomalous_users == kpis.total_users
+    assert q["funnel_reach"].filter("step = 1").first().users <= kpis.total_users
 
     totals = q["distinct_totals"].first()
     seqs = q["session_sequences"]

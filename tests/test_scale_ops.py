@@ -12,6 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from actlens.operators.ordinal import ordinal_within, rank_within, running_total_within
+from actlens.operators import quantiles
 from actlens.operators.quantiles import exact_quantiles
 from actlens.sources.events import gap_sessions
 
@@ -30,9 +31,9 @@ def skewed(spark):
     return spark.createDataFrame(skewed_rows(), "id long, key string, t int, w int")
 
 
-@pytest.mark.parametrize("partitions,hot_rows", [(1, 100), (3, 100), (16, 100), (16, 2000), (8, 10_000_000)])
-def test_ordinal_equals_row_number(spark, skewed, partitions, hot_rows):
-    got = ordinal_within(skewed, ["key"], ["t", "id"], "pos", partitions=partitions, hot_rows=hot_rows)
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_ordinal_equals_row_number(spark, skewed, partitions):
+    got = ordinal_within(skewed, ["key"], ["t", "id"], "pos", partitions=partitions)
     ref = skewed.withColumn("ref", F.row_number().over(Window.partitionBy("key").orderBy("t", "id")))
     joined = got.join(ref.select("id", "ref"), "id")
     assert joined.count() == skewed.count()
@@ -45,7 +46,7 @@ def test_hot_key_is_split_across_range_partitions(spark, skewed):
 
 
 def test_running_total_equals_window_sum(spark, skewed):
-    got = running_total_within(skewed, ["key"], ["t", "id"], "run", weight="w", partitions=7, hot_rows=50)
+    got = running_total_within(skewed, ["key"], ["t", "id"], "run", weight="w", partitions=7)
     w = Window.partitionBy("key").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
     ref = skewed.withColumn("ref", F.sum("w").over(w))
     assert got.join(ref.select("id", "ref"), "id").filter(F.col("run") != F.col("ref")).count() == 0
@@ -60,20 +61,21 @@ def test_global_ordinal_without_keys(spark, skewed):
 
 
 def test_rank_equals_window_rank(spark, skewed):
-    got = rank_within(skewed, ["key"], ["t"], ["id"], "rk", hot_rows=100)
+    got = rank_within(skewed, ["key"], ["t"], ["id"], "rk")
     ref = skewed.withColumn("ref", F.rank().over(Window.partitionBy("key").orderBy("t")))
     assert got.join(ref.select("id", "ref"), "id").filter(F.col("rk") != F.col("ref")).count() == 0
 
 
-@pytest.mark.parametrize("hot_rows", [5, 1_000_000])
-def test_exact_quantiles_match_numpy(spark, hot_rows):
+@pytest.mark.parametrize("ranges", [65_536, 3])
+def test_exact_quantiles_match_numpy(spark, monkeypatch, ranges):
+    monkeypatch.setattr(quantiles, "RANGES", ranges)
     rnd = np.random.default_rng(3)
     a = rnd.integers(0, 40, 1001).astype(float)
     b = rnd.normal(size=57)
     rows = [("a", float(x)) for x in a] + [("b", float(x)) for x in b] + [("b", None)]
     long = spark.createDataFrame(rows, "column_name string, value double")
     probs = [0.0, 0.25, 0.5, 0.75, 1.0, 0.9]
-    got = {(r.column_name, r.prob): r.quantile for r in exact_quantiles(long, probs, hot_rows=hot_rows).collect()}
+    got = {(r.column_name, r.prob): r.quantile for r in exact_quantiles(long, probs).collect()}
     for name, arr in (("a", a), ("b", b)):
         for p in probs:
             assert got[(name, p)] == pytest.approx(np.quantile(arr, p), rel=1e-12, abs=1e-12)
@@ -108,11 +110,7 @@ def test_gap_sessions_match_brute_force(spark, gap_s):
     assert got == exp
 
 
-def test_global_rank_and_hot_rank_paths(spark, skewed):
-    ref = skewed.withColumn("ref", F.rank().over(Window.partitionBy("key").orderBy("t")))
-    for hot_rows in (10, 100, 10_000_000):
-        got = rank_within(skewed, ["key"], ["t"], ["id"], "rk", hot_rows=hot_rows)
-        assert got.join(ref.select("id", "ref"), "id").filter(F.col("rk") != F.col("ref")).count() == 0
+def test_global_rank(spark, skewed):
     glob = rank_within(skewed, [], ["t"], ["id"], "rk").toPandas()
     exp = skewed.toPandas()
     exp["exp"] = exp["t"].rank(method="min").astype(int)
@@ -120,8 +118,7 @@ def test_global_rank_and_hot_rank_paths(spark, skewed):
     assert (m["rk"] == m["exp"]).all()
 
 
-@pytest.mark.parametrize("hot_rows", [50, 1_000_000])
-def test_giant_session_is_chunked_in_order_and_whole(spark, hot_rows):
+def test_giant_session_in_segments_is_whole(spark):
     from actlens.functions import labels as L
     from actlens.operators import sequence as sq
 
@@ -134,22 +131,46 @@ def test_giant_session_is_chunked_in_order_and_whole(spark, hot_rows):
         rows.append((i, sess, "U1", rnd.choice(["view", "cart", "purchase"]), t))
     df = spark.createDataFrame(rows, "event_id long, session_id string, user_id string, action string, "
                                      "time timestamp_ntz")
-    got = sq.session_sequences(df, chunk_size=37, hot_rows=hot_rows).collect()
+    got = sq.session_sequences(df, 37).collect()
     pdf = pd.DataFrame(rows, columns=["event_id", "session_id", "user_id", "action", "time"])
     for sess, g in pdf.sort_values(["time", "event_id"]).groupby("session_id"):
-        parts = sorted((r.chunk, r.action_sequence) for r in got if r.session_id == sess)
-        assert [c for c, _ in parts] == list(range(len(parts)))
-        assert all(len(p.split(L.SEQUENCE_SEP)) <= 37 for _, p in parts)
-        assert L.SEQUENCE_SEP.join(p for _, p in parts) == L.SEQUENCE_SEP.join(g["action"])
-    ranks = {r.event_id: r.action_rank for r in sq.session_rank(df, hot_rows=hot_rows).collect()}
+        parts = sorted((r.segment, r.first_position, r.action_sequence) for r in got if r.session_id == sess)
+        assert [(c, f) for c, f, _ in parts] == [(i, 37 * i + 1) for i in range(len(parts))]
+        assert all(len(p.split(L.SEQUENCE_SEP)) <= 37 for _, _, p in parts)
+        assert L.SEQUENCE_SEP.join(p for _, _, p in parts) == L.SEQUENCE_SEP.join(g["action"])
+    ranks = {r.event_id: r.action_rank for r in sq.session_rank(df).collect()}
     pdf["exp"] = pdf.groupby("session_id")["time"].rank(method="min").astype(int)
     assert all(ranks[e] == x for e, x in zip(pdf["event_id"], pdf["exp"]))
 
 
-def test_session_sizes_from_buckets_match_counts(spark):
-    from actlens.sources.events import activity, session_sizes
+@pytest.mark.parametrize("kind", ["nulls", "equal times"])
+def test_rank_and_position_with_nulls_and_ties(spark, kind):
+    from actlens.operators import sequence as sq
+
+    rnd = random.Random(5)
+    times = [None, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)] if kind == "nulls" else [dt.datetime(2024, 1, 1)]
+    rows = [(i, rnd.choice(["a", "b", None]), rnd.choice(times)) for i in range(120)]
+    df = spark.createDataFrame(rows, "event_id long, session_id string, time timestamp_ntz").repartition(5)
+    rank = df.withColumn("w", F.rank().over(Window.partitionBy("session_id").orderBy("time")))
+    number = df.withColumn("w", F.row_number().over(Window.partitionBy("session_id").orderBy("time", "event_id")))
+    assert {r.event_id: r.action_rank for r in sq.session_rank(df).collect()} == {r.event_id: r.w for r in rank.collect()}
+    assert {r.event_id: r.rn for r in sq.session_position(df).collect()} == {r.event_id: r.w for r in number.collect()}
+
+
+def test_user_totals_match_sessionised_rows(spark):
+    from actlens.sources.events import activity, user_totals
 
     sf = "/root/testdata/sf0.01"
-    counted = {r.session_id: r["count"] for r in activity(spark, sf).groupBy("session_id").count().collect()}
-    summed = {r.session_id: r._rows for r in session_sizes(spark, sf).collect()}
-    assert summed == counted
+    counted = activity(spark, sf).groupBy("user_id").agg(F.count_distinct("session_id"), F.count("*"),
+                                                         F.count_if(F.col("action") == "view"))
+    summed = user_totals(activity(spark, sf, sessions=False)).select("user_id", "total_sessions", "total_actions", "views")
+    assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, summed.collect()))
+
+
+def test_negative_k_is_read(spark):
+    from actlens.sources.events import activity_from_events
+
+    rows = [(i, dt.datetime(2024, 1, 1), 1, "view", f'{{"k": {k}}}') for i, k in enumerate([-1, -7, 0, 5])]
+    ev = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, props string")
+    got = sorted((r.event_id, r.category, r.device) for r in activity_from_events(ev).collect())
+    assert got == [(0, "C5", "tablet"), (1, "C5", "tablet"), (2, "C0", "desktop"), (3, "C5", "tablet")]

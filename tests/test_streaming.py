@@ -18,10 +18,10 @@ def test_stream_matches_batch(spark, tmp_path):
     write_csv(raw.repartition(4), src)
     stream = read_activity_stream(spark, src, max_files_per_trigger=1)
 
-    q1 = start(running_counts(stream, "action"), "stream_action_counts", checkpoint=str(tmp_path / "c1"))
-    q2 = start(running_profile(stream), "stream_profile", checkpoint=str(tmp_path / "c2"))
-    q3 = start(windowed_counts(stream, "action", "1 day", "1 hour"), "stream_daily", output_mode="append",
-               checkpoint=str(tmp_path / "c3"))
+    q1 = start(running_counts(stream, "action"), "memory", str(tmp_path / "c1"), name="stream_action_counts")
+    q2 = start(running_profile(stream), "memory", str(tmp_path / "c2"), name="stream_profile")
+    q3 = start(windowed_counts(stream, "action", "1 day", "1 hour"), "memory", str(tmp_path / "c3"),
+               output_mode="append", name="stream_daily")
     for q in (q1, q2, q3):
         q.processAllAvailable()
         q.stop()
@@ -41,3 +41,15 @@ def test_stream_matches_batch(spark, tmp_path):
 
     daily = spark.sql("SELECT * FROM stream_daily").collect()
     assert 0 < sum(r["count"] for r in daily) <= sum(want.values())
+
+
+def test_restarted_query_resumes(spark, tmp_path):
+    """With the same checkpoint folder, files that were read are not read again."""
+    raw = activity(spark, SF, sessions=True, raw_time=True).select(*ACTIVITY_COLUMNS)
+    src, out, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+    for part in (raw.where("action = 'view'"), raw.where("action != 'view'")):
+        write_csv(part, src, mode="append")
+        q = start(read_activity_stream(spark, src).select("action"), "parquet", state, output_mode="append", path=out)
+        q.processAllAvailable()
+        q.stop()
+    assert spark.read.parquet(out).count() == raw.count()

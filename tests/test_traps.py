@@ -70,14 +70,14 @@ def test_equal_times_share_rank_and_get_distinct_positions(spark):
     assert ranks == [1, 1, 3]
     pos = {r.event_id: r.rn for r in sq.session_position(df).collect()}
     assert pos == {0: 1, 1: 2, 2: 3}
-    seq = sq.session_sequences(df).first().action_sequence
+    seq = sq.session_sequences(df, 10).first().action_sequence
     assert seq == L.SEQUENCE_SEP.join(["view", "cart", "purchase"])
 
 
 def test_sequence_is_time_ordered_not_input_ordered(spark):
     df = activity_frame(spark, [("U1", "S1", "purchase", T0 + "9"), ("U1", "S1", "view", T0 + "1"),
                                 ("U1", "S1", "cart", T0 + "5")])
-    assert sq.session_sequences(df).first().action_sequence == L.SEQUENCE_SEP.join(["view", "cart", "purchase"])
+    assert sq.session_sequences(df, 10).first().action_sequence == L.SEQUENCE_SEP.join(["view", "cart", "purchase"])
 
 
 def test_tied_counts_pick_lowest_key(spark):
