@@ -54,24 +54,28 @@ def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text
 
 
 def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO,
-                     min_pages: int = MIN_PAGES, most: float = MOST) -> DataFrame:
+                     min_pages: int = MIN_PAGES, most: float = MOST, counts: bool = True) -> DataFrame:
     """All rows and columns of ``docs``, with boilerplate lines taken out of
-    ``text_col``, and the columns ``n_lines`` and ``n_dropped`` (long).
+    ``text_col``, and with ``counts`` the columns ``n_lines`` and ``n_dropped``
+    (long; they replace columns of ``docs`` with these names).
 
     The table of hosts is written first, so its size is known when the join
     is planned: it is broadcast only if small, and otherwise shuffled apart
     from its aggregate, so that a hot host's rows can be split."""
-    gone = materialize(boilerplate(docs, host_col, text_col, ratio, min_pages), "boilerplate").select(
-        F.col("host").alias("_host"), F.col("gone").alias("_gone"))
-    joined = docs.join(gone, docs[host_col].eqNullSafe(gone["_host"]), "left")
-    lines = joined.withColumn("_lines", F.split(text_col, "\n")).withColumn(
-        "_kept", F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(F.filter(
-            "_lines", lambda x: ~F.array_contains("_gone", _line_key(_trimmed(x))))))
-    full = F.size(F.filter("_lines", lambda x: _trimmed(x) != ""))
-    dropped = F.size("_lines") - F.size("_kept")
-    lines = lines.withColumn("_kept", F.when(dropped <= F.lit(most) * full, F.col("_kept")).otherwise(F.col("_lines")))
-    null = F.col(text_col).isNull()
-    return lines.select(
-        *[F.array_join("_kept", "\n").alias(c) if c == text_col else docs[c] for c in docs.columns],
-        F.when(null, 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"),
-        F.when(null, 0).otherwise(dropped).cast("long").alias("n_dropped"))
+    gone = materialize(boilerplate(docs, host_col, text_col, ratio, min_pages), "boilerplate")
+    # The other columns travel as one struct, whatever their names.
+    other = [c for c in docs.columns if c != text_col]
+    rows = docs.select(F.struct(F.lit(0).alias("_"), *other).alias("row"), F.col(host_col).alias("site"),
+                       F.col(text_col).alias("text"))
+    joined = rows.join(gone, rows["site"].eqNullSafe(gone["host"]), "left").withColumn("lines", F.split("text", "\n"))
+    joined = joined.withColumn("kept", F.when(F.col("gone").isNull(), F.col("lines")).otherwise(F.filter(
+        "lines", lambda x: ~F.array_contains("gone", _line_key(_trimmed(x))))))
+    full = F.size(F.filter("lines", lambda x: _trimmed(x) != ""))
+    dropped = F.size("lines") - F.size("kept")
+    joined = joined.withColumn("kept", F.when(dropped <= F.lit(most) * full, F.col("kept")).otherwise(F.col("lines")))
+    null = F.col("text").isNull()
+    own = {"n_lines": F.when(null, 0).otherwise(F.size("lines")).cast("long"),
+           "n_dropped": F.when(null, 0).otherwise(dropped).cast("long")} if counts else {}
+    return joined.select(
+        *[F.array_join("kept", "\n").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns if c not in own],
+        *[c.alias(name) for name, c in own.items()])

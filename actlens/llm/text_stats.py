@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from actlens.llm.batches import slices, words
 
@@ -75,5 +76,4 @@ def with_counts(docs: DataFrame, text_col: str = "text", whole: bool = False) ->
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(list(c), pa.int64()) for c in zip(*rows))], [name, *COUNTS])
 
-    schema = f"{name} {chosen.schema[0].dataType.simpleString()}, " + ", ".join(f"{c} long" for c in COUNTS)
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(run, T.StructType([chosen.schema[0], *[T.StructField(c, T.LongType()) for c in COUNTS]]))

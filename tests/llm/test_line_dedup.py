@@ -18,9 +18,11 @@ def rows():
 
 def test_same_as_sql(spark):
     data = rows()
-    docs = spark.createDataFrame([(*r, 7) for r in data], "doc_id long, text string, source string, n int")
+    docs = spark.createDataFrame([(*r, 7, 8, "x", 9) for r in data],
+                                 "doc_id long, text string, source string, n int, n_lines int, host string, `a b` int")
     got = L.drop_boilerplate(docs.repartition(3)).select("doc_id", "text", "n_lines", "n_dropped").collect()
-    frame = docs.toPandas()
+    assert L.drop_boilerplate(docs, counts=False).columns == docs.columns
+    frame = docs.select("doc_id", "text", "source").toPandas()
     con = duckdb.connect()
     con.register("documents", frame)
     want = con.sql(f"WITH {LINES_CTE} SELECT doc_id, array_to_string(kept, chr(10)), coalesce(len(lines), 0), "

@@ -93,10 +93,10 @@ def test_odd_documents(spark, tmp_path):
     """Nulls, empty and repeated rows, extra columns with clashing names, an empty table."""
     rng = random.Random(3)
     text = [" ".join(f"w{rng.randint(0, 999)}" for _ in range(120)) for _ in range(12)]
-    rows = [(i, t, "en", "s", len(t), 1, "x") for i, t in enumerate(text)]
-    rows += [(3, text[3], "en", "s", 1, 1, "x"), (50, text[4], None, None, None, 1, "x"), (51, None, "en", "s", 0, 1, "x"),
-             (52, "", "en", "s", 0, 1, "x"), (None, text[5], "en", "s", 0, 1, "x")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, n_words int, fp string")
+    rows = [(i, t, "en", "s", len(t), 1, "x", 1, 2) for i, t in enumerate(text)]
+    rows += [(3, text[3], "en", "s", 1, 1, "x", 1, 2), (50, text[4], None, None, None, 1, "x", 1, 2), (51, None, "en", "s", 0, 1, "x", 1, 2),
+             (52, "", "en", "s", 0, 1, "x", 1, 2), (None, text[5], "en", "s", 0, 1, "x", 1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, n_words int, fp string, n_dropped int, `a b` int")
     for table in (docs, docs.limit(0)):
         for i, (_, stage) in enumerate(P.STAGES):
             out = stage(spark, table, DIR)
