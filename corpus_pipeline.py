@@ -24,7 +24,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that are boilerplate of their source go; ``n_chars`` follows the text."""
-    cut = line_dedup.drop_boilerplate(docs).select(*docs.columns)
+    cut = line_dedup.drop_boilerplate(docs, counts=False)
     return cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cut
 
 
