@@ -1,90 +1,66 @@
-"""Tabulate the executed physical plan of every registered query.
+"""Tabulate the physical plan of every registered query of the catalog.
 
     python tools/plan_report.py [sf_dir] > PLANS.md
 
-Each query runs once (into the noop sink) so the adaptive plan is final;
-the counts are read from the plan text.
-"""
+The plans are those of large data: adaptive execution and broadcast joins are
+off, so every shuffle that the query needs is in the plan.  All nodes are
+counted, those of scalar subqueries included.  Jobs that run while a query is
+built (tables written to the scratch folder) are plans of their own and are
+listed as "written first"."""
 
 from __future__ import annotations
 
 import os
-import re
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from actlens.plans.catalog import QUERIES  # noqa: E402
 from actlens.plans.session import build_session  # noqa: E402
 
-NOTES = """## Reading the table
+COLUMNS = {
+    "scans": lambda x: x.startswith("FileScan") or x.startswith("Scan "),
+    "hash shuffles": lambda x: x.startswith("Exchange hash"),
+    "range shuffles": lambda x: x.startswith("Exchange range"),
+    "single": lambda x: x.startswith("Exchange Single"),
+    "sort-merge joins": lambda x: x.startswith("SortMergeJoin"),
+    "broadcast joins": lambda x: x.startswith("BroadcastHashJoin"),
+    "nested loop, cartesian": lambda x: x.startswith(("BroadcastNestedLoopJoin", "CartesianProduct")),
+    "windows": lambda x: x.startswith("Window"),
+    "Python": lambda x: any(p in x.split("(")[0] for p in ("Python", "Pandas", "Arrow")),
+}
 
-* **No Python in any plan** (`python` = 0): every operator is built-in Catalyst
-  expressions inside whole-stage codegen.  **No nested-loop or cartesian
-  join** anywhere.
-* **Pushed filters**: every query that scans `events` pushes the
-  `IS NOT NULL` cleaning to parquet.  Queries showing `-` read a CSV written
-  by the query itself, a checkpoint, or only reuse an exchange whose scan is
-  printed under the subquery.
-* **One shuffle per aggregate.** Counts, profiles, the action matrix and the
-  funnel are a single partial + final aggregate; shares add a scalar
-  subquery whose shuffle the main plan reuses (`reused` = 1).
-* **Sessions**: queries reading `session_id` add the sessionisation: a
-  (user, bucket) aggregate, one window over that aggregate, and a join back
-  on (user, bucket).  AQE broadcasts the bucket table here because it
-  measured it small; on large data the plan is a sort-merge join shuffled on
-  (user, bucket), whose skewed partitions AQE splits.  Queries that do not
-  read `session_id` have no join at all (left join onto a key-unique table,
-  removed by Catalyst).
-* **Session positions** (`session_rank`, `session_row_number`,
-  `session_events`, `session_sequences`): a group-size aggregate decides,
-  before the plan is built, whether any session exceeds 1M events; here
-  none does, so positions are one window (the `windows` count includes the
-  sessionisation's window).  A hot session would add the range-partitioned,
-  checkpointed path (see `actlens/operators/ordinal.py`).
-* **Hyperactivity** (`behavior_type`, `hyperactive_users`) reads the
-  profile from a checkpoint (`checkpoint scans` = 1): the events are
-  aggregated once, and the threshold is a scalar subquery over the written
-  profile.
-* **describe_all** reads its input once: a (column, value, count) aggregate
-  is written to the checkpoint folder (`checkpoint scans`), and the text
-  statistics, moments, two-pass deviation and exact quantiles (running totals
-  over the value counts) are all computed from it."""
 
-COLUMNS = [
-    ("shuffles", r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)"),
-    ("broadcasts", r"BroadcastExchange"),
-    ("file scans", r"FileScan (parquet|csv)|Scan (parquet|csv)"),
-    ("checkpoint scans", r"Scan ExistingRDD"),
-    ("windows", r"\bWindow \["),
-    ("smj", r"SortMergeJoin"),
-    ("bhj", r"BroadcastHashJoin"),
-    ("nested/cartesian", r"BroadcastNestedLoopJoin|CartesianProduct"),
-    ("python", r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas"),
-    ("subqueries", r"Subquery subquery"),
-    ("reused", r"ReusedExchange|ReusedSubquery"),
-]
+def nodes(plan) -> list[str]:
+    """Every node of a physical plan as text, scalar subqueries included."""
+    out, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        out.append(node.simpleString(200))
+        for group in (node.children(), node.subqueries()):
+            todo += [group.apply(i) for i in range(group.size())]
+    return out
 
 
 def main(sf_dir: str) -> None:
-    spark = build_session(app_name="actlens-plans")
-    print("# Physical plans of the registered queries\n")
-    print(f"Generated by `tools/plan_report.py` on `{sf_dir}` (local mode, adaptive execution on). "
-          "Counts are nodes in the physical plan of each query after adaptive re-planning; "
-          "checkpointed inputs (the range-partitioned numbering) appear as RDD scans.\n")
-    print(NOTES + "\n")
-    print("| query | " + " | ".join(c for c, _ in COLUMNS) + " | pushed filters |")
-    print("|---|" + "---|" * (len(COLUMNS) + 1))
+    folder = tempfile.mkdtemp(prefix="actlens-plans-")
+    spark = build_session(app_name="actlens-plans", extra={
+        "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.checkpoint.dir": folder})
+    known: set[str] = set()
+    print("# Physical plans of the catalog's queries\n")
+    print(f"From `tools/plan_report.py` on `{sf_dir}`: {__doc__.split('<p>')[0].split(chr(10) * 2)[2].strip()}\n")
+    print("| query | " + " | ".join(COLUMNS) + " | pushed filters | written first |")
+    print("|---|" + "---|" * (len(COLUMNS) + 2))
     for name, fn in QUERIES.items():
-        df = fn(spark, sf_dir)
-        df.collect()
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        plan = plan.split("== Initial Plan ==")[0]  # adaptive plans print both; keep the final one
-        counts = [len(re.findall(p, plan, flags=re.M)) for _, p in COLUMNS]
-        pushed = "yes" if re.search(r"PushedFilters: \[[^\]]+\]", plan) else "-"
-        print(f"| {name} | " + " | ".join(str(c) for c in counts) + f" | {pushed} |")
-        if df.is_cached:
-            df.unpersist()
+        found = nodes(fn(spark, sf_dir)._jdf.queryExecution().executedPlan())
+        written = sorted(x.rpartition("-")[0] for x in set(os.listdir(folder)) - known)
+        known |= set(os.listdir(folder))
+        pushed = [x for x in found if x.startswith("FileScan") and "events.parquet" in x]
+        told = "-" if not pushed else "yes" if all("PushedFilters: [IsNotNull" in x for x in pushed) else "no"
+        print(f"| {name} | " + " | ".join(str(sum(map(test, found))) for test in COLUMNS.values())
+              + f" | {told} | {', '.join(written) or '-'} |")
 
 
 if __name__ == "__main__":
