@@ -5,7 +5,7 @@
 check.  They are always kept.
 
 *Candidates* are base spans and looser forms: digit runs of card length, phone
-numbers without a country code, full IPv6 addresses, addresses written with
+numbers without a country code or with other numbers right behind, full IPv6 addresses, addresses written with
 "at" and "dot".  Each candidate gets a vote (for, against, none) of five labelers: the strict
 pattern, the checksum or format, a gazetteer (issuer prefixes, calling codes,
 mail domains, reserved networks), cue words in the context, and the borders of
@@ -47,7 +47,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
-_LOCAL_PHONE = re.compile(r"(?<![0-9+])[0-9]{3}(?:\) ?|[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])")
+_LOOSE_PHONE = re.compile(
+    r"(?<![0-9+])(?:\+[0-9]{1,3}[\x20.-]?\(?)?[0-9]{3}(?:\)\x20?|[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])")
 _IPV6 = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")
 _SPELLED = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:[\[({]\x20?at\x20?[\])}]|\x20at\x20)\x20?"
@@ -114,7 +115,7 @@ def base_spans(text: str, loose: list | None = None) -> list[tuple[int, int, int
             out += [(3, at + m.start(), at + m.end()) for m in _PHONE.finditer(run)
                     if 9 <= len(_NOT_DIGIT.sub("", m.group())) <= 15]
         if loose is not None and len(run) > 11:
-            loose += [(3, at + m.start(), at + m.end()) for m in _LOCAL_PHONE.finditer(run)]
+            loose += [(3, at + m.start(), at + m.end()) for m in _LOOSE_PHONE.finditer(run)]
     out.sort()
     return out
 
@@ -151,7 +152,7 @@ def votes(text: str, kind: int, a: int, b: int, strict: bool) -> tuple[int, ...]
         known = 1 if digits[0] in "3456" or digits[:2] in ("22", "23", "24", "25", "26", "27") else 2
     elif name == "phone":
         check = 1 if 9 <= len(digits) <= 15 else 2
-        known = 2 if digits[0] == "0" and strict else 1 if strict or digits[0] not in "01" else 2
+        known = (2 if digits[0] == "0" else 1) if span[0] == "+" else 2 if digits[0] in "01" else 1
     elif name == "ip":
         check = 1 if ":" in span or _octets(span) else 2
         known = 2 if span.split(".")[0] in ("0", "127", "255") else 0
