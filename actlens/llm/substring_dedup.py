@@ -140,8 +140,8 @@ def _windows(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 def _earlier(rows: DataFrame) -> DataFrame:
     """The ``rows`` whose anchor and span also occur under a smaller ``doc_id``."""
     first = rows.groupBy("anchor", "span").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    return rows.join(first.where("first < last").select("anchor", "span", "first"), ["anchor", "span"]).where(
-        "doc_id > first").drop("first")
+    first = materialize(first.where("first < last").select("anchor", "span", "first"), "first")
+    return rows.join(first, ["anchor", "span"]).where("doc_id > first").drop("first")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -157,13 +157,16 @@ def repeats(docs: DataFrame, length: int = 50, k: int = 20) -> DataFrame:
     keyed = _keyed(docs).where("doc_id is not null")
     seeds = materialize(_seeds(keyed, length, k), "seeds")
     shared = seeds.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b")
-    seeds = materialize(seeds.join(shared.select("anchor"), "anchor", "left_semi"), "shared-seeds")
+    # Minima are written before they are joined back: the join is then apart
+    # from their aggregate, and a hot anchor's rows can be split.
+    shared = materialize(shared.select("anchor"), "shared-anchors")
+    seeds = materialize(seeds.join(shared, "anchor", "left_semi"), "shared-seeds")
     whole = _earlier(seeds).select("doc_id", "tag", "start", "n")
     # Anchors with several surroundings: the first document of each surrounding is looked at window by window.
     first = seeds.groupBy("anchor", "span").agg(F.min("doc_id").alias("first"))
     several = first.groupBy("anchor").agg(F.count("span").alias("spans"), F.min("first").alias("a"),
                                           F.max("first").alias("b")).where("spans > 1 and a < b")
-    firsts = first.join(several.select("anchor"), "anchor", "left_semi")
+    firsts = materialize(first.join(several.select("anchor"), "anchor", "left_semi"), "firsts")
     open_runs = seeds.join(firsts, ["anchor", "span"]).where("doc_id = first")
     wanted = open_runs.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "n", "anchor")).alias("runs"))
     windows = materialize(_windows(keyed, wanted, length), "windows")
