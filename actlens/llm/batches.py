@@ -22,7 +22,7 @@ class BoundedCache(dict):
     worker's memory stays bounded whatever it reads.  When ``limit`` new
     entries have come together, those not used since the last time go."""
 
-    def __init__(self, make: Callable, limit: int = 300_000):
+    def __init__(self, make: Callable, limit: int = 100_000):
         super().__init__()
         self._make, self._limit, self._older = make, limit, {}
 

@@ -86,10 +86,10 @@ class ByteBPE:
         for t, i in self._token.items():
             self._trie.add_word(t, i)
         self._reach = max(self._length)
-        self._fits = BoundedCache(lambda pair: self._compatible(*pair), 300_000)
-        self._packed = BoundedCache(lambda piece: array("i", self.encode_piece(piece.encode())).tobytes(), 200_000)
-        self._bare = BoundedCache(self._pack_pieces, 100_000)
-        self._spaced = BoundedCache(self._pack_word, 300_000)
+        self._fits = BoundedCache(lambda pair: self._compatible(*pair), 100_000)
+        self._packed = BoundedCache(lambda piece: array("i", self.encode_piece(piece.encode())).tobytes(), 30_000)
+        self._bare = BoundedCache(self._pack_pieces, 20_000)
+        self._spaced = BoundedCache(self._pack_word, 100_000)
         self._line_feed = self._pack_pieces("\n")
 
     @staticmethod
