@@ -195,6 +195,11 @@ def tokenizer(path: str, pattern: str) -> ByteBPE:
     return ByteBPE(path, pattern)
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0] + [len(x) for x in arrays], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays) if arrays else [], pa.int32()))
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
     """Replace ``text_col`` by the array ``ids_col`` of token ids; the other
     columns stay.  One pass over the rows, no shuffle.  An ``ids_col`` that
@@ -206,9 +211,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
         bpe = tokenizer(path, pattern)
         for batch in slices(batches, text_col):
             ids = [bpe.encode(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            ends = np.cumsum([0] + [len(x) for x in ids], dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else [], pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], [*keep, ids_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], _lists(ids)], [*keep, ids_col])
 
     return docs.select(*keep, text_col).mapInArrow(run, schema)
 
@@ -224,34 +227,27 @@ def decode(ids_col, path: str, pattern: str):
     return run(ids_col)
 
 
-def summary(ids_col, path: str, pattern: str):
-    """Column expression over an array of token ids: a struct of ``n_tokens``,
-    ``ids_sha256`` (of the decimal ids joined by commas) and
-    ``decoded_sha256`` (of the decoded bytes).  Null counts as no tokens."""
-
-    @arrow_udf("struct<n_tokens bigint, ids_sha256 string, decoded_sha256 string>")
-    def run(arrays: pa.Array) -> pa.Array:
-        bpe = tokenizer(path, pattern)
-        name = decimal_ids(path, pattern)
-        rows = []
-        for x in arrays:
-            x = x.values.to_numpy().tolist() if x.is_valid else []
-            rows.append((len(x), sha256(b",".join(map(name.__getitem__, x))).hexdigest(),
-                         sha256(bpe.decode(x)).hexdigest()))
-        n, a, b = zip(*rows) if rows else ((), (), ())
-        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
-                                          ["n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return run(ids_col)
-
-
 def digests(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
     """Encode ``text``, decode the ids again, and return per document
-    ``doc_id, n_tokens, ids_sha256, decoded_sha256`` (see :func:`summary`)
-    and, if asked for, ``token_ids``."""
-    ids = encode(docs.select("doc_id", "text"), path, pattern)
-    return ids.select("doc_id", summary(F.col("token_ids"), path, pattern).alias("s"), "token_ids").select(
-        "doc_id", "s.*", *["token_ids"] * with_ids)
+    ``doc_id, n_tokens, ids_sha256`` (of the decimal ids joined by commas),
+    ``decoded_sha256`` (of the decoded bytes) and, if asked for, ``token_ids``.
+    One pass in one Python worker, which so holds one tokenizer."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe, name = tokenizer(path, pattern), decimal_ids(path, pattern)
+        for batch in slices(batches, "text"):
+            ids, of_ids, of_bytes = [], [], []
+            for text in batch.column(1).to_pylist():
+                ids.append(bpe.encode(text))
+                own = ids[-1].tolist()
+                of_ids.append(sha256(b",".join(map(name.__getitem__, own))).hexdigest())
+                of_bytes.append(sha256(bpe.decode(own)).hexdigest())
+            columns = [batch.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(of_ids, pa.string()),
+                       pa.array(of_bytes, pa.string()), *([_lists(ids)] if with_ids else [])]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * with_ids
+    names = [c.split()[0] for c in schema.split(", ")]
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
 @lru_cache(maxsize=4)

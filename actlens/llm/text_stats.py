@@ -66,12 +66,14 @@ def counts_of(text: str | None) -> tuple[int, ...]:
 def with_counts(docs: DataFrame, text_col: str = "text", whole: bool = False) -> DataFrame:
     """``doc_id`` and :data:`COUNTS` (long) of every row; one pass, no shuffle.
     With ``whole`` the row itself comes instead of ``doc_id``, as struct ``row``."""
-    lead = F.struct(*docs.columns).alias("row") if whole else F.col("doc_id").cast("long").alias("doc_id")
-    chosen = docs.select(lead, F.col(text_col).alias("_text"))
+    chosen = docs.select(F.struct(*docs.columns).alias("row")) if whole else docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     name = chosen.columns[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
+        if whole:
+            batches = (pa.RecordBatch.from_arrays([b.column(0), b.column(0).field(text_col)], [name, "text"]) for b in batches)
+        for batch in slices(batches, "text"):
             rows = [counts_of(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(list(c), pa.int64()) for c in zip(*rows))], [name, *COUNTS])
