@@ -11,9 +11,11 @@ bias.  Texts without words have the bias alone.
 Training: at most ``max_rows`` labelled rows (a documented bound; the rows
 with the smallest hash of ``doc_id``) are vectorised on the executors and
 dealt by hash into ``SHARDS`` groups.  In each round every shard runs FTRL
-over its rows in a fixed order, starting from the common state; the states
-are then averaged, slot by slot, by a Spark aggregate.  The state sent around
-has ``2 ** BITS`` slots at most, whatever the input.
+over its rows in a fixed order, starting from the common state; a Spark
+aggregate then adds up, slot by slot, what the shards have changed, and the
+sums go into the common state (the squared gradients as well, which slow down
+the steps of slots that many shards move).  The state sent around
+has ``2 ** BITS + 3`` slots at most, whatever the input.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from actlens.sources.scratch import materialize
 
 #: log2 of the number of weights; the model is 2 ** BITS doubles (2 MB).
 BITS = 18
-SHARDS = 4
+SHARDS = 8
 _PAIR = np.uint64(0x9E3779B97F4A7C15)  # mixes the first word of a pair
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 
@@ -108,10 +110,10 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, p: FTRL = FTRL(), max
             slots, values = zip(*(features(t, bits) for t in batch.column(2).to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(slots, pa.list_(pa.int32())),
-                 pa.array(values, pa.list_(pa.float64()))], ["doc_id", "label", "slots", "vals"])
+                 pa.array(values, pa.list_(pa.float32()))], ["doc_id", "label", "slots", "vals"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").select(
-        "doc_id", "label", "text").mapInArrow(vectors, "doc_id long, label int, slots array<int>, vals array<double>")
+        "doc_id", "label", "text").mapInArrow(vectors, "doc_id long, label int, slots array<int>, vals array<float>")
     # A bounded table of sparse vectors, written once: each round reads it.
     rows = materialize(rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS))).repartition(SHARDS, "shard"),
                        "ftrl-rows")
@@ -122,12 +124,12 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, p: FTRL = FTRL(), max
         state = spark.sparkContext.broadcast((z, n))
 
         moved = rows.groupBy("shard").applyInPandas(_one_shard(state, p), "slot int, dz double, dn double")
-        # At most 2 ** bits + 3 rows: the state, averaged over the shards.
+        # At most 2 ** bits + 3 rows: the changes, added up over the shards.
         moved = moved.groupBy("slot").agg(F.sort_array(F.collect_list(F.struct("dz", "dn"))).alias("d")).select(
             "slot", F.expr("aggregate(d, 0D, (a, x) -> a + x.dz)").alias("dz"),
             F.expr("aggregate(d, 0D, (a, x) -> a + x.dn)").alias("dn")).toPandas()
-        z[moved["slot"]] += moved["dz"] / SHARDS
-        n[moved["slot"]] += moved["dn"] / SHARDS
+        z[moved["slot"]] += moved["dz"]
+        n[moved["slot"]] += moved["dn"]
         state.unpersist()
     return _weights(z, n, p)
 
