@@ -11,13 +11,13 @@ from actlens.sources.scratch import materialize
 def _to_smallest(links: DataFrame) -> DataFrame:
     """Each node's larger neighbours are linked to the smallest node around it."""
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")
     return both.join(least, "a").where("b > a and b != m").selectExpr("b as a", "m as b").distinct()
 
 
 def _to_parent(links: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours are linked to the smallest of them."""
-    least = links.groupBy("a").agg(F.min("b").alias("m"))
+    least = materialize(links.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = links.join(least, "a").where("b != m").selectExpr("b as a", "m as b")
     return moved.union(least.selectExpr("a", "m as b")).distinct()
 
@@ -29,7 +29,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Every round rewires nodes towards the smallest neighbour, with the
     minimum pre-aggregated before the shuffle, and is written to the shared
-    scratch folder; rounds grow with the logarithm of a component's width.
+    scratch folder.  The minima are written too: the join back is then apart
+    from their aggregate, and a hot node's links can be split.  Rounds grow with the logarithm of a component's width.
     Only a count and a checksum reach the driver."""
     links = links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     links = materialize(links, "links")

@@ -217,7 +217,7 @@ def link(distinct: DataFrame, radius: int = 4, spare: int = 2) -> DataFrame:
     masks = F.array(*[F.lit(m) for m in _tables(radius, spare)])
     keyed = distinct.select("fp", "node", F.posexplode(masks).alias("t", "mask")).select(
         "fp", "node", F.xxhash64("t", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("fp").alias("n")).where("n > 1")
+    shared = materialize(keyed.groupBy("key").agg(F.count("fp").alias("n")).where("n > 1"), "shared-keys")
     parts = F.ceil(F.col("n") / CELL).cast("int")
     mine = F.pmod(F.xxhash64("fp"), parts).cast("int")
     cells = keyed.join(shared, "key").select(
