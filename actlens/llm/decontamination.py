@@ -16,9 +16,11 @@ that can still reach the threshold have their postings read.
 
 *Verification*: the passage must hold at least ``overlap`` of the five-word
 shingles of the item's question and of its answer (a part with fewer words:
-all of it, in order).  Where items are plain text, the last sentence is the
-answer and the rest the question; of a single sentence, the last quarter of
-its words.
+all of it, in order).  Items are plain text: the last sentence is taken for
+the answer and the rest for the question; of a single sentence, the last
+quarter of its words.  As that split is a guess, and one word decides over a
+short answer, an item is also verified if the passage holds at least
+``overlap`` of the shingles of the whole item.
 
 The index is sent to the executors in shards of a bounded number of bytes;
 document frequencies count over all items, so results do not depend on the
@@ -66,19 +68,25 @@ def question_and_answer(text: str | None) -> tuple[list[bytes], list[bytes]]:
     return whole[:cut], whole[cut:]
 
 
-def _shingles(ids: list[int]) -> set[tuple[int, ...]]:
-    n = min(_SHINGLE, len(ids))
-    return {tuple(ids[i:i + n]) for i in range(len(ids) - n + 1)} if n else set()
+class _Shingles(dict):
+    """The sets of shingles of ``n`` words of ``ids``, by ``n``, made when first asked for."""
 
+    def __init__(self, ids: list[int]):
+        super().__init__()
+        self._ids = ids
 
-def _share(part: list[int], passage: list[int]) -> float:
+    def __missing__(self, n: int) -> set[tuple[int, ...]]:
+        self[n] = set(zip(*[self._ids[i:] for i in range(n)]))
+        return self[n]
+
+
+def _share(part: list[int], passage: _Shingles) -> float:
     """Share of the shingles of ``part`` that are in ``passage`` (an empty part: 1)."""
     if not part:
         return 1.0
     n = min(_SHINGLE, len(part))
-    there = {tuple(passage[i:i + n]) for i in range(len(passage) - n + 1)}
-    want = _shingles(part)
-    return len(want & there) / len(want)
+    want = _Shingles(part)[n]
+    return len(want & passage[n]) / len(want)
 
 
 class Index:
@@ -179,16 +187,16 @@ class Index:
 
     def matches(self, texts: list[np.ndarray], threshold: float, overlap: float) -> dict[tuple[int, int], tuple]:
         """Verified items: ``(text, item position)`` -> question share, answer
-        share, score and minus the first word of the passage, for the passage
-        with the largest shares."""
+        share, score and minus the first word of the passage, for the verified
+        passage with the largest shares."""
         found: dict[tuple[int, int], tuple] = {}
-        passage, held = (-1, -1), []
+        passage, held = (-1, -1), _Shingles([])
         hits = sorted(zip(*(x.tolist() for x in self.retrieve(texts, threshold))))
         for text, p, item, score in hits:
             if passage != (text, p):
-                passage, held = (text, p), texts[text][p * self.longest:(p + 2) * self.longest].tolist()
+                passage, held = (text, p), _Shingles(texts[text][p * self.longest:(p + 2) * self.longest].tolist())
             question, answer = (_share(part, held) for part in self.parts[item])
-            if question >= overlap and answer >= overlap:
+            if (question >= overlap and answer >= overlap) or _share(sum(self.parts[item], []), held) >= overlap:
                 best = (question, answer, score, -p * self.longest)
                 found[text, item] = max(found.get((text, item), best), best)
         return found

@@ -103,6 +103,29 @@ def test_query_against_brute_force(spark, monkeypatch):
     assert D.contaminated(table, marks.limit(0)).collect() == [] and D.contaminated(table.limit(0), marks).collect() == []
 
 
+def test_items_with_a_word_changed_or_cut_off(spark):
+    """At the registered defaults; an item counts while 0.8 of the shingles of all of it are there."""
+    rng = random.Random(5)
+    bench = [(i, f"{' '.join(language(rng, rng.randint(30, 60)))}. {' '.join(language(rng, rng.randint(1, 8)))}.") for i in range(60)]
+    bench += [(100 + i, " ".join(language(rng, rng.randint(40, 60)))) for i in range(20)]  # one sentence
+    docs, want = [], set()
+    for i, text in bench:
+        words = text.split()
+        middle = len(words) - rng.randint(2, 6)
+        for j, edited in enumerate([words[:-1], [*words[:-1], "other"], [*words[:middle], "other", *words[middle + 1:]],
+                                    [*words[:middle], "other", *words[middle:]], words[1:], words[:len(words) * 7 // 10]]):
+            passage = " ".join([*language(rng, 50), "before", *edited, "after", *language(rng, 50)])
+            docs.append((i * 10 + j, passage))
+            if brute_share(D.terms_of(text), D.terms_of(passage)) >= 0.8:
+                want.add((i * 10 + j, i))
+    rows = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                          spark.createDataFrame(bench, "item_id long, text string")).collect()
+    got = {(r.doc_id, r.item_id) for r in rows}
+    assert got == want and len(rows) == len(got)
+    assert {d % 10 for d, _ in want} == {0, 1, 2, 3, 4}  # what lost three tenths of its words is no hit
+    assert sum(r.answer_overlap < 0.8 for r in rows) > 100
+
+
 def test_question_and_answer():
     assert D.question_and_answer("What is it? An Answer, here.") == ([b"what", b"is", b"it"], [b"an", b"answer", b"here"])
     assert D.question_and_answer("one two three four") == ([b"one", b"two", b"three"], [b"four"])
