@@ -5,7 +5,10 @@
 response's record id in ``WARC-Concurrent-To``.  Of captures with equal
 payloads of at least ``min_revisit`` bytes the one with the largest id is
 written as response and the others as ``revisit`` records that refer to it and
-carry no payload.  Spark's text writer writes the archives (records end with
+carry no payload.  Every row is a capture of its own, with record ids of its
+own: rows that repeat the largest id are responses all, and revisits refer to
+one of them; a row without an id is a response whose metadata names no
+``capture-id``.  Spark's text writer writes the archives (records end with
 two line breaks, which is the writer's line separator), so any file system
 that Spark knows will do.  The records of one capture are written together;
 files hold about ``FILE_BYTES`` before compression.
@@ -45,9 +48,9 @@ RECORD = ("type string, record_id string, concurrent_to string, refers_to string
           "payload_digest string, payload_bytes long, fields map<string,string>, payload binary")
 
 
-def _record_id(kind: str, capture: Column) -> Column:
-    """A stable ``urn:uuid`` of a record: from its kind and the capture's id."""
-    h = F.md5(F.concat(F.lit(kind + ":"), capture.cast("string")))
+def _record_id(kind: str, capture: Column, row: Column) -> Column:
+    """A ``urn:uuid`` of a record: from its kind, the capture's id (may be null) and the number of its row."""
+    h = F.md5(F.concat(F.lit(kind + ":"), F.coalesce(capture.cast("string"), F.lit("")), F.lit(":"), row.cast("string")))
     parts = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
@@ -65,30 +68,32 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
           min_revisit: int = MIN_REVISIT, date: str = "2024-01-01T00:00:00Z", compression: str = "gzip") -> None:
     """Write the captures ``pages`` to new archives under ``path``.
 
-    Ids are to be unique and not null.  Only digests are shuffled to find
-    equal payloads, combined on each task first."""
+    Ids may be null or repeated.  The captures are written once with a number
+    for each row, so that all uses see the same numbers.  Only digests are
+    shuffled to find equal payloads, combined on each task first."""
     captures = pages.select(F.col(id_col).alias("id"), F.coalesce(F.regexp_replace(url_col, r"[\r\n]", ""), F.lit("")).alias("uri"),
                             F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload"))
-    captures = captures.withColumn("equal", F.sha2("payload", 256))
-    groups = captures.where(F.octet_length("payload") >= min_revisit).groupBy("equal").agg(
-        F.max("id").alias("original"), F.count("id").alias("n")).where("n > 1").select("equal", "original")
+    captures = materialize(captures.withColumn("equal", F.sha2("payload", 256)).withColumn(
+        "row", F.monotonically_increasing_id()), "numbered-captures")
+    groups = captures.where("id is not null").where(F.octet_length("payload") >= min_revisit).groupBy("equal").agg(
+        F.max(F.struct("id", "row")).alias("original"), F.count("id").alias("n")).where("n > 1").select("equal", "original")
     # Written first: its size is known when the join is planned, and a hot payload's captures can be split.
     captures = captures.join(materialize(groups, "equal-payloads"), "equal", "left").withColumn(
-        "refers", F.when(F.col("original") != F.col("id"), F.col("original")))
-    uri, capture, revisit = F.col("uri"), F.col("id"), F.col("refers").isNotNull()
+        "refers", F.when(F.col("original.id") != F.col("id"), F.col("original")))
+    uri, capture, row, revisit = F.col("uri"), F.col("id"), F.col("row"), F.col("refers").isNotNull()
     digest = ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.sha1("payload")))
-    own = _record_id("response", capture)
+    own = _record_id("response", capture, row)
     to = ("WARC-Concurrent-To", own)
     http = ("Content-Type", F.lit("application/http; msgtype=response"))
     response = _record("response", own, uri, date, F.concat(F.lit(_HTTP_OK), F.col("payload")), http, digest)
     again = _record("revisit", own, uri, date, F.lit(_HTTP_OK), http, digest,
                     ("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
-                    ("WARC-Refers-To", _record_id("response", F.col("refers"))))
-    request = _record("request", _record_id("request", capture), uri, date,
+                    ("WARC-Refers-To", _record_id("response", F.col("refers.id"), F.col("refers.row"))))
+    request = _record("request", _record_id("request", capture, row), uri, date,
                       F.concat(F.lit("GET "), uri, F.lit(" HTTP/1.1\r\n\r\n")),
                       ("Content-Type", F.lit("application/http; msgtype=request")), to)
-    metadata = _record("metadata", _record_id("metadata", capture), uri, date,
-                       F.concat(F.lit("capture-id: "), capture.cast("string"), F.lit("\r\n")),
+    metadata = _record("metadata", _record_id("metadata", capture, row), uri, date,
+                       F.coalesce(F.concat(F.lit("capture-id: "), capture.cast("string"), F.lit("\r\n")), F.lit("")),
                        ("Content-Type", F.lit("application/warc-fields")), to)
     text = F.concat(F.when(revisit, again).otherwise(response), F.lit(_END), request, F.lit(_END), metadata)
     captures.select(text.alias("value")).write.option("lineSep", _END).option(
@@ -189,7 +194,7 @@ def transactions(records: DataFrame) -> DataFrame:
 
 def round_trip(pages: DataFrame) -> DataFrame:
     """Write ``pages`` to archives, read them back and assemble the captures;
-    returns per page ``page_id, payload_bytes, payload_digest, record_type,
+    returns per row ``page_id, payload_bytes, payload_digest, record_type,
     refers_to``, taken from the archives alone.  (Payloads are read and
     hashed; their bytes are not carried through the joins.)"""
     spark = pages.sparkSession

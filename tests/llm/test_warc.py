@@ -1,8 +1,10 @@
 import hashlib
 
+import duckdb
 import pytest
 
 from actlens.llm import warc
+from actlens.llm.sql import ORACLE
 
 ROWS = [
     (1, "http://a.example/x", "h" * 1000), (2, "http://a.example/y", "h" * 1000), (3, None, None), (4, "u", ""),
@@ -48,6 +50,28 @@ def test_round_trip(spark):
     assert warc.round_trip(pages.limit(0)).collect() == []
 
 
+def test_null_and_repeated_ids(spark, tmp_path):
+    """Every row comes back, as the query's SQL has it."""
+    a, b, c, d = "a" * 1200, "b" * 1500, "c" * 1100, "d" * 1300
+    rows = [(None, "u", a), (1, "u", a), (2, "u", a), (2, "v", a), (2, "v", a),  # the largest id three times
+            (None, "u", b), (None, "w", b), (None, None, None), (None, "u", "short"),  # no id at all
+            (7, "u", c), (7, "u", c), (8, "u", d), (8, "u", c), (3, "u", "x"), (3, "u", "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    con = duckdb.connect()
+    con.register("pages", pages.toPandas().astype({"page_id": "Int64"}))
+    want = con.sql(ORACLE["op3_warc"]).fetchall()
+    got = sorted(map(tuple, warc.round_trip(pages).collect()), key=repr)
+    assert len(got) == len(rows) and got == sorted(want, key=repr)
+    warc.write(pages, str(tmp_path / "a"))
+    records = warc.read(spark, str(tmp_path / "a")).collect()
+    ids = {r.record_id for r in records}
+    assert len(records) == len(ids) == 3 * len(rows)
+    assert {r.refers_to for r in records if r.type == "revisit"} <= {r.record_id for r in records if r.type == "response"}
+    assert sorted(bytes(r.payload).decode() for r in records if r.type == "response") == sorted(
+        [a] * 4 + [b] * 2 + ["", "short", c, d, "x", "x"])
+    assert sum("capture-id" not in r.fields for r in records if r.type == "metadata") == 5
+
+
 def test_broken_archives():
     with pytest.raises(ValueError):
         list(warc.records_in(b"HTTP/1.1 200 OK\r\n\r\n"))
