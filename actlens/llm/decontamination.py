@@ -231,14 +231,13 @@ def _shards(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Index]
                         dict(zip(map(bytes, mine["term"]), mine["n"])), total, mean)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap: float = 0.8,
-                 id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """One row per document of ``docs`` (``doc_id, text``) and benchmark item
-    that it holds: ``doc_id, item_id, score, question_overlap,
-    answer_overlap, passage`` (the first word of the passage, counted in
-    terms).  One pass over the documents per index shard, no shuffle."""
+def _hits(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap: float = 0.8,
+          id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs`` (any long columns, then ``text``) and benchmark item that it holds."""
     spark = docs.sparkSession
-    schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, passage long"
+    keys = docs.columns[:-1]
+    schema = ", ".join(f"{k} long" for k in keys) + (
+        ", item_id long, score double, question_overlap double, answer_overlap double, passage long")
     out = spark.createDataFrame([], schema)
     for index in _shards(benchmark, id_col, text_col):
         sent = spark.sparkContext.broadcast(index)
@@ -246,22 +245,37 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6,
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = sent.value
             for batch in slices(batches, "text"):
-                doc = batch.column(0).to_pylist()
-                texts = [index.encode(t) for t in batch.column(1).to_pylist()]
-                rows = [(doc[text], index.ids[item], score, q, a, -start) for (text, item), (q, a, score, start)
+                of_row = list(zip(*[batch.column(i).to_pylist() for i in range(len(keys))]))
+                texts = [index.encode(t) for t in batch.column(len(keys)).to_pylist()]
+                rows = [(*of_row[text], index.ids[item], score, q, a, -start) for (text, item), (q, a, score, start)
                         in sorted(index.matches(texts, threshold, overlap).items())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(
-                        [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()])],
-                    ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "passage"])
+                        [*[pa.int64()] * len(keys), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()])],
+                    [*keys, "item_id", "score", "question_overlap", "answer_overlap", "passage"])
 
-        out = out.union(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema))
+        out = out.union(docs.mapInArrow(run, schema))
     return out
 
 
+def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap: float = 0.8,
+                 id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """One row per document of ``docs`` (``doc_id, text``) and benchmark item
+    that it holds: ``doc_id, item_id, score, question_overlap,
+    answer_overlap, passage`` (the first word of the passage, counted in
+    terms).  One pass over the documents per index shard, no shuffle."""
+    return _hits(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark, threshold, overlap, id_col, text_col)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all columns kept.
-    Rows with a null ``doc_id`` cannot be named by a match and stay."""
+    Rows that share a ``doc_id`` are one document; a row with a null
+    ``doc_id`` is known by 96 bits of its text."""
+    unnamed = F.col("doc_id").isNull()
+    keys = {"a": F.when(unnamed, F.xxhash64("text")), "b": F.when(unnamed, F.crc32("text"))}
     # Written first, so that its size is known when the join is planned.
-    leaks = materialize(contaminated(docs, benchmark, **how).select("doc_id").distinct(), "leaks")
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    leaks = materialize(_hits(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[c.alias(k) for k, c in keys.items()], "text"),
+                              benchmark, **how).select("doc_id", *keys).distinct(), "leaks")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id"), *[c.alias(k) for k, c in keys.items()])
+    same = [rows[k].eqNullSafe(leaks[k]) for k in ("doc_id", *keys)]
+    return rows.join(leaks, same, "left_anti").select(*[F.col("row")[c].alias(c) for c in docs.columns])

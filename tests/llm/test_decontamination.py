@@ -126,6 +126,19 @@ def test_items_with_a_word_changed_or_cut_off(spark):
     assert sum(r.answer_overlap < 0.8 for r in rows) > 100
 
 
+def test_leaked_rows_without_an_id_go(spark):
+    rng = random.Random(6)
+    bench = items(rng)
+    clean = [" ".join(language(rng, 80)) for _ in range(4)]
+    leaked = [f"{clean[i]} {bench[i][1]} {clean[i]}" for i in range(3)]
+    rows = [(None, leaked[0], 0), (None, leaked[0], 1), (None, clean[0], 2), (None, None, 3), (None, "", 4), (None, clean[0], 5),
+            (1, leaked[1], 6), (1, clean[1], 7), (2, clean[2], 8), (0, leaked[2], 9), (3, leaked[0], 10), (4, clean[3], 11)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, a int").repartition(3)
+    left = D.decontaminate(docs, spark.createDataFrame(bench, "item_id long, text string"))
+    assert left.columns == docs.columns
+    assert sorted(r.a for r in left.collect()) == [2, 3, 4, 5, 8, 11]
+
+
 def test_question_and_answer():
     assert D.question_and_answer("What is it? An Answer, here.") == ([b"what", b"is", b"it"], [b"an", b"answer", b"here"])
     assert D.question_and_answer("one two three four") == ([b"one", b"two", b"three"], [b"four"])
