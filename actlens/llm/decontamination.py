@@ -5,7 +5,8 @@ of queries: passages of ``2 m`` words, one starting at every ``m``-th word,
 where ``m`` is the length of the longest item, so that any occurrence of an
 item lies within one passage.  An item's score is the BM25 weight of its
 terms that are in the passage, as a share of the weight of all its terms
-(0 to 1); all items that reach ``threshold`` are retrieved.
+(0 to 1); all items that reach ``threshold`` are retrieved, and an item whose
+weight sits in few words from the least score on that a verified one can have.
 
 *Inverted index*: per term the items in order, with their impacts, cut into
 at most ``BLOCKS`` blocks of items that carry their largest impact.  The
@@ -89,6 +90,23 @@ def _share(part: list[int], passage: _Shingles) -> float:
     return len(want & passage[n]) / len(want)
 
 
+def _most_lost(part: list[int], weight: dict[int, float], overlap: float) -> float:
+    """No less than the weight of the terms of ``part`` that a passage can lack
+    which holds ``overlap`` of its shingles: each term takes its shingles with
+    it, and a lost shingle has at most ``n`` terms."""
+    n = min(_SHINGLE, len(part))
+    want = _Shingles(part)[n] if n else set()
+    spare = int((1 - overlap) * len(want) + 1e-9)
+    held = Counter(t for s in want for t in set(s))
+    lost, room = 0.0, n * spare
+    for t in sorted((t for t, k in held.items() if k <= spare), key=lambda t: -weight[t] / held[t]):
+        lost += weight[t] * min(1.0, room / held[t])
+        room -= held[t]
+        if room <= 0:
+            break
+    return lost
+
+
 class Index:
     """Inverted index of items ``(item_id, question terms, answer terms)``.
     ``frequency`` has the number of items of each term, ``total`` the number
@@ -122,16 +140,38 @@ class Index:
         self.block_max = np.zeros((len(self.number), BLOCKS), np.float32)
         np.maximum.at(self.block_max, (term, block), impact.astype(np.float32))
         self.upper = self.block_max.max(axis=1)
+        self._reach: dict[tuple[float, float], tuple[np.ndarray, ...]] = {}
+
+    def reach(self, threshold: float, overlap: float) -> tuple[np.ndarray, ...]:
+        """The scores from which items are retrieved to be verified, and the
+        impacts, block maxima and upper bounds that reach ``threshold`` there."""
+        if (threshold, overlap) not in self._reach:
+            size = self.begin[:, -1] - self.begin[:, 0]
+            term = np.repeat(np.arange(len(size)), size)
+            weight: list[dict[int, float]] = [{} for _ in self.parts]
+            for t, j, w in zip(term.tolist(), self.item.tolist(), self.impact.tolist()):
+                weight[j][t] = w
+            least = np.empty(len(self.parts))
+            for j, (w, (question, answer)) in enumerate(zip(weight, self.parts)):
+                lost = max(_most_lost(question, w, overlap) + _most_lost(answer, w, overlap), _most_lost(question + answer, w, overlap))
+                least[j] = min(threshold, max(1 - lost, min(w.values()))) * (1 - 1e-9)
+            impact = self.impact * (threshold / least)[self.item]
+            block_max = np.zeros_like(self.block_max)
+            np.maximum.at(block_max, (term, self.item // self.width), impact.astype(np.float32))
+            self._reach[threshold, overlap] = least, impact, block_max, block_max.max(axis=1)
+        return self._reach[threshold, overlap]
 
     def encode(self, text: str | None) -> np.ndarray:
         """The terms of a text as numbers (-1: in no item)."""
         terms = terms_of(text)
         return np.fromiter(map(self.number.get, terms, repeat(-1)), np.int64, len(terms))
 
-    def retrieve(self, texts: list[np.ndarray], threshold: float) -> tuple[np.ndarray, ...]:
+    def retrieve(self, texts: list[np.ndarray], threshold: float, weights: tuple[np.ndarray, ...] | None = None) -> tuple[np.ndarray, ...]:
         """All items whose score for some passage of the encoded ``texts``
         reaches ``threshold``: text, passage, item and score.  Passage ``p``
-        has the words from ``p * longest`` to ``(p + 2) * longest``."""
+        has the words from ``p * longest`` to ``(p + 2) * longest``.  Scores
+        are by ``weights`` (impacts, block maxima, upper bounds) if given."""
+        impact, block_max, upper = weights or (self.impact, self.block_max, self.upper)
         m, slack = self.longest, 1e-4  # block maxima are rounded to single precision
         none = (np.empty(0, np.int64),) * 3 + (np.empty(0),)
         # Texts one behind the other, each from a multiple of m on and with an empty stretch after it.
@@ -153,7 +193,7 @@ class Index:
         starts[first] = True
         once = np.concatenate([before < half * m, (before < (half - 1) * m) & ~starts[half]])
         owner, term = owner[once], np.concatenate([term, term])[once]
-        bound = np.bincount(owner, self.upper[term], int(stretches.sum()) + 1)
+        bound = np.bincount(owner, upper[term], int(stretches.sum()) + 1)
         hopeful = bound[owner] >= threshold - slack
         owner, term = owner[hopeful], term[hopeful]
         order = np.argsort(owner, kind="stable")
@@ -163,7 +203,7 @@ class Index:
         end = np.append(start[1:], len(owner))
         for k in range(0, len(passages), 256):
             lo, hi = start[k], end[min(k + 256, len(passages)) - 1]
-            sums = np.add.reduceat(self.block_max[term[lo:hi]], start[k:k + 256] - lo, axis=0)
+            sums = np.add.reduceat(block_max[term[lo:hi]], start[k:k + 256] - lo, axis=0)
             which, block = np.nonzero(sums >= threshold - slack)
             if not len(which):
                 continue
@@ -175,7 +215,7 @@ class Index:
             size = b - a
             posting = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(a, size)
             slot = np.repeat(pair, size) * self.width + self.item[posting] % self.width
-            score = np.bincount(slot, self.impact[posting], len(which) * self.width)
+            score = np.bincount(slot, impact[posting], len(which) * self.width)
             hit = np.flatnonzero(score >= threshold - 1e-9)
             out.append((passages[k + which[hit // self.width]],
                         block[hit // self.width] * self.width + hit % self.width, score[hit]))
@@ -191,7 +231,9 @@ class Index:
         passage with the largest shares."""
         found: dict[tuple[int, int], tuple] = {}
         passage, held = (-1, -1), _Shingles([])
-        hits = sorted(zip(*(x.tolist() for x in self.retrieve(texts, threshold))))
+        least, *weights = self.reach(threshold, overlap)
+        text, p, item, score = self.retrieve(texts, threshold, tuple(weights))
+        hits = sorted(zip(*(x.tolist() for x in (text, p, item, score * least[item] / threshold))))
         for text, p, item, score in hits:
             if passage != (text, p):
                 passage, held = (text, p), _Shingles(texts[text][p * self.longest:(p + 2) * self.longest].tolist())
@@ -240,6 +282,7 @@ def _hits(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap
         ", item_id long, score double, question_overlap double, answer_overlap double, passage long")
     out = spark.createDataFrame([], schema)
     for index in _shards(benchmark, id_col, text_col):
+        index.reach(threshold, overlap)
         sent = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:

@@ -139,6 +139,29 @@ def test_leaked_rows_without_an_id_go(spark):
     assert sorted(r.a for r in left.collect()) == [2, 3, 4, 5, 8, 11]
 
 
+def test_defaults_find_all_that_verify():
+    """Also items whose weight sits in one or two rare words, where the rare words are missing."""
+    rng = random.Random(8)
+    words = ("which of the following is in the list of the words that are in the text of the {} in the end of the day of the week. "
+             "it is the one of the {}.")
+    bench = [(i, words.format(f"rare{i}", f"gem{i}")) for i in range(40)] + [(100 + i, t) for i, t in items(rng, 40)[:40]]
+    texts = [t for _, t in documents(rng, bench + [(0, "")] * 4)]
+    for i in (0, 7):
+        t = bench[i][1].split()
+        texts += [" ".join(["x", *some, "y"]) for some in (t, t[:-1], [w for w in t if "rare" not in w], t[:20])]
+    index, own = build(bench)
+    found = index.matches([index.encode(t) for t in texts], 0.6, 0.8)
+    want = set()
+    for k, t in enumerate(texts):
+        terms = D.terms_of(t)
+        passages = [terms[p:p + 2 * index.longest] for p in range(0, max(1, len(terms)), index.longest)]
+        want |= {(k, j) for j, (_, q, a) in enumerate(own) for p in passages
+                 if (brute_share(q, p) >= 0.8 and brute_share(a, p) >= 0.8) or brute_share(q + a, p) >= 0.8}
+    assert set(found) == want and len(want) > 100
+    full = index.matches([index.encode(t) for _, t in bench], 0.6, 0.8)
+    assert all(abs(full[k, k][2] - 1) < 1e-6 for k in range(len(bench)))
+
+
 def test_question_and_answer():
     assert D.question_and_answer("What is it? An Answer, here.") == ([b"what", b"is", b"it"], [b"an", b"answer", b"here"])
     assert D.question_and_answer("one two three four") == ([b"one", b"two", b"three"], [b"four"])
