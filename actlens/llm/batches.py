@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -17,6 +18,16 @@ def words(text: str | None) -> list[bytes]:
     return text.encode().split() if text else []
 
 
+#: White space other than blank and line feed (and the separators U+001C-1F).
+_ODD_SPACE = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
+
+
+def plain_spacing(text: str) -> bool:
+    """Whether every white space is one blank or line feed between other characters."""
+    return not ("  " in text or " \n" in text or "\n " in text or "\n\n" in text
+                or text[0] in " \n" or text[-1] in " \n" or _ODD_SPACE.search(text))
+
+
 class BoundedCache(dict):
     """A memo of ``make(key)`` with at most ``2 * limit`` entries, so that a
     worker's memory stays bounded whatever it reads.  When ``limit`` new

@@ -26,7 +26,6 @@ any length are encoded whole.
 from __future__ import annotations
 
 import base64
-import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -40,17 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
-from actlens.llm.batches import BoundedCache, slices
-
-#: White space other than blank and line feed (and the separators U+001C-1F).
-_ODD_SPACE = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
-
-
-def _plain_spacing(text: str) -> bool:
-    """Whether every white space is one blank or line feed between other characters."""
-    return not ("  " in text or " \n" in text or "\n " in text or "\n\n" in text
-                or text[0] in " \n" or text[-1] in " \n" or _ODD_SPACE.search(text))
-
+from actlens.llm.batches import BoundedCache, plain_spacing, slices
 
 class ByteBPE:
     """Encoder and decoder for a rank file (base64 token, rank; one a line).
@@ -174,7 +163,7 @@ class ByteBPE:
         as a whole; any other text goes through the pattern directly."""
         if not text:
             return np.empty(0, np.int32)
-        if not _plain_spacing(text):
+        if not plain_spacing(text):
             return np.frombuffer(self._pack_pieces(text), np.int32)
         out = []
         for i, line in enumerate(text.split("\n")):

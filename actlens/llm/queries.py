@@ -19,6 +19,7 @@ from actlens.llm import (
     quality_rules,
     simhash,
     substring_dedup,
+    token_counts,
     url_filter,
     warc,
 )
@@ -35,6 +36,13 @@ def tokenizer_file() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def count_file() -> tuple[str, str]:
+    """Path and pattern of the public tokenizer whose tokens are counted."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), *tokenizer_file())
 
@@ -80,6 +88,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), *count_file())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_simhash": op2_simhash,
@@ -91,4 +103,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_personal_data": op9_personal_data,
     "op10_decontamination": op10_decontamination,
+    "op12_token_counts": op12_token_counts,
 }
