@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from actlens.functions import labels as L
 from actlens.functions.exprs import count_of
-from actlens.operators.ordinal import ordinal_within, rank_within
+from actlens.operators.ordinal import group_in_ranges, ordinal_within, rank_within
 
 SESSION = ("session_id", "user_id")
 ORDER = ("time",)
@@ -42,13 +42,16 @@ def session_position(df: DataFrame, keys: Sequence[str] = ("session_id",)) -> Da
     return ordinal_within(df, keys, ORDER + _tiebreak(df, (*keys, *ORDER)), "rn")
 
 
+def _numbered(df: DataFrame, keep_range: bool = False) -> DataFrame:
+    tiebreak = TIEBREAK if all(c in df.columns for c in TIEBREAK) else ()
+    df = df.select(*SESSION, *ORDER, *tiebreak, "action")
+    return ordinal_within(df, SESSION, ORDER + _tiebreak(df, (*SESSION, *ORDER)), "position", keep_range=keep_range)
+
+
 def session_events(df: DataFrame) -> DataFrame:
     """WN3: the ordered events of each (session, user), one row per event:
     ``session_id, user_id, position, time, action``."""
-    tiebreak = TIEBREAK if all(c in df.columns for c in TIEBREAK) else ()
-    df = df.select(*SESSION, *ORDER, *tiebreak, "action")
-    positioned = ordinal_within(df, SESSION, ORDER + _tiebreak(df, (*SESSION, *ORDER)), "position")
-    return positioned.select(*SESSION, "position", "time", "action")
+    return _numbered(df).select(*SESSION, "position", "time", "action")
 
 
 def session_sequences(df: DataFrame, segment_size: int, sep: str = L.SEQUENCE_SEP) -> DataFrame:
@@ -56,15 +59,23 @@ def session_sequences(df: DataFrame, segment_size: int, sep: str = L.SEQUENCE_SE
     segments of at most ``segment_size`` events: ``session_id, user_id,
     segment`` (from 0), ``first_position`` and ``action_sequence``.  A session
     of at most ``segment_size`` events is one row; the segments of a longer
-    one, joined by ``sep`` in order, are its whole sequence."""
+    one, joined by ``sep`` in order, are its whole sequence.
+
+    The events of a segment are joined inside the ranges in which they were
+    numbered, without a shuffle; only these pieces, one row per segment and range, are
+    shuffled and joined to whole segments."""
     if segment_size < 1:
         raise ValueError("segment_size must be at least 1")
-    rows = session_events(df).withColumn("segment", F.expr(f"(position - 1) div {int(segment_size)}"))
-    parts = rows.groupBy(*SESSION, "segment").agg(
-        F.min("position").alias("first_position"),
-        F.array_sort(F.collect_list(F.struct("position", "action"))).alias("_events"))
-    text = F.array_join(F.transform("_events", lambda e: e["action"]), sep)
-    return parts.select(*SESSION, "segment", "first_position", text.alias("action_sequence"))
+    rows = _numbered(df, keep_range=True).withColumn("segment", F.expr(f"(position - 1) div {int(segment_size)}"))
+
+    def joined(entries: str, text: str):
+        return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(entries, text))), lambda e: e[text]), sep)
+
+    pieces = group_in_ranges(rows, [*SESSION, "segment"], F.min("position").alias("first_position"),
+                             joined("position", "action").alias("piece"))
+    return pieces.groupBy(*SESSION, "segment").agg(
+        F.min("first_position").alias("_first"), joined("first_position", "piece").alias("action_sequence")).select(
+        *SESSION, "segment", F.col("_first").alias("first_position"), "action_sequence")
 
 
 def complete_sessions(df: DataFrame, match: str = "exact") -> DataFrame:
