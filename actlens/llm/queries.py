@@ -15,12 +15,14 @@ from actlens.llm import (
     decontamination,
     line_dedup,
     pii,
+    prefix_trie,
     quality_model,
     quality_rules,
     simhash,
     substring_dedup,
     token_counts,
     url_filter,
+    vector_codes,
     warc,
 )
 
@@ -88,10 +90,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.codes(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), *count_file())
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_simhash": op2_simhash,
@@ -103,5 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_personal_data": op9_personal_data,
     "op10_decontamination": op10_decontamination,
+    "op11_vector_codes": op11_vector_codes,
     "op12_token_counts": op12_token_counts,
+    "op13_prefix_trie": op13_prefix_trie,
 }
