@@ -18,20 +18,24 @@ from actlens.operators import prepare as pr
 from actlens.operators import report as rp
 from actlens.operators import sequence as sq
 from actlens.sources.csv import read_activity
+from actlens.sources.schema import CORRUPT
 
 
 USED = ["user_id", "session_id", "action", "category", "time", "hour", "day_of_week", "device"]
 SEQUENCE_SEGMENT = 100_000  # events in one row of a session's text sequence
 
 
-def analyses(raw, df, prof):
+def analyses(marked, df, prof):
     """(name, DataFrame) pairs in the order of the batch report.  Schema,
-    cleaning and describe are about the ``raw`` rows (time parsed), the rest
-    about the prepared ones."""
+    cleaning, rejects and describe are about the raw rows (``marked`` with why
+    they are rejected), the rest about the prepared ones."""
+    raw = pr.parse_time(marked.drop(pr.REASON, CORRUPT))
     matrix = fn.funnel_stage(fn.action_matrix(df))
     return [
         ("schema", rp.schema_profile(raw)),
-        ("cleaning", pr.cleaning_report(raw)),
+        ("cleaning", pr.cleaning_report(marked)),
+        ("reject_reasons", pr.reject_report(marked)),
+        ("rejects", pr.rejects(marked)),
         ("action_share", ex.with_share(ex.count_by(df, "action", "total_count", ordered=True), "total_count")),
         ("hour_counts", ex.count_by(df, "hour", "activity_count", ordered=True)),
         ("peak_hour", ex.peak(df, "hour", "activity_count")),
@@ -50,6 +54,9 @@ def analyses(raw, df, prof):
         ("anomaly_totals", an.anomaly_totals(prof)),
         ("views_threshold", an.views_threshold(prof, L.STDDEV_K)),
         ("hyperactive_users", an.hyperactive(prof)),
+        ("user_stats", an.user_stats(df)),
+        ("user_points", an.user_points(prof)),
+        ("anomaly_report", an.anomaly_report(prof)),
         ("summary", rp.summary(df, prof)),
         ("describe", rp.describe_all(raw, display=True)),
     ]
@@ -69,15 +76,15 @@ def main(argv=None) -> None:
     if args.master:
         builder = builder.master(args.master)
     spark = builder.getOrCreate()
-    raw = pr.parse_time(read_activity(spark, args.path))
+    marked = pr.with_reject_reason(read_activity(spark, args.path, keep_corrupt=True))
     # The prepared rows feed most analyses: the CSV is parsed once (IO4), and
     # only the columns that an analysis reads are kept.  Events at the same
     # time are ordered by their other columns, so results do not depend on
     # how files are split.
-    df = pr.persist_prepared(pr.prepare(raw, calendar=False), USED)
+    df = pr.persist_prepared(pr.prepare(pr.accepted(marked), calendar=False), USED)
     prof = an.profile(df)
     try:
-        for name, result in analyses(raw, df, prof):
+        for name, result in analyses(marked, df, prof):
             if args.out:
                 result.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
             else:

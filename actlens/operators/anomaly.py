@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from actlens.functions import labels as L
 from actlens.functions.exprs import count_of, exact_pct, exact_ratio
-from actlens.operators.explore import count_by, with_share
+from actlens.operators.explore import count_by, user_activity, with_share
 from actlens.sources.scratch import materialize as _materialize
 
 METRICS = ("views", "carts", "purchases", "total_actions", "view_purchase_ratio", "anomaly_flag", "behavior_type")
@@ -75,6 +75,13 @@ def profile(df: DataFrame, by: Sequence[str] = ("user_id",), **rules) -> DataFra
     return flag_anomalies(user_behavior(df, by), **rules)
 
 
+def user_stats(df: DataFrame, categories: Sequence | None = None, **rules) -> DataFrame:
+    """The combined per-user table: actions by kind, distinct categories and sessions, ratio and flag."""
+    return profile(df, **rules).join(user_activity(df, categories=categories).drop("total_actions"), "user_id").select(
+        "user_id", "total_actions", "views", "carts", "purchases", "categories_browsed", "total_sessions",
+        "view_purchase_ratio", "anomaly_flag")
+
+
 def flagged(prof: DataFrame, normal: str = L.FLAG_NORMAL) -> DataFrame:
     """AN3: only entities with a non-normal flag."""
     return prof.filter(F.col("anomaly_flag") != normal)

@@ -8,11 +8,17 @@ inlined as a value -- no join, no driver round trip.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from actlens.functions import labels as L
 from actlens.functions.exprs import exact_pct
+from actlens.functions.masks import count_bits, masks
+
+#: Values of a domain up to which distinct counts use bit masks (a few longs per group).
+MASK_CODES = 1008
 
 
 def count_by(df: DataFrame, key: str, name: str = "count", ordered: bool = False) -> DataFrame:
@@ -32,24 +38,42 @@ def with_share(counts: DataFrame, count_col: str = "count", name: str = "percent
     ).drop("_total")
 
 
-def user_activity(df: DataFrame, approx: bool = False, rsd: float = 0.01, sessions: DataFrame | None = None,
-                  ordered: bool = False) -> DataFrame:
-    """AG8: per user total actions, distinct sessions, distinct categories;
-    ``ordered=True`` sorts the most active first, ties by user.
+def domain_of(df: DataFrame, column: str, most: int = MASK_CODES) -> list | None:
+    """The distinct non-null values of a small domain, in order; None if there are more than ``most``."""
+    found = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()]
+    return sorted(found) if len(found) <= most else None
+
 
-    Exact distinct counts by default (Catalyst rewrites the distinct
-    aggregates into one Expand + partial aggregation); ``approx=True`` uses
-    HyperLogLog sketches instead.  ``sessions`` (``user_id, total_sessions``)
+def user_activity(df: DataFrame, approx: bool = False, rsd: float = 0.01, sessions: DataFrame | None = None,
+                  ordered: bool = False, categories: Sequence | None = None) -> DataFrame:
+    """AG8: per user total actions, distinct sessions, distinct categories (nulls are
+    no values); ``ordered=True`` sorts the most active first, ties by user.
+
+    Exact by default, without the Expand that two distinct counts cost: rows are grouped by
+    user and session first, which makes sessions rows to count, and each such group carries
+    its categories as a bit mask (a bit per value of the domain), merged by ``bit_or``.
+    The domain is ``categories`` or, by default, is listed first; a domain of
+    more than :data:`MASK_CODES` values is counted by Catalyst's rewrite.
+    ``approx=True`` uses HyperLogLog sketches instead.  ``sessions`` (``user_id, total_sessions``)
     gives the session counts where they are known per user; ``df`` then needs
     no ``session_id``, and the two tables are joined user by user."""
-    distinct = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.count_distinct
-    by_user = df.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("total_actions"),
-        *([] if sessions is not None else [distinct("session_id").alias("total_sessions")]),
-        distinct("category").alias("categories_browsed"),
-    )
+    domain = None if approx else list(categories) if categories is not None else domain_of(df, "category")
+    if sessions is not None:
+        df = df.withColumn("session_id", F.lit(None).cast("string"))
+    if domain is None:
+        distinct = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.count_distinct
+        by_user = df.groupBy("user_id").agg(
+            F.count(F.lit(1)).alias("total_actions"), distinct("session_id").alias("total_sessions"),
+            distinct("category").alias("categories_browsed"))
+    else:
+        held = masks("category", domain)
+        by_session = df.groupBy("user_id", "session_id").agg(F.count(F.lit(1)).alias("_n"), *[m.alias(c) for c, m in held.items()])
+        by_user = by_session.groupBy("user_id").agg(
+            F.sum("_n").alias("total_actions"), F.count("session_id").alias("total_sessions"),
+            *[F.bit_or(c).alias(c) for c in held]).select(
+            "user_id", "total_actions", "total_sessions", count_bits(held).alias("categories_browsed"))
     if sessions is not None:
-        by_user = by_user.join(sessions.select("user_id", "total_sessions"), "user_id").select(
+        by_user = by_user.drop("total_sessions").join(sessions.select("user_id", "total_sessions"), "user_id").select(
             "user_id", "total_actions", "total_sessions", "categories_browsed")
     return by_user.orderBy(F.desc("total_actions"), F.asc("user_id")) if ordered else by_user
 
@@ -72,10 +96,8 @@ def peak(df: DataFrame, key: str, name: str = "count") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(name)).orderBy(F.desc(name), F.asc(key)).limit(1)
 
 
-def top_users(df: DataFrame, n: int = 10, approx: bool = False, sessions: DataFrame | None = None) -> DataFrame:
-    """TK4: the ``n`` most active users (ties by user id).  The top is taken
-    from a plain count first; distinct sessions and categories are counted for
-    those ``n`` users only (a semi-join on ``n`` rows, the caller's number)."""
-    top = df.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), F.asc("user_id")).limit(n)
-    chosen = df.join(F.broadcast(top.select("user_id")), "user_id", "left_semi")
-    return user_activity(chosen, approx, sessions=sessions).orderBy(F.desc("total_actions"), F.asc("user_id"))
+def top_users(df: DataFrame, n: int = 10, approx: bool = False, sessions: DataFrame | None = None,
+              categories: Sequence | None = None) -> DataFrame:
+    """TK4: the ``n`` most active users (ties by user id), from one pass over the
+    events: a top-k of :func:`user_activity`."""
+    return user_activity(df, approx, sessions=sessions, categories=categories).orderBy(F.desc("total_actions"), F.asc("user_id")).limit(n)

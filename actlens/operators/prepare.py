@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from actlens.functions import labels as L
 from actlens.functions.exprs import parse_timestamp_ntz
+from actlens.sources.schema import CORRUPT
 
 
 def parse_time(df: DataFrame, column: str = "time", fmt: str = L.TIME_FORMAT) -> DataFrame:
@@ -41,11 +42,47 @@ def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None) -> DataF
     return df.filter(_complete(df, subset))
 
 
+REASON, KEPT = "reject_reason", "kept"
+
+
+def with_reject_reason(raw: DataFrame, columns: Sequence[str] | None = None, fmt: str = L.TIME_FORMAT) -> DataFrame:
+    """Raw rows (``time`` as text) with ``reject_reason``: why cleaning drops the row, null if
+    it keeps it.  In this order: ``bad csv`` (a line kept as corrupt by the reader), ``bad time``
+    (text that is no time), ``null <column>`` for the first of ``columns`` (all of them by default) without a value."""
+    reason = F.lit(None).cast("string")
+    names = [c for c in (columns or raw.columns) if c != CORRUPT]
+    for c in reversed(names):
+        reason = F.when(F.col(c).isNull(), F.lit(f"null {c}")).otherwise(reason)
+    if "time" in raw.columns and isinstance(raw.schema["time"].dataType, T.StringType):
+        bad_time = F.col("time").isNotNull() & parse_timestamp_ntz("time", fmt).isNull()
+        reason = F.when(bad_time, F.lit("bad time")).otherwise(reason)
+    if CORRUPT in raw.columns:
+        reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("bad csv")).otherwise(reason)
+    return raw.withColumn(REASON, reason)
+
+
+def accepted(marked: DataFrame) -> DataFrame:
+    """The rows of :func:`with_reject_reason` that are kept, as they were read."""
+    return marked.where(F.col(REASON).isNull()).drop(REASON, CORRUPT)
+
+
+def rejects(marked: DataFrame) -> DataFrame:
+    """The rows that are not kept, as they were read, with their reason (and line, if corrupt)."""
+    return marked.where(F.col(REASON).isNotNull())
+
+
+def reject_report(marked: DataFrame) -> DataFrame:
+    """Rows by reason, and the kept ones: together all rows read.  One two-phase aggregate."""
+    return marked.groupBy(F.coalesce(REASON, F.lit(KEPT)).alias("reason")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def cleaning_report(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """PR3: rows before, after and removed by :func:`drop_incomplete`, one pass."""
+    """PR3: rows before, after and removed by :func:`drop_incomplete`, one pass; for rows
+    with a ``reject_reason``, after and removed by that."""
+    kept = F.col(REASON).isNull() if REASON in df.columns else _complete(df, subset)
     return df.agg(
         F.count(F.lit(1)).alias("rows_before"),
-        F.count_if(_complete(df, subset)).alias("rows_after"),
+        F.count_if(kept).alias("rows_after"),
     ).withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
 
 
@@ -112,8 +149,9 @@ def filter_activity(
 
 def domains(df: DataFrame, columns: Sequence[str] = ("action", "category", "device")) -> DataFrame:
     """PR6: distinct non-null values of each column as (column_name, value),
-    sorted (first-seen order has no meaning on a distributed scan)."""
-    long = df.select(
+    sorted (first-seen order has no meaning on a distributed scan).  Rows are
+    grouped by the columns together first, so that few are unpivoted."""
+    long = df.select(*columns).distinct().select(
         F.explode(
             F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
         ).alias("cv")

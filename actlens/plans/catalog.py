@@ -26,10 +26,10 @@ from actlens.operators import prepare as pr
 from actlens.operators import report as rp
 from actlens.operators import sequence as sq
 from actlens.sources.csv import read_activity, write_csv
-from actlens.sources.events import activity, user_totals
+from actlens.sources.events import CATEGORIES, activity, user_totals
 from actlens.sources.schema import ACTIVITY_COLUMNS
 from actlens.sources.scratch import scratch_path
-from actlens.sources.store import read_prepared, save_prepared
+from actlens.sources.store import add_days, read_days, read_prepared, save_prepared
 
 GRAIN = ("user_id", "week")
 
@@ -45,6 +45,7 @@ NULL_CATEGORY_MOD = 17      # the null-cleaning examples null category where k %
 SEQUENCE_SEGMENT = 100_000  # events in one row of a session's text sequence
 SHORT_SEGMENT = 3           # the same for the entry that shows segments
 MALFORMED_TIME_MOD = 23     # the parsing example garbles time where k % 23 = 0
+BAD_HOUR_MOD = 29           # the rejects example writes text as hour where k % 29 = 0
 
 
 def _act(spark: SparkSession, sf: str, sessions: bool = False) -> DataFrame:
@@ -106,6 +107,17 @@ def reuse_cached(spark, sf):
     return events.union(sessions.select(F.lit("sessions").alias("result"), "action", "n"))
 
 
+def prepared_by_day(spark, sf):
+    """A store filled in three loads of every third day, the last of them late: each day is
+    sessionised alone, and the sessions are those of one load."""
+    act, path = _act(spark, sf), scratch_path(spark, "store") + "/data"
+    day = F.pmod(F.date_diff(F.to_date("time"), F.lit("1970-01-01").cast("date")), F.lit(3))
+    for load in (0, 2, 1):
+        add_days(act.select("event_id", "user_id", "action", "time").where(day == load), path)
+    return read_days(spark, path).groupBy("user_id", "session_id").agg(
+        F.count(F.lit(1)).alias("n_events"), F.min("time").alias("started"), F.max("time").alias("ended"))
+
+
 # ---------------------------------------------------------- preparation
 def prep_timestamp(spark, sf):
     raw = activity(spark, sf, sessions=False, raw_time=True)
@@ -133,6 +145,33 @@ def filter_multi(spark, sf):
         "event_id", "user_id", "action", "category", "device")
 
 
+def filter_stored(spark, sf):
+    """PR5 over the stored layout: the values are pushed to the scan, row groups are skipped."""
+    columns = ["event_id", "user_id", "action", "category", "device"]
+    path = save_prepared(_act(spark, sf).select(*columns, "time"), scratch_path(spark, "prepared") + "/data")
+    return pr.filter_activity(read_prepared(spark, path), FILTER_ACTIONS, FILTER_CATEGORIES, FILTER_DEVICES).select(*columns)
+
+
+def _raw_with_faults(spark, sf):
+    """Activity CSV in which some lines are no valid CSV of the schema, some times are no
+    times and some categories are missing, read with the reader's corrupt lines."""
+    act = activity(spark, sf, sessions=False, raw_time=True).withColumn("session_id", F.concat(F.lit("s"), "user_id"))
+    faulty = act.withColumn("hour", F.when(F.col("k") % BAD_HOUR_MOD == 0, F.lit("noon")).otherwise(F.col("hour").cast("string"))).withColumn(
+        "time", F.when(F.col("k") % MALFORMED_TIME_MOD == 0, F.regexp_replace("time", "-", "/")).otherwise(F.col("time"))).withColumn(
+        "category", F.when(F.col("k") % NULL_CATEGORY_MOD != 0, F.col("category")))
+    path = write_csv(faulty.select(*ACTIVITY_COLUMNS), scratch_path(spark, "faulty-csv") + "/data")
+    return pr.with_reject_reason(read_activity(spark, path, keep_corrupt=True))
+
+
+def prep_reject_report(spark, sf):
+    return pr.reject_report(_raw_with_faults(spark, sf))
+
+
+def prep_rejects(spark, sf):
+    """The rejected rows themselves, as read, with their reason."""
+    return pr.rejects(_raw_with_faults(spark, sf)).select("user_id", "action", "product_id", "device", "time", "reject_reason")
+
+
 def filter_domains(spark, sf):
     return pr.domains(_act(spark, sf))
 
@@ -183,7 +222,14 @@ def device_share(spark, sf):
 
 
 def user_activity(spark, sf):
-    return ex.user_activity(_act(spark, sf), sessions=_users(spark, sf), ordered=True)
+    """From the per-user totals of the adapter: one scan, no join."""
+    return _users(spark, sf).select("user_id", "total_actions", "total_sessions", "categories_browsed").orderBy(
+        F.desc("total_actions"), F.asc("user_id"))
+
+
+def user_activity_rows(spark, sf):
+    """The same from activity rows that name their session, as a CSV has them."""
+    return ex.user_activity(_act(spark, sf, sessions=True), categories=CATEGORIES)
 
 
 def user_behavior(spark, sf):
@@ -244,7 +290,7 @@ def top_action(spark, sf):
 
 
 def top_users(spark, sf):
-    return ex.top_users(_act(spark, sf), 10, sessions=_users(spark, sf))
+    return user_activity(spark, sf).limit(10)
 
 
 def behavior_report(spark, sf):
@@ -330,9 +376,7 @@ def stacked_actions(spark, sf):
 
 def user_stats(spark, sf):
     """The combined per-user table: actions by kind, categories, sessions, ratio, flag."""
-    act = _act(spark, sf).select("user_id", "category").distinct().groupBy("user_id").agg(
-        F.count("category").alias("categories_browsed"))
-    return _users(spark, sf).join(act, "user_id").select(
+    return _users(spark, sf).select(
         "user_id", "total_actions", "views", "carts", "purchases", "categories_browsed", "total_sessions",
         "view_purchase_ratio", "anomaly_flag")
 
@@ -413,7 +457,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         anomaly_totals_by_user,
         summary_kpis_by_week, describe_missing, session_sequence_segments, funnel_stage_summary_by_week,
         funnel_reach_by_week, funnel_percent_initial_by_week, funnel_conversion_by_week, anomaly_totals_by_week,
-        user_stats,
+        user_stats, user_activity_rows, prepared_by_day, filter_stored, prep_reject_report, prep_rejects,
     )
 }
 

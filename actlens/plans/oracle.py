@@ -375,4 +375,16 @@ def oracle_sql() -> dict[str, str]:
         "views_threshold_by_user": f"""SELECT round(avg(views), 6) AS mean_views, round(stddev_samp(views), 6) AS std_views,
                  round(avg(views) + {L.STDDEV_K} * stddev_samp(views), 6) AS threshold FROM uprof""",
     }
+    q["user_activity_rows"] = q["user_activity"]
+    q["filter_stored"] = q["filter_multi"]
+    q["prepared_by_day"] = """SELECT user_id, session_id, count(*) AS n_events, min(time) AS started, max(time) AS ended
+                 FROM sess GROUP BY user_id, session_id"""
+    reason = f"""CASE WHEN k % {C.BAD_HOUR_MOD} = 0 THEN 'bad csv' WHEN k % {C.MALFORMED_TIME_MOD} = 0 THEN 'bad time'
+                 WHEN k % {C.NULL_CATEGORY_MOD} = 0 THEN 'null category' ELSE 'kept' END"""
+    q["prep_reject_report"] = f"SELECT {reason} AS reason, count(*) AS n_rows FROM act GROUP BY ALL"
+    text = """CASE WHEN epoch_us(time) % 1000000 = 0 THEN strftime(time, '%Y-%m-%d %H:%M:%S')
+                 ELSE strftime(time, '%Y-%m-%d %H:%M:%S.%f') END"""
+    q["prep_rejects"] = f"""SELECT user_id, action, product_id, device,
+                 CASE WHEN k % {C.MALFORMED_TIME_MOD} = 0 THEN replace({text}, '-', '/') ELSE {text} END AS time,
+                 {reason} AS reject_reason FROM act WHERE {reason} != 'kept'"""
     return {name: body if name.startswith("describe_") else _sql(body) for name, body in q.items()}

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from actlens.functions.exprs import time_text
 
-from actlens.sources.schema import RAW_ACTIVITY
+from actlens.sources.schema import CORRUPT, RAW_ACTIVITY
 
 
 def read_activity(
@@ -16,6 +16,7 @@ def read_activity(
     path: str,
     schema: T.StructType | None = RAW_ACTIVITY,
     infer: bool = False,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """Read header CSV files (a file, folder or glob).
 
@@ -24,10 +25,17 @@ def read_activity(
     is checked against the schema, so a file with other or reordered columns
     fails instead of being read into the wrong columns.  ``infer=True``
     reproduces schema inference for exploratory use.
+
+    ``keep_corrupt=True`` adds the column ``_corrupt_record``: the whole line where it is not
+    valid CSV of the schema (too few or too many fields, text in a number), else null; see
+    :func:`actlens.operators.prepare.with_reject_reason`.  Every field is then parsed, whichever are used.
     """
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
     if infer:
         return reader.option("inferSchema", True).csv(path)
+    if keep_corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
     return reader.option("enforceSchema", False).schema(schema).csv(path)
 
 

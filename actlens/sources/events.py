@@ -16,16 +16,20 @@ time, hour, weekday and device per event.  ``events`` carries
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from actlens.functions.exprs import count_of, epoch_micros, time_text
+from actlens.functions.masks import count_bits, masks
 from actlens.sources.tables import table
 
 # FIXED VALUES of the mapping (see module docstring).
 CLICK = "click"
 CLICK_AS = "cart"
 DEVICES = ("desktop", "mobile", "tablet")
+CATEGORIES = tuple(f"C{i}" for i in range(6))
 SESSION_GAP_SECONDS = 12 * 3600
 
 
@@ -89,14 +93,19 @@ def user_totals(
     user_col: str = "user_id",
     time_col: str = "time",
     gap_seconds: int = SESSION_GAP_SECONDS,
+    categories: Sequence[str] = CATEGORIES,
 ) -> DataFrame:
-    """Per user: ``views``, ``carts``, ``purchases``, ``total_actions`` and
-    ``total_sessions``, all from the (user, bucket) table: one scan of the
-    events and two-phase aggregates, no join."""
+    """Per user: ``views``, ``carts``, ``purchases``, ``total_actions``, ``total_sessions`` and
+    ``categories_browsed``, all from the (user, bucket) table: one scan of the
+    events and two-phase aggregates, no join.  Categories travel as bit masks over
+    the ``categories`` that there are."""
     counts = {"views": count_of("view"), "carts": count_of("cart"), "purchases": count_of("purchase"),
               "total_actions": F.count(F.lit(1))}
-    _, buckets = _buckets(df, user_col, time_col, gap_seconds, *[c.alias(n) for n, c in counts.items()])
-    return buckets.groupBy(user_col).agg(*[F.sum(n).alias(n) for n in counts], F.sum("_start").alias("total_sessions"))
+    held = masks("category", categories) if "category" in df.columns else {}
+    _, buckets = _buckets(df, user_col, time_col, gap_seconds, *[c.alias(n) for n, c in (counts | held).items()])
+    totals = buckets.groupBy(user_col).agg(*[F.sum(n).alias(n) for n in counts], F.sum("_start").alias("total_sessions"),
+                                           *[F.bit_or(m).alias(m) for m in held])
+    return totals.select(user_col, *counts, "total_sessions", *([count_bits(held).alias("categories_browsed")] if held else []))
 
 
 def activity_from_events(
@@ -132,7 +141,7 @@ def activity_from_events(
         "event_id",
         F.col("user_id").cast("string").alias("user_id"),
         F.when(F.col("event_type") == CLICK, F.lit(CLICK_AS)).otherwise(F.col("event_type")).alias("action"),
-        F.concat(F.lit("C"), F.pmod(k, F.lit(6)).cast("string")).alias("category"),
+        F.concat(F.lit("C"), F.pmod(k, F.lit(len(CATEGORIES))).cast("string")).alias("category"),
         F.concat(F.lit("P"), k.cast("string")).alias("product_id"),
         F.col("ts").alias("time"),
         F.hour("ts").cast("int").alias("hour"),

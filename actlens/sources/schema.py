@@ -13,6 +13,9 @@ ACTIVITY_COLUMNS = (
     "time", "hour", "day_of_week", "device",
 )
 
+#: Name of the column that keeps a line that is no valid CSV of the schema.
+CORRUPT = "_corrupt_record"
+
 RAW_ACTIVITY = T.StructType([
     T.StructField("user_id", T.StringType()),
     T.StructField("session_id", T.StringType()),

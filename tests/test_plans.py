@@ -36,7 +36,8 @@ def test_plans_stay_jvm_side_and_push_filters(spark):
 
 
 #: Scans of ``events`` and hash shuffles a query may have with broadcast joins off.
-AT_MOST = {"summary_kpis": (2, 5), "distinct_totals": (1, 3), "user_activity": (2, 6), "top_users": (3, 7), "action_counts": (1, 2)}
+AT_MOST = {"summary_kpis": (2, 5), "distinct_totals": (1, 3), "user_activity": (2, 6), "top_users": (1, 4), "action_counts": (1, 2), "user_stats": (1, 3), "user_activity_rows": (2, 6),
+           "session_rank": (2, 5), "session_row_number": (2, 3)}
 
 
 def _nodes(plan) -> list:
@@ -63,6 +64,22 @@ def test_scans_and_shuffles_without_broadcast(spark):
         assert not any("CartesianProduct" in x or "NestedLoop" in x for x in nodes), name
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_ranged_rows_are_not_shuffled_again(spark):
+    """What numbers or ranks the written ranges reads their distribution from the bucketed
+    table: no exchange carries rows, only the summary with a row per range."""
+    quiet = spark.newSession()
+    quiet.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    quiet.conf.set("spark.sql.adaptive.enabled", "false")
+    for name in ("session_rank", "session_row_number", "session_events"):
+        plan = QUERIES[name](quiet, SF)._jdf.queryExecution().executedPlan()
+        nodes = _nodes(plan)
+        assert sum("Bucketed: true" in x for x in plan.toString().split("\n")) == 2, name
+        assert not [x for x in nodes if x.startswith("Exchange hash") and re.search(r"session_id|user_id|event_id", x)], name
+    # The table that the frame was read through is gone from the catalog.
+    assert not [t for t in quiet.catalog.listTables() if t.name.startswith("scratch_")]
+
+
 def test_skewed_bucket_join_is_split(spark):
     """One user with nearly all events inside one bucket: adaptive execution splits
     that partition of the join with the (user, bucket) table."""

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from actlens.operators.ordinal import ordinal_within, rank_within, running_total_within
+from actlens.operators.ordinal import ordinal_within, rank_within, running_total_within, running_totals_within
 from actlens.operators import quantiles
 from actlens.operators.quantiles import exact_quantiles
 from actlens.sources.events import gap_sessions
@@ -66,13 +66,15 @@ def test_rank_equals_window_rank(spark, skewed):
     assert got.join(ref.select("id", "ref"), "id").filter(F.col("rk") != F.col("ref")).count() == 0
 
 
-@pytest.mark.parametrize("ranges", [65_536, 3])
-def test_exact_quantiles_match_numpy(spark, monkeypatch, ranges):
-    monkeypatch.setattr(quantiles, "RANGES", ranges)
+@pytest.mark.parametrize("size, margin", [(2048, 0.004), (8, 0.02), (8, 0.0)])
+def test_exact_quantiles_match_numpy(spark, monkeypatch, size, margin):
+    """Exact whatever the sketch says, also where its brackets miss the ranks."""
+    monkeypatch.setattr(quantiles, "SKETCH_SIZE", size)
+    monkeypatch.setattr(quantiles, "MARGIN", margin)
     rnd = np.random.default_rng(3)
     a = rnd.integers(0, 40, 1001).astype(float)
     b = rnd.normal(size=57)
-    rows = [("a", float(x)) for x in a] + [("b", float(x)) for x in b] + [("b", None)]
+    rows = [("a", float(x)) for x in a] + [("b", float(x)) for x in b] + [("b", None), ("b", float("nan")), ("c", None)]
     long = spark.createDataFrame(rows, "column_name string, value double")
     probs = [0.0, 0.25, 0.5, 0.75, 1.0, 0.9]
     got = {(r.column_name, r.prob): r.quantile for r in exact_quantiles(long, probs).collect()}
@@ -174,3 +176,104 @@ def test_negative_k_is_read(spark):
     ev = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, props string")
     got = sorted((r.event_id, r.category, r.device) for r in activity_from_events(ev).collect())
     assert got == [(0, "C5", "tablet"), (1, "C5", "tablet"), (2, "C0", "desktop"), (3, "C5", "tablet")]
+
+
+def test_ranks_where_ties_cross_ranges(spark):
+    """Tie groups longer than a range: the rank at which a group began is carried through ranges
+    that hold nothing else, into the range where the group ends and the next begins."""
+    rows = [(i, "a" if i < 40 else "b", 1 if i < 25 or 40 <= i < 70 else 2 + i // 90, None) for i in range(120)]
+    rows += [(200 + i, None, None, None) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, key string, t int, pad string")
+    want = {r.id: r.w for r in df.withColumn("w", F.rank().over(Window.partitionBy("key").orderBy("t"))).collect()}
+    for partitions in (2, 16, 60):
+        got = {r.id: r.rk for r in rank_within(df, ["key"], ["t"], ["id"], "rk", partitions).collect()}
+        assert got == want
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_ranks_and_positions_of_random_ties(spark, seed):
+    rnd = random.Random(seed)
+    rows = [(i, rnd.choice([None, "x", "y"]), rnd.choice([None, 1, 2, 3])) for i in range(rnd.choice([1, 30, 200]))]
+    df = spark.createDataFrame(rows, "id long, key string, t int")
+    by = Window.partitionBy("key").orderBy("t")
+    want = {r.id: (r.a, r.b) for r in df.withColumn("a", F.rank().over(by)).withColumn(
+        "b", F.row_number().over(Window.partitionBy("key").orderBy("t", "id"))).collect()}
+    ranks = {r.id: r.rk for r in rank_within(df, ["key"], ["t"], ["id"], "rk", 11).collect()}
+    places = {r.id: r.p for r in ordinal_within(df, ["key"], ["t", "id"], "p", 11).collect()}
+    assert {i: (ranks[i], places[i]) for i in ranks} == want
+
+
+def test_several_running_totals_with_decimals(spark):
+    rnd = random.Random(5)
+    rows = [(i, f"k{rnd.randrange(3)}", rnd.randrange(-9, 9), rnd.randrange(10**18)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, key string, w int, big long").withColumn("big", F.col("big").cast("decimal(38,0)"))
+    got = running_totals_within(df, ["key"], ["id"], {"n": None, "s": "w", "b": "big"}, 9)
+    assert got.schema["b"].dataType.simpleString() == "decimal(38,0)" and got.schema["n"].dataType.simpleString() == "bigint"
+    run = {}
+    want = {}
+    for i, k, w, b in rows:
+        n, s, t = run.get(k, (0, 0, 0))
+        run[k] = want[i] = (n + 1, s + w, t + b)
+    assert {r.id: (r.n, r.s, int(r.b)) for r in got.collect()} == want
+
+
+def test_an_outlier_leaves_few_values_to_count(spark, monkeypatch):
+    """Values of one day and one in the year 9999: brackets hold a small part of the values all the same."""
+    inside = []
+    original = quantiles.running_total_within
+    monkeypatch.setattr(quantiles, "running_total_within",
+                        lambda counts, *a, **k: inside.append(counts.agg(F.sum("c")).first()[0]) or original(counts, *a, **k))
+    n = 40_000
+    df = spark.range(n).select(F.when(F.col("id") == 7, 253_402_300_799.0).otherwise(
+        F.pmod(F.xxhash64("id"), F.lit(86_400_000)) / 1000.0 + 1.7e9).alias("value"), F.lit("t").alias("column_name"))
+    got = {r.prob: r.quantile for r in exact_quantiles(df, [0.25, 0.5, 0.75]).collect()}
+    values = [r.value for r in df.collect()]
+    assert all(got[p] == pytest.approx(np.quantile(values, p), rel=1e-15) for p in got) and len(got) == 3
+    assert inside[0] < 0.05 * n
+
+
+def test_describe_counts_as_pandas_does(spark):
+    """NaN is a missing value; unique, top and freq of long and short texts."""
+    from actlens.operators.report import describe_all
+
+    rnd = random.Random(8)
+    head = "x" * 70
+    texts = [None, "", "a", "b", "a" * 64, "a" * 65, head, head + "1", head + "2", head + "2", head + "10"]
+    frame = pd.DataFrame({"n": [1.0, 2.0, float("nan"), 3.0] + [rnd.choice([float("nan"), 5.0, 0.5]) for _ in range(60)]})
+    for c in range(4):  # most frequent: any of them, ties between long values, all unique
+        frame[f"t{c}"] = [rnd.choice(texts[: 5 + 2 * c]) for _ in range(64)] if c < 3 else [head + str(i) for i in range(64)]
+    rows = [[None if x is None else x for x in r] for r in frame.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "n double, t0 string, t1 string, t2 string, t3 string")
+    got = {r.column_name: r for r in describe_all(df).collect()}
+    want = frame["n"].describe()
+    assert got["n"]["count"] == want["count"]
+    for ours, theirs in (("mean", "mean"), ("std", "std"), ("min", "min"), ("p25", "25%"), ("p50", "50%"), ("p75", "75%"), ("max", "max")):
+        assert got["n"][ours] == pytest.approx(want[theirs])
+    for c in ("t0", "t1", "t2", "t3"):
+        counts = frame[c].dropna().value_counts()
+        top = min((-n, v) for v, n in counts.items())
+        assert (got[c]["count"], got[c].unique, got[c].top, got[c].freq) == (counts.sum(), len(counts), top[1], -top[0])
+
+
+@pytest.mark.parametrize("seed, n_categories", [(1, 3), (2, 130), (3, 1200)])
+def test_distinct_counts_by_masks(spark, seed, n_categories):
+    """Equal to exact distinct counts, with nulls, over one long, several, and beyond the masks' domain."""
+    from actlens.operators import explore as ex
+
+    rnd = random.Random(seed)
+    pick = lambda values: rnd.choice([None, *values])
+    cats = [f"c{i}" for i in range(n_categories)]
+    rows = [(pick(["u1", "u2", "u3"]), pick([f"s{i}" for i in range(9)]), pick(cats)) for _ in range(3000)]
+    rows += [("u9", None, None)]
+    df = spark.createDataFrame(rows, "user_id string, session_id string, category string")
+    want = {}
+    for u, s, c in rows:
+        n, a, b = want.setdefault(u, [0, set(), set()])
+        want[u][0] += 1
+        a.update([s] if s else [])
+        b.update([c] if c else [])
+    got = ex.user_activity(df)
+    assert {r[0]: tuple(r[1:]) for r in got.collect()} == {u: (n, len(a), len(b)) for u, (n, a, b) in want.items()}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("Expand" in plan) == (n_categories > ex.MASK_CODES)
+    assert got.dtypes == ex.user_activity(df.limit(0)).dtypes and ex.user_activity(df.limit(0)).collect() == []
