@@ -39,7 +39,7 @@ def recommended_conf(input_bytes: int, total_cores: int,
     ``target_partition_bytes`` (and at least 3 per core, so stragglers
     balance), and let adaptive execution coalesce the small ones and split
     skewed join partitions.  Range-partitioned numbering uses the same
-    partition count, which also bounds its broadcast summary table."""
+    partition count, which also bounds its summary table (a row per range)."""
     partitions = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(partitions),

@@ -3,7 +3,8 @@
 Everything goes under the folder that the session names in
 ``spark.checkpoint.dir``.  Where that setting is absent, a folder inside the
 warehouse (shared as well) is used; the session itself is never changed.
-Folders are removed when the application ends.
+Folders are removed when the application ends, or before that by
+:func:`release_scratch`, once no frame that reads them is needed any more.
 """
 
 from __future__ import annotations
@@ -19,16 +20,35 @@ def scratch_root(spark: SparkSession) -> str:
     return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
+#: Folders made by this process and not yet removed.
+_MADE: list[str] = []
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder under :func:`scratch_root`, deleted when the application ends."""
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    where, fs = _file_system(spark, path)
     fs.mkdirs(where)
     fs.deleteOnExit(where)
+    _MADE.append(path)
     return path
 
 
+def release_scratch(spark: SparkSession) -> int:
+    """Remove all intermediate tables made so far; returns their number.  For callers that run
+    many analyses in one application: frames that read such a table are of no use afterwards."""
+    done = 0
+    while _MADE:
+        where, fs = _file_system(spark, _MADE.pop())
+        done += fs.delete(where, True)
+    return done
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once as parquet to a scratch folder and read it from there.
 

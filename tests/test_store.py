@@ -74,6 +74,20 @@ def test_row_groups_are_skipped(spark, tmp_path):
     assert rows == 0 and "EqualTo(user_id,u4001)" in plan
 
 
+def test_scratch_is_released(spark, tmp_path):
+    import os
+
+    from actlens.sources.scratch import materialize, materialize_bucketed, release_scratch, scratch_root
+
+    release_scratch(spark)
+    a = materialize(spark.range(5), "kept-a")
+    b = materialize_bucketed(spark.range(5).withColumn("k", F.col("id").cast("int")), 3, "k", "kept-b")
+    assert a.count() == b.count() == 5
+    mine = [x for x in os.listdir(scratch_root(spark)) if x.startswith("kept-")]
+    assert len(mine) == 2 and release_scratch(spark) == 2 and release_scratch(spark) == 0
+    assert not set(mine) & set(os.listdir(scratch_root(spark)))
+
+
 def sessions_of(df):
     return {r.event_id: r.session_id for r in df.select("event_id", "session_id").collect()}
 
