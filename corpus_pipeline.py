@@ -40,7 +40,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, its token ids and their digests; the ids are decoded again for the last digest."""
-    return bpe.digests(docs, *tokenizer_file(), with_ids=True)
+    return bpe.digests(docs, *tokenizer_file(), with_ids=True, memo=100_000)
 
 
 STAGES = [

@@ -52,3 +52,20 @@ def test_query_on_rows(spark):
     assert encoded.columns == ["doc_id", "token_ids"]
     back = encoded.select("doc_id", bpe.decode(encoded["token_ids"], PATH, PATTERN).alias("b")).collect()
     assert sorted((r.doc_id, bytes(r.b).decode()) for r in back) == sorted((i, t or "") for i, t, _ in rows)
+
+
+@pytest.mark.parametrize("text", [*TEXTS, "camelCaseWord HTMLParser fooBar. isNull, 3rdParty\nnewLine upperLOWER"])
+def test_another_pattern(text):
+    """A pattern that cuts words at capitals: what is proved for the usual one is not used."""
+    camel = r"\p{Lu}+(?!\p{Ll})| ?\p{Lu}?\p{Ll}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\p{L}|\s+"
+    own = bpe.ByteBPE(PATH, camel, memo=50)
+    other = tiktoken.Encoding("camel", pat_str=camel, mergeable_ranks=OWN.rank, special_tokens={})
+    assert own.encode(text).tolist() == other.encode_ordinary(text)
+
+
+def test_small_memo_gives_the_same():
+    small = bpe.ByteBPE(PATH, PATTERN, memo=3)
+    words = ["Hello", "word.", "words,", "naïve", "x1", "(a)", "Hello", "zürich!", "end"]
+    text = " ".join(random.Random(1).choices(words, k=300))
+    assert small.encode(text).tolist() == OTHER.encode_ordinary(text)
+    assert bpe.WORD_PATTERN == PATTERN
