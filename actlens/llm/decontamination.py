@@ -23,20 +23,25 @@ quarter of its words.  As that split is a guess, and one word decides over a
 short answer, an item is also verified if the passage holds at least
 ``overlap`` of the shingles of the whole item.
 
-The index is sent to the executors in shards of a bounded number of bytes;
-document frequencies count over all items, so results do not depend on the
-shards.  Null and empty texts match nothing.  Items repeated in the benchmark
+The index is built in shards of a bounded number of bytes, each by one task, and written to
+the scratch folder; from there the shards are sent to the executors one by one, and
+:data:`SHARDS_PER_PASS` of them are looked up in one pass over the texts.
+Document frequencies and the mean length count over all items, so results do not depend on the
+shards.  Null and empty texts match nothing, texts of any length are cut into passages whole,
+and rows that share a ``doc_id`` are reported each.  Items repeated in the benchmark
 are each reported; an item without words never matches.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +52,8 @@ from actlens.sources.scratch import materialize
 BLOCKS = 64
 #: Most bytes of item text in one index sent to the executors.
 SHARD_BYTES = 4 << 20
+#: Shards looked up in one pass over the texts; a worker holds so many at a time.
+SHARDS_PER_PASS = 8
 _K1, _B, _SHINGLE = 1.2, 0.75, 5
 #: ASCII other than letters, digits and the six spaces.
 _DELETE = bytes(c for c in range(128) if not chr(c).isalnum() and not chr(c).isspace() or 28 <= c < 32)
@@ -244,33 +251,40 @@ class Index:
         return found
 
 
-def _shards(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Index]:
-    """The index of the benchmark in shards of about :data:`SHARD_BYTES`."""
-    items = benchmark.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text")).where("text is not null")
+def _shards(benchmark: DataFrame, threshold: float, overlap: float, id_col: str, text_col: str) -> DataFrame | None:
+    """The index of the benchmark, ``shard, index`` (pickled), in shards of about
+    :data:`SHARD_BYTES`; None without any item."""
+    items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).where("text is not null")
 
-    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [list(dict.fromkeys(terms_of(t))) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([t for ts in found for t in ts], pa.binary()),
-                pa.array([h for h, ts in zip(batch.column(1).to_pylist(), found) for _ in ts], pa.int64())], ["term", "shard"])
+    def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            terms = [terms_of(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(list(map(len, terms)), pa.int64()),
+                 pa.array([list(dict.fromkeys(t)) for t in terms], pa.list_(pa.binary()))], ["item_id", "text", "words", "terms"])
 
-    size, total = items.agg(F.sum(F.octet_length("text")), F.count("text")).first()
+    # Rows are dealt by a number of their own, so that copies of an item are spread as well.
+    items = materialize(items.mapInArrow(words_of, "item_id long, text string, words long, terms array<binary>").where(
+        "words > 0").withColumn("row", F.monotonically_increasing_id()), "benchmark-items")
+    size, total, length = items.agg(F.sum(F.octet_length("text")), F.count("text"), F.sum("words")).first()
     if not total:
-        return
+        return None
     shards = max(1, -(-size // SHARD_BYTES))
-    items = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)))
-    seen = materialize(items.select("text", "shard").mapInArrow(bags, "term binary, shard long"), "benchmark-terms")
-    mean = max(1.0, size / total / 6)  # words of an item, by bytes
-    frequency = seen.groupBy("term").agg(F.count("shard").alias("n"))
-    for shard in range(shards):
-        mine = seen.where(F.col("shard") == shard).select("term").distinct().join(frequency, "term").toPandas()
-        rows = items.where(F.col("shard") == shard).select("item_id", "text").toPandas().sort_values(["item_id", "text"])
-        own = [(i, *question_and_answer(t)) for i, t in zip(rows["item_id"], rows["text"])]
-        own = sorted((x for x in own if x[1] or x[2]), key=lambda x: len(x[1]) + len(x[2]))
-        if own:
-            yield Index([(None if i is None or i != i else int(i), q, a) for i, q, a in own],
-                        dict(zip(map(bytes, mine["term"]), mine["n"])), total, mean)
+    items = items.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
+    seen = items.select((F.col("shard") + 0).alias("part"), F.explode("terms").alias("term"))
+    frequency = seen.groupBy("term").agg(F.count("part").alias("n"))
+    known = seen.distinct().join(frequency, "term")
+
+    def build(rows: pd.DataFrame, terms: pd.DataFrame) -> pd.DataFrame:
+        own = [(None if pd.isna(i) else int(i), *question_and_answer(t)) for i, t in
+               rows.sort_values(["item_id", "text", "row"])[["item_id", "text"]].itertuples(index=False)]
+        own.sort(key=lambda x: len(x[1]) + len(x[2]))
+        index = Index(own, dict(zip(map(bytes, terms["term"]), terms["n"])), total, length / total)
+        index.reach(threshold, overlap)
+        return pd.DataFrame({"shard": rows["shard"].iloc[:1], "index": [pickle.dumps(index)]})
+
+    return materialize(items.select("item_id", "text", "row", "shard").groupBy("shard").cogroup(known.groupBy("part")).applyInPandas(
+        build, "shard long, index binary"), "benchmark-index")
 
 
 def _hits(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap: float = 0.8,
@@ -281,21 +295,23 @@ def _hits(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap
     schema = ", ".join(f"{k} long" for k in keys) + (
         ", item_id long, score double, question_overlap double, answer_overlap double, passage long")
     out = spark.createDataFrame([], schema)
-    for index in _shards(benchmark, id_col, text_col):
-        index.reach(threshold, overlap)
-        sent = spark.sparkContext.broadcast(index)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            index = sent.value
+    shards = _shards(benchmark, threshold, overlap, id_col, text_col)
+    # One shard at a time goes through the driver, from the written table to a broadcast.
+    sent = [] if shards is None else [
+        spark.sparkContext.broadcast(pickle.loads(r["index"])) for r in shards.orderBy("shard").select("index").toLocalIterator()]
+    for start in range(0, len(sent), SHARDS_PER_PASS):
+        def run(batches: Iterator[pa.RecordBatch], held=sent[start:start + SHARDS_PER_PASS]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, "text"):
                 of_row = list(zip(*[batch.column(i).to_pylist() for i in range(len(keys))]))
-                texts = [index.encode(t) for t in batch.column(len(keys)).to_pylist()]
-                rows = [(*of_row[text], index.ids[item], score, q, a, -start) for (text, item), (q, a, score, start)
-                        in sorted(index.matches(texts, threshold, overlap).items())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(
-                        [*[pa.int64()] * len(keys), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()])],
-                    [*keys, "item_id", "score", "question_overlap", "answer_overlap", "passage"])
+                whole = batch.column(len(keys)).to_pylist()
+                for index in (b.value for b in held):
+                    texts = [index.encode(t) for t in whole]
+                    rows = [(*of_row[text], index.ids[item], score, q, a, -start) for (text, item), (q, a, score, start)
+                            in sorted(index.matches(texts, threshold, overlap).items())]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(
+                            [*[pa.int64()] * len(keys), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()])],
+                        [*keys, "item_id", "score", "question_overlap", "answer_overlap", "passage"])
 
         out = out.union(docs.mapInArrow(run, schema))
     return out
@@ -306,7 +322,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6,
     """One row per document of ``docs`` (``doc_id, text``) and benchmark item
     that it holds: ``doc_id, item_id, score, question_overlap,
     answer_overlap, passage`` (the first word of the passage, counted in
-    terms).  One pass over the documents per index shard, no shuffle."""
+    terms).  One pass over the documents for :data:`SHARDS_PER_PASS` index shards, no shuffle."""
     return _hits(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark, threshold, overlap, id_col, text_col)
 
 
