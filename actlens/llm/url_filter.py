@@ -20,6 +20,11 @@ Counts, contexts and probabilities are Spark tables that are joined on the
 character sequences which occur; nothing but the histogram (a fixed number of
 bins) reaches the driver.
 
+The score bins reach to +-``RANGE``; calibration scores beyond share the outermost bins, scores
+themselves are not cut.  Repeated URLs count as often as they occur and get the same score; a score equal
+to the threshold is allowed; an empty table gives an empty one; other columns are not read.  URLs are told
+apart by a 64-bit hash.
+
 A null URL counts as empty; without ``://`` host and path are empty.  Where
 rules accept or reject nothing at all, the score is 0 and the rest is allowed.
 """
