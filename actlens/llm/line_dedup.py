@@ -6,12 +6,16 @@ are divided by all of the host's pages, and lines above the ratio are
 boilerplate of that host and dropped from its pages.
 
 Pages of a host with the same text count as one page: a page that was copied
-a thousand times does not turn its body into boilerplate.  A line has to be
-on at least ``min_pages`` such pages.  A page that would lose more than
-``most`` of its lines is itself a copy rather than a page with boilerplate
-(which is near-duplicate detection's business) and stays as it is.
-
-A null host is a host of its own; null and empty texts have no lines and stay.
+a thousand times does not turn its body into boilerplate.  How many pages a share
+has to be seen on is decided by the score test: a line found on k of n pages
+is above the ratio r if k - r n > z sqrt(r (1 - r) n), which is the same as the lower
+confidence bound of its share being above r.  No line of a host's only page is, a line on both
+of two pages is, and on large hosts the share itself decides.  Nothing else exempts a page or
+a host; a page of nothing but boilerplate becomes empty.
+
+A null host is a host of its own; null and empty texts have no lines and stay; texts
+of any length are cut whole, line by line; repeated rows are cut alike; an
+empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -22,8 +26,13 @@ from pyspark.sql import functions as F
 from actlens.sources.scratch import materialize
 
 RATIO = 0.02
-MIN_PAGES = 5
-MOST = 0.8
+#: Standard errors by which a line's share has to exceed the ratio.
+Z = 8.0
+
+
+def test_slope(ratio: float, z: float) -> float:
+    """The s for which k - r n > sqrt(s n) is the score test."""
+    return z * z * ratio * (1 - ratio)
 
 
 def _line_key(line: Column) -> Column:
@@ -36,10 +45,11 @@ def _trimmed(line: Column) -> Column:
 
 
 def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO,
-                min_pages: int = MIN_PAGES) -> DataFrame:
+                z: float = Z) -> DataFrame:
     """``host, gone``: the keys of each host's boilerplate lines.  A host has
     at most (mean lines of a page) / ratio of them.  Only keys of lines and
-    texts are shuffled, combined on each task first."""
+    texts are shuffled, combined on each task first; the totals of the hosts are written
+    before the lines join them, so that a hot host's lines can be split."""
     pages = docs.where(F.col(text_col).isNotNull()).select(
         F.col(host_col).alias("host"), F.struct(F.xxhash64(text_col).alias("a"), F.crc32(text_col).alias("b")).alias("page"),
         F.col(text_col).alias("text"))
@@ -47,14 +57,15 @@ def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text
         "host", "page", _trimmed(F.col("line")).alias("line")).where("line != ''")
     lines = lines.select("host", "page", _line_key(F.col("line")).alias("line")).distinct()
     on_pages = lines.groupBy("host", "line").agg(F.count("page").alias("n"))
-    totals = pages.select("host", "page").distinct().groupBy("host").agg(F.count("page").alias("total"))
-    found = on_pages.where(F.col("n") >= min_pages).join(totals, on_pages["host"].eqNullSafe(totals["host"])).where(
-        F.col("n") > F.lit(ratio) * F.col("total"))
+    totals = materialize(pages.select("host", "page").distinct().groupBy("host").agg(F.count("page").alias("total")), "hosts")
+    over = F.col("n") - F.lit(ratio) * F.col("total")
+    found = on_pages.join(totals, on_pages["host"].eqNullSafe(totals["host"])).where(
+        (over > 0) & (over * over > F.lit(test_slope(ratio, z)) * F.col("total")))
     return found.select(on_pages["host"], "line").groupBy("host").agg(F.collect_list("line").alias("gone"))
 
 
 def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO,
-                     min_pages: int = MIN_PAGES, most: float = MOST, counts: bool = True) -> DataFrame:
+                     z: float = Z, counts: bool = True) -> DataFrame:
     """All rows and columns of ``docs``, with boilerplate lines taken out of
     ``text_col``, and with ``counts`` the columns ``n_lines`` and ``n_dropped``
     (long; they replace columns of ``docs`` with these names).
@@ -62,7 +73,7 @@ def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str =
     The table of hosts is written first, so its size is known when the join
     is planned: it is broadcast only if small, and otherwise shuffled apart
     from its aggregate, so that a hot host's rows can be split."""
-    gone = materialize(boilerplate(docs, host_col, text_col, ratio, min_pages), "boilerplate")
+    gone = materialize(boilerplate(docs, host_col, text_col, ratio, z), "boilerplate")
     # The other columns travel as one struct, whatever their names.
     other = [c for c in docs.columns if c != text_col]
     rows = docs.select(F.struct(F.lit(0).alias("_"), *other).alias("row"), F.col(host_col).alias("site"),
@@ -70,9 +81,7 @@ def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str =
     joined = rows.join(gone, rows["site"].eqNullSafe(gone["host"]), "left").withColumn("lines", F.split("text", "\n"))
     joined = joined.withColumn("kept", F.when(F.col("gone").isNull(), F.col("lines")).otherwise(F.filter(
         "lines", lambda x: ~F.array_contains("gone", _line_key(_trimmed(x))))))
-    full = F.size(F.filter("lines", lambda x: _trimmed(x) != ""))
     dropped = F.size("lines") - F.size("kept")
-    joined = joined.withColumn("kept", F.when(dropped <= F.lit(most) * full, F.col("kept")).otherwise(F.col("lines")))
     null = F.col("text").isNull()
     own = {"n_lines": F.when(null, 0).otherwise(F.size("lines")).cast("long"),
            "n_dropped": F.when(null, 0).otherwise(dropped).cast("long")} if counts else {}

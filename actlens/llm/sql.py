@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from actlens.llm.line_dedup import MIN_PAGES, MOST, RATIO
+from actlens.llm.line_dedup import RATIO, Z, test_slope
 from actlens.llm.vector_codes import ENTRIES, PARTS, ROUNDS
 from actlens.llm.warc import MIN_REVISIT
 
@@ -14,11 +14,11 @@ line AS (SELECT source, text, unnest(list_distinct(list_transform(lines, lambda
 freq AS (SELECT source, line, count(DISTINCT text) AS n FROM line WHERE line != '' GROUP BY ALL),
 host AS (SELECT source, count(DISTINCT text) AS total FROM pages GROUP BY ALL),
 gone AS (SELECT f.source, list(f.line) AS gone FROM freq f JOIN host h ON f.source IS NOT DISTINCT FROM h.source
-         WHERE f.n >= {MIN_PAGES} AND f.n > {RATIO}::DOUBLE * h.total GROUP BY ALL),
-cut AS (SELECT p.*, list_filter(lines, lambda x: gone IS NULL OR NOT list_contains(gone, trim(x, ' ' || chr(9) || chr(13)))) AS rest,
-               len(list_filter(lines, lambda x: trim(x, ' ' || chr(9) || chr(13)) != '')) AS full_lines
-        FROM pages p LEFT JOIN gone g ON p.source IS NOT DISTINCT FROM g.source),
-kept AS (SELECT *, CASE WHEN len(lines) - len(rest) <= {MOST}::DOUBLE * full_lines THEN rest ELSE lines END AS kept FROM cut)
+         WHERE f.n - {RATIO}::DOUBLE * h.total > 0 AND
+               (f.n - {RATIO}::DOUBLE * h.total) * (f.n - {RATIO}::DOUBLE * h.total) > {test_slope(RATIO, Z)!r}::DOUBLE * h.total
+         GROUP BY ALL),
+kept AS (SELECT p.*, list_filter(lines, lambda x: gone IS NULL OR NOT list_contains(gone, trim(x, ' ' || chr(9) || chr(13)))) AS kept
+        FROM pages p LEFT JOIN gone g ON p.source IS NOT DISTINCT FROM g.source)
 """
 
 def _codes_sql() -> str:

@@ -31,8 +31,8 @@ def test_same_as_sql(spark):
     by_id = {r.doc_id: r for r in got}
     assert by_id[1].text.startswith("body 1\n\n") and by_id[1].n_dropped == 1
     assert by_id[300].text == "copied body\nof one page"  # copies of a page are one page
-    assert by_id[503].text == "Menu"  # nothing would be left
-    assert by_id[504].text == "Menu" and by_id[500].text is None
+    assert by_id[503].text == "" and by_id[503].n_dropped == 1  # a page of nothing but boilerplate
+    assert by_id[504].text == "Menu" and by_id[500].text is None  # the only page of its host
     assert L.drop_boilerplate(docs.limit(0)).collect() == []
 
 
@@ -42,3 +42,25 @@ def test_frequency_is_relative_to_the_host(spark):
     docs = spark.createDataFrame(data, "doc_id long, text string, source string")
     out = {r.doc_id: r.n_dropped for r in L.drop_boilerplate(docs).collect()}
     assert all(out[i] == 1 for i in range(100)) and all(out[1000 + i] == 0 for i in range(2000))
+
+
+def test_no_page_or_host_is_exempt(spark):
+    """Long templates with short bodies, and hosts of a few pages."""
+    menu = "\n".join(f"Menu {i}" for i in range(5))
+    data = [(i, f"{menu}\nown line {i}", "long template") for i in range(300)]
+    data += [(1000 + i, f"Home\nown line {i}\nand {i}", f"small {i // 4}") for i in range(400)]
+    data += [(2000 + i, f"Home\nown line {i}", f"two {i // 2}") for i in range(20)] + [(3000, "alone\nhere", "one page")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    out = {r.doc_id: r for r in L.drop_boilerplate(docs).collect()}
+    assert all(out[i].text == f"own line {i}" and out[i].n_dropped == 5 for i in range(300))
+    assert all(out[1000 + i].text == f"own line {i}\nand {i}" for i in range(400))
+    assert all(out[2000 + i].text == f"own line {i}" for i in range(20)) and out[3000].text == "alone\nhere"
+
+
+def test_hot_host_and_long_texts(spark):
+    """A host with most pages, another's lines beside it, and a text of 200,000 lines."""
+    data = [(i, f"Head\nbody {i}", "hot") for i in range(3000)] + [(5000 + i, f"Head\nbody {i}", f"h{i}") for i in range(50)]
+    data += [(9000, "\n".join(["Head", *(f"line {i}" for i in range(200_000))]), "hot")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(4)
+    out = {r.doc_id: r.n_dropped for r in L.drop_boilerplate(docs).select("doc_id", "n_dropped").collect()}
+    assert all(out[i] == 1 for i in range(3000)) and all(out[5000 + i] == 0 for i in range(50)) and out[9000] == 1
