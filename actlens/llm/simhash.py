@@ -244,31 +244,53 @@ def link(distinct: DataFrame, radius: int = 4, spare: int = 2) -> DataFrame:
     return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long").distinct()
 
 
+def _grouped(docs: DataFrame, radius: int = 4, width: int = 4, spare: int = 2) -> tuple[DataFrame, DataFrame]:
+    """(``doc_id, fp`` of every row; ``fp, part, component_id`` of every fingerprint).
+
+    Fingerprints are the nodes, whoever has them, so those that only rows without an
+    id have are linked and bridge like others.  ``part`` is the smallest
+    fingerprint of the component, ``component_id`` the smallest ``doc_id`` in it, if any."""
+    prints = materialize(fingerprints(docs, width), "fingerprints")
+    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    groups = components(link(distinct.select("fp", F.col("fp").alias("node")), radius, spare))
+    placed = distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("part"))
+    placed = materialize(placed, "parts")
+    # Written before they are joined back: a component with most fingerprints can then be split.
+    ids = materialize(placed.groupBy("part").agg(F.min("least").alias("component_id")), "components")
+    return prints, placed.join(ids, "part").select("fp", "part", "component_id")
+
+
 def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4, spare: int = 2) -> DataFrame:
     """``doc_id, fingerprint`` (16 hex digits) and ``component_id``, the
     smallest ``doc_id`` reachable over links of at most ``radius`` differing
     bits (the document itself included), for every row of ``docs``.
 
-    Null and empty texts have fingerprint zero and are linked like others.
-    Rows with a null ``doc_id`` get their fingerprint and take part in no
-    group of their own: their component is that of their fingerprint."""
-    prints = materialize(fingerprints(docs, width), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    distinct = materialize(distinct, "distinct-fingerprints")
-    groups = components(link(distinct.where("node is not null"), radius, spare))
-    of_print = distinct.join(groups, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    Null and empty texts have fingerprint zero and are linked like others, texts of any
+    length are hashed whole, and repeated rows get the same result each.
+    Rows with a null ``doc_id`` are linked and bridge like others; where no row of a
+    component has an id, its ``component_id`` is null.  An empty table gives an
+    empty one; other columns are not read."""
+    prints, of_print = _grouped(docs, radius, width, spare)
     return prints.join(of_print, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is the smallest of its group, all
-    columns as they are.  Rows with a null ``doc_id`` stay; rows that share a
-    ``doc_id`` are one document, of which the first row in text order stays."""
-    groups = near_duplicates(docs, **how)
-    first = groups.where("doc_id = component_id").groupBy("doc_id").count()
+def one_of_each(docs: DataFrame, radius: int = 4, width: int = 4, spare: int = 2) -> DataFrame:
+    """One document of each component of :func:`near_duplicates`, all columns as they
+    are: the one with the smallest ``doc_id``.  Rows that share that ``doc_id`` are one document,
+    of which the first row in text order stays.  Rows without an id go where a row with one is
+    in the component; else the one whose text has the smallest hash stays."""
+    prints, of_print = _grouped(docs, radius, width, spare)
+    first = prints.join(of_print, "fp").where("doc_id = component_id").groupBy("doc_id").count()
     kept = docs.join(first.where("count = 1"), "doc_id", "left_semi")
+    in_text_order = F.struct(*[F.col(c) for c in sorted(docs.columns, key=lambda c: c != "text")])
     repeated = docs.join(first.where("count > 1"), "doc_id", "left_semi").groupBy("doc_id").agg(
-        F.min(F.struct(*[F.col(c) for c in sorted(docs.columns, key=lambda c: c != "text")])).alias("row"))
-    return kept.unionByName(repeated.select(*[F.col("row")[c].alias(c) for c in docs.columns])).unionByName(
-        docs.where("doc_id is null"))
+        F.min(in_text_order).alias("row"))
+    unnamed, text_hash = docs.where("doc_id is null"), F.xxhash64("text")
+    of_text = fingerprints(unnamed.select(text_hash.alias("doc_id"), "text"), width).distinct()
+    alone = of_text.join(of_print.where("component_id is null"), "fp").groupBy("part").agg(F.min("doc_id").alias("_text"))
+    unnamed = unnamed.select(text_hash.alias("_text"), in_text_order.alias("row")).join(
+        alone.select("_text"), "_text", "left_semi").groupBy("_text").agg(F.min("row").alias("row"))
+    whole = [F.col("row")[c].alias(c) for c in docs.columns]
+    return kept.unionByName(repeated.select(*whole)).unionByName(unnamed.select(*whole))

@@ -106,3 +106,30 @@ def test_near_duplicates(spark):
     assert sorted((r.doc_id for r in kept if r.doc_id is not None)) == sorted({w[2] for w in want if w[2] is not None})
     assert kept[0].asDict().keys() == {"doc_id", "text", "fp", "component_id"}
     assert simhash.near_duplicates(docs.limit(0)).collect() == []
+
+
+def test_rows_without_an_id(spark):
+    """They are linked and bridge like others; where all of a component have none, one of them stays."""
+    base = [f"w{i}" for i in range(400)]
+    texts = [" ".join(base)]
+    while len(texts) < 40:  # a chain of small changes
+        base = list(base)
+        base[7 * len(texts)] = f"x{len(texts)}"
+        texts.append(" ".join(base))
+    prints = [brute_print(t) for t in texts]
+    want = groups(len(texts), [(a, b) for a in range(40) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 4])
+    ids = [10 + i if i % 9 == 0 else None for i in range(40)]
+    lone = " ".join(f"q{i}" for i in range(90))
+    rows = list(zip(ids, texts)) + [(None, lone), (None, lone), (None, lone)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, row string").repartition(3)
+    smallest = {}
+    for i, c in enumerate(want):
+        smallest[c] = min([x for x in (smallest.get(c), ids[i]) if x is not None], default=None)
+    expected = [(ids[i], f"{prints[i]:016x}", smallest[c]) for i, c in enumerate(want)]
+    expected += [(None, f"{brute_print(lone):016x}", None)] * 3
+    got = simhash.near_duplicates(docs).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
+    kept = simhash.one_of_each(docs).collect()
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted(c for c in smallest.values() if c is not None)
+    assert len([r for r in kept if r.doc_id is None]) == 1 + sum(c is None for c in smallest.values())
+    assert len([r for r in kept if r.text == lone]) == 1
