@@ -24,7 +24,9 @@ the longest stretches that are covered by repeats of at least ``length`` words.
 Hashes are 64-bit polynomials of 64-bit word hashes; a match has to agree in
 the anchor's and in the run's or window's.  Null and empty texts have no words.
 Rows with a null ``doc_id`` are not compared and stay whole.  If rows share a
-``doc_id``, each is judged on its own text against smaller ids only.
+``doc_id``, each is judged on its own text against smaller ids only; equal rows are one document, whose
+runs are looked up once.  Texts of any length are cut whole; an empty table gives an empty one;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -153,7 +155,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame, length: int = 50, k: int = 20) -> DataFrame:
     """``doc_id, tag, start, n``: ``n`` windows from word ``start`` on whose
     words also start in a document with a smaller ``doc_id``; every such window
-    is in some row.  ``tag`` is the text's CRC32."""
+    is in some row (equal rows of a document repeat them).  ``tag`` is the text's CRC32."""
     keyed = _keyed(docs).where("doc_id is not null")
     seeds = materialize(_seeds(keyed, length, k), "seeds")
     shared = seeds.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b")
@@ -166,9 +168,11 @@ def repeats(docs: DataFrame, length: int = 50, k: int = 20) -> DataFrame:
     first = seeds.groupBy("anchor", "span").agg(F.min("doc_id").alias("first"))
     several = first.groupBy("anchor").agg(F.count("span").alias("spans"), F.min("first").alias("a"),
                                           F.max("first").alias("b")).where("spans > 1 and a < b")
-    firsts = materialize(first.join(several.select("anchor"), "anchor", "left_semi"), "firsts")
+    several = materialize(several.select("anchor"), "several")
+    firsts = materialize(first.join(several, "anchor", "left_semi"), "firsts")
     open_runs = seeds.join(firsts, ["anchor", "span"]).where("doc_id = first")
-    wanted = open_runs.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "n", "anchor")).alias("runs"))
+    # A set: equal rows of a document ask for the same runs.
+    wanted = open_runs.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("start", "n", "anchor")).alias("runs"))
     windows = materialize(_windows(keyed, wanted, length), "windows")
     return whole.union(_earlier(windows).select("doc_id", "tag", "start", F.lit(1).alias("n")))
 
@@ -177,8 +181,8 @@ def dedup(docs: DataFrame, length: int = 50, k: int = 20) -> DataFrame:
     """``doc_id, n_words, n_removed, kept`` (the kept words joined by one
     blank) of every row of ``docs`` (``doc_id, text``)."""
     found = materialize(repeats(docs, length, k), "repeats")
-    # A document's rows here are bounded by its own words.
-    found = found.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "n")).alias("found"))
+    # A set, so that a document's entries are bounded by its own words, however often its row is repeated.
+    found = found.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("start", "n")).alias("found"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

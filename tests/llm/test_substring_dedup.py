@@ -57,3 +57,13 @@ def test_empty_table_and_extra_columns(spark):
     rows = [(1, "a b c d e f", 3, 4, 5, "x"), (2, "z a b c d e", 3, 4, 5, "x")]
     got = S.dedup(spark.createDataFrame(rows, empty.schema), 4, 2).collect()
     assert sorted(map(tuple, got)) == [(1, 6, 0, "a b c d e f"), (2, 6, 5, "z")]
+
+
+def test_equal_rows_by_the_thousand(spark):
+    """5,000 equal rows of one document, beside the document they repeat and one that holds a part."""
+    rng = random.Random(9)
+    text = [f"w{rng.randint(0, 999)}" for _ in range(200)]
+    rows = [(1, " ".join(text))] + [(2, " ".join(["own", *text[20:], "end"]))] * 5000 + [(3, " ".join(text[5:120]))]
+    got = S.dedup(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    assert len(got) == 5002
+    assert {tuple(r) for r in got} == {(1, 200, 0, " ".join(text)), (2, 182, 180, "own end"), (3, 115, 115, "")}
