@@ -7,8 +7,8 @@ check.  They are always kept.
 *Candidates* are base spans and looser forms: digit runs of card length, phone
 numbers without a country code or with other numbers right behind, full IPv6 addresses, addresses written with
 "at" and "dot".  Each candidate gets a vote (for, against, none) of five labelers: the strict
-pattern, the checksum or format, a gazetteer (issuer prefixes, calling codes,
-mail domains, reserved networks), cue words in the context, and the borders of
+pattern, the checksum or format, a gazetteer of public facts (issuer ranges, calling codes and
+the numbering plan of North America, mail domains, special-purpose networks), cue words in the context, and the borders of
 the span.
 
 *Reliabilities*: all candidates of the corpus are counted by kind, votes and
@@ -19,13 +19,19 @@ votes and shape is trained towards the posterior probabilities, weighted by the
 counts, per kind.  A candidate is added if its probability reaches
 ``threshold`` and it overlaps no base span.
 
-Null and empty texts have no spans.  Offsets count code points.
+Null and empty texts have no spans.  Offsets count code points.  Texts of any length are searched whole,
+in time linear in them but for sorting; of overlapping candidates of a kind the first stays, and
+none that overlaps a base span.  Repeated rows give a row each and count as often; an empty
+table gives an empty one; other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from ipaddress import ip_address
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -131,16 +137,56 @@ def candidates(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
         loose += [(1, m.start(), m.end()) for m in _IPV6.finditer(text)]
     if not loose:
         return base, []
+    # Base spans that begin before a candidate's end overlap it if the furthest of their ends is behind its start.
     taken = sorted((a, b) for _, a, b in base)
+    starts, furthest = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
     free, last = [], {}
     for kind, a, b in sorted(set(loose)):
-        i = np.searchsorted([x for x, _ in taken], b)
-        if (i == 0 or max(y for _, y in taken[:i]) <= a) and last.get(kind, 0) <= a:
+        i = bisect_left(starts, b)
+        if (i == 0 or furthest[i - 1] <= a) and last.get(kind, 0) <= a:
             free.append((kind, a, b))
             last[kind] = b
     return base, free
 
 
+#: Calling codes of one and two digits, and the first two digits of those of three.
+_CALLING = ("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+            "81 82 84 86 90 91 92 93 94 95 98").split()
+_CALLING_AREAS = "21 22 23 24 25 26 29 35 37 38 42 50 59 67 68 69 80 85 87 88 96 97 99".split()
+#: First and last prefix of card issuers' ranges.
+_ISSUERS = ((4, 4), (51, 55), (2221, 2720), (34, 34), (37, 37), (6011, 6011), (644, 649), (65, 65), (3528, 3589), (300, 305),
+            (36, 36), (38, 39), (62, 62), (50, 50), (56, 58), (63, 63), (67, 67))
+#: Generic mail domains; those of countries have two letters.
+_DOMAINS = ("com org net edu gov mil int info biz name pro aero coop museum jobs mobi travel tel cat asia post app dev "
+            "online site shop store cloud email tech blog xyz").split()
+
+
+def known_caller(span: str, digits: str) -> bool:
+    """Whether a number begins as one can be: with a calling code after a plus sign, else as
+    in the North American plan, where neither area nor exchange begin with 0 or 1."""
+    if span[0] == "+" and not digits.startswith("1"):
+        return digits.startswith(tuple(_CALLING)) or digits[:2] in _CALLING_AREAS
+    national = digits[1:] if span[0] == "+" else digits
+    return len(national) >= 10 and national[-10] not in "01" and national[-7] not in "01"
+
+
+def known_issuer(digits: str) -> bool:
+    return any(a <= int(digits[:len(str(a))]) <= b for a, b in _ISSUERS)
+
+
+def known_network(span: str) -> bool:
+    """Whether an address is reachable everywhere, by the registries of special-purpose networks."""
+    try:
+        return ip_address(span).is_global
+    except ValueError:
+        return False
+
+
+def known_domain(span: str) -> bool:
+    last = re.split(r"[^A-Za-z0-9]+", span.rstrip("])} "))[-1].lower()
+    return last in _DOMAINS or (len(last) == 2 and last.isalpha())
+
+
 def votes(text: str, kind: int, a: int, b: int, strict: bool) -> tuple[int, ...]:
     """Votes (0 none, 1 for, 2 against) of the five labelers, and the shape
     (0 plain, 1 with separators, 2 long)."""
@@ -149,16 +195,16 @@ def votes(text: str, kind: int, a: int, b: int, strict: bool) -> tuple[int, ...]
     regex_vote = 1 if strict else 0
     if name == "card":
         check = 1 if luhn(digits) else 2
-        known = 1 if digits[0] in "3456" or digits[:2] in ("22", "23", "24", "25", "26", "27") else 2
+        known = 1 if known_issuer(digits) else 2
     elif name == "phone":
         check = 1 if 9 <= len(digits) <= 15 else 2
-        known = (2 if digits[0] == "0" else 1) if span[0] == "+" else 2 if digits[0] in "01" else 1
+        known = 1 if known_caller(span, digits) else 2
     elif name == "ip":
         check = 1 if ":" in span or _octets(span) else 2
-        known = 2 if span.split(".")[0] in ("0", "127", "255") else 0
+        known = 0 if known_network(span) else 2
     else:
         check = 1 if re.search(r"[A-Za-z]{2,}\Z", span) else 2
-        known = 1 if re.search(r"(?:com|org|net|edu|gov|de|fr|es|uk|io)\Z", span, re.I) else 0
+        known = 1 if known_domain(span) else 0
     near = {w.lower() for w in _WORD.findall(text[max(0, a - 60):a])[-5:] + _WORD.findall(text[b:b + 40])[:3]}
     plus, minus = _CUES[name]
     context = 1 if near & plus else 2 if near & minus else 0

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from hashlib import sha256
 
 import numpy as np
@@ -54,6 +55,32 @@ def test_candidates_overlap_no_base_span():
         assert all(b <= x or y <= a for _, a, b in loose for _, x, y in base)
 
 
+def slow_free(base, loose):
+    """Loose candidates that overlap no base span and no earlier one of their kind, pair by pair."""
+    free = []
+    for kind, a, b in sorted(set(loose)):
+        if all(b <= x or y <= a for _, x, y in base) and all(k != kind or y <= a for k, _, y in free):
+            free.append((kind, a, b))
+    return free
+
+
+def test_candidates_equal_pairwise_comparison():
+    for t in texts(4000, 6):
+        loose = []
+        base = pii.base_spans(t, loose)
+        loose += [(0, m.start(), m.end()) for m in pii._SPELLED.finditer(t)] if re.search(r" dot |dot[\])}]", t) else []
+        loose += [(1, m.start(), m.end()) for m in pii._IPV6.finditer(t)] if t.count(":") > 6 else []
+        assert pii.candidates(t) == (base, slow_free(base, loose))
+
+
+def test_candidates_of_a_long_text_in_linear_time():
+    t = "+1 (974) 555-3436 or 200 555 0199 and a@b.cd, 4111111111111112 x " * 20000
+    start = time.perf_counter()
+    base, free = pii.candidates(t)
+    assert len(t) > 1_000_000 and len(base) >= 40_000 and len(free) >= 20_000
+    assert time.perf_counter() - start < 10
+
+
 def test_reliabilities_find_a_liar():
     rng = np.random.default_rng(2)
     truth = rng.random(4000) < 0.3
@@ -67,6 +94,76 @@ def test_reliabilities_find_a_liar():
     assert trust.argmin() == 3 and abs(trust[0] - 0.95) < 0.05
 
 
+def test_gazetteers():
+    """Public facts: calling codes and the North American plan, issuer ranges, special-purpose networks, domains."""
+    digits = lambda t: re.sub("[^0-9]", "", t)
+    for t, known in (("+49 30 1234567", True), ("+358 9 123456", True), ("+999 1 234567", True), ("+28 12 345678", False),
+                     ("+0 12 345678", False), ("+1 (974) 555-3436", True), ("+1 (074) 555-3436", False), ("+1 974 155 3436", False),
+                     ("200 555 0199", True), ("100 555 0199", False), ("200-055-0199", False)):
+        assert pii.known_caller(t, digits(t)) == known, t
+    for t, known in (("4111111111111111", True), ("5555555555554444", True), ("2221000000000009", True), ("2220999999999999", False),
+                     ("378282246310005", True), ("6011111111111117", True), ("3530111333300000", True), ("1234567890123456", False),
+                     ("9999999999999995", False)):
+        assert pii.known_issuer(t) == known, t
+    for t, known in (("8.8.8.8", True), ("127.0.0.1", False), ("10.1.2.3", False), ("192.0.2.7", False), ("203.0.113.9", False),
+                     ("08.8.8.8", False), ("2001:db8:0:0:0:0:0:1", False), ("2606:4700:4700:0:0:0:0:1111", True), ("1:2:3", False)):
+        assert pii.known_network(t) == known, t
+    for t, known in (("a@b.de", True), ("joe at example dot com", True), ("joe [at] mail [dot] org]", True), ("a@b.c", False), ("a@b.local", False)):
+        assert pii.known_domain(t) == known, t
+
+
+def slow_train(candidates):
+    """Probability per candidate code: expectation-maximisation and logistic regression over single
+    candidates, in loops, without counts of patterns."""
+    out = {}
+    for kind in {c // 3 ** 6 for c in candidates}:
+        mine = [c for c in candidates if c // 3 ** 6 == kind]
+        votes = [[c // 3 ** (5 - i) % 3 for i in range(6)][:5] for c in mine]
+        p = [min(0.95, max(0.05, 0.5 + 0.15 * (v.count(1) - v.count(2)))) for v in votes]
+        for _ in range(50):
+            rate = {}
+            for c, weight in ((1, p), (0, [1 - x for x in p])):
+                for j in range(5):
+                    seen = [sum(w for w, v in zip(weight, votes) if v[j] == k) for k in range(3)]
+                    rate[c, j] = [(x + 0.5) / (sum(seen) + 1.5) for x in seen]
+            prior = (sum(p) + 1) / (len(p) + 2)
+            for i, v in enumerate(votes):
+                s = np.log(prior / (1 - prior)) + sum(np.log(rate[1, j][v[j]] / rate[0, j][v[j]]) for j in range(5) if v[j])
+                p[i] = 1 / (1 + np.exp(-np.clip(s, -30, 30)))
+        columns = [[c // 3 ** (5 - i) % 3 for i in range(6)] for c in mine]
+        x = np.array([[1.0, *[float(v == 1) for v in r], *[float(v == 2) for v in r]] for r in columns])
+        w = np.zeros(13)
+        for _ in range(25):
+            q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            w = w - np.linalg.solve(sum(a * (1 - a) * np.outer(r, r) for a, r in zip(q, x)) + np.eye(13),
+                                    sum((a - b) * r for a, b, r in zip(q, p, x)) + w)
+        out |= {c: 1 / (1 + np.exp(-np.clip(r @ w, -30, 30))) for c, r in zip(mine, x)}
+    return out
+
+
+def test_added_spans_equal_a_slow_version(spark):
+    rng = random.Random(12)
+    ask = ["call me by phone:", "fax", "order number", "", "tel.", "invoice"]
+    rows = [(i, f"{rng.choice(ask)} {rng.randint(100, 999)} {rng.randint(100, 999)} {rng.randint(1000, 9999)}, "
+                f"card {rng.randint(10**15, 10**16 - 1)}, {rng.choice(['mail', 'see'])} joe{i} at {rng.choice(['example dot com', 'x dot qq1'])} "
+                f"or +1 (974) 555-34{i % 90 + 10} 1:2:3:4:5:6:7:{i}") for i in range(150)]
+    found, codes = [], []
+    for i, t in rows:
+        base, loose = pii.candidates(t)
+        own = [(s, pii._code(s[0], pii.votes(t, *s, s in base))) for s in base + loose]
+        codes += [c for _, c in own]
+        found.append((i, base, own[len(base):]))
+    probability = slow_train(codes)
+    assert all(abs(probability[c] - 0.9) > 1e-6 for c in probability)
+    got = {r.doc_id: r.spans for r in pii.detect(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    n_added = 0
+    for i, base, loose in found:
+        added = [s for s, c in loose if probability[c] >= 0.9]
+        n_added += len(added)
+        assert got[i] == ",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in sorted(base + added))
+    assert 0 < n_added < sum(len(loose) for *_, loose in found)
+
+
 def test_detect(spark):
     rows = [(i, t, 0) for i, t in enumerate(texts(300, 9))] + [(900, None, 0), (901, "", 0), (901, "", 0), (None, "a@b.cd", 0)]
     rows += [(1000 + i, f"call me by phone: {200 + i} 555 01{i:02d} or mail joe at example dot com", 0) for i in range(40)]
