@@ -10,8 +10,11 @@ own: rows that repeat the largest id are responses all, and revisits refer to
 one of them; a row without an id is a response whose metadata names no
 ``capture-id``.  Spark's text writer writes the archives (records end with
 two line breaks, which is the writer's line separator), so any file system
-that Spark knows will do.  The records of one capture are written together;
-files hold about ``FILE_BYTES`` before compression.
+that Spark knows will do.  The records of one capture are written together.
+Files hold about ``FILE_BYTES`` before compression: captures of at most :data:`LARGE` times the
+mean payload are written so many to a file as fit by the mean, larger ones so many as fit
+by the largest, so that no run of long payloads makes a file of more than ``LARGE`` times that, or of
+a single capture.
 
 *Reading* (:func:`read`): archives are read as binary files and cut into
 records by their Content-Length, so that payloads may hold anything.  A file
@@ -22,7 +25,8 @@ are joined through the concurrent-to ids, and a revisit is joined with the
 response that it refers to; one nested row per capture results.
 
 Null payloads are written as empty ones.  A null URL is written as an empty
-target.  Digests are SHA-1 of the payload, in lower-case hex; equal payloads
+target.  Payloads of any length are written, read and hashed whole.  An empty table gives no
+archive and no rows; other columns are not read.  Digests are SHA-1 of the payload, in lower-case hex; equal payloads
 are found by SHA-256.
 """
 
@@ -40,6 +44,8 @@ from actlens.sources.scratch import materialize, scratch_path
 
 VERSION = "WARC/1.1"
 FILE_BYTES = 16 << 20
+#: Times the mean payload beyond which captures have files of their own.
+LARGE = 4
 MIN_REVISIT = 1000
 _END = "\r\n\r\n"
 _HTTP_OK = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -74,8 +80,9 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
     captures = pages.select(F.col(id_col).alias("id"), F.coalesce(F.regexp_replace(url_col, r"[\r\n]", ""), F.lit("")).alias("uri"),
                             F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload"))
     captures = materialize(captures.withColumn("equal", F.sha2("payload", 256)).withColumn(
-        "row", F.monotonically_increasing_id()), "numbered-captures")
-    groups = captures.where("id is not null").where(F.octet_length("payload") >= min_revisit).groupBy("equal").agg(
+        "row", F.monotonically_increasing_id()).withColumn("bytes", F.octet_length("payload")), "numbered-captures")
+    mean, largest = captures.agg(F.coalesce(F.avg("bytes"), F.lit(0.0)), F.coalesce(F.max("bytes"), F.lit(0))).first()
+    groups = captures.where("id is not null").where(F.col("bytes") >= min_revisit).groupBy("equal").agg(
         F.max(F.struct("id", "row")).alias("original"), F.count("id").alias("n")).where("n > 1").select("equal", "original")
     # Written first: its size is known when the join is planned, and a hot payload's captures can be split.
     captures = captures.join(materialize(groups, "equal-payloads"), "equal", "left").withColumn(
@@ -96,14 +103,10 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
                        F.coalesce(F.concat(F.lit("capture-id: "), capture.cast("string"), F.lit("\r\n")), F.lit("")),
                        ("Content-Type", F.lit("application/warc-fields")), to)
     text = F.concat(F.when(revisit, again).otherwise(response), F.lit(_END), request, F.lit(_END), metadata)
-    captures.select(text.alias("value")).write.option("lineSep", _END).option(
-        "maxRecordsPerFile", _rows_per_file(pages, payload_col)).option("compression", compression).text(path)
-
-
-def _rows_per_file(pages: DataFrame, payload_col: str) -> int:
-    """Captures that make up about :data:`FILE_BYTES`, by the mean payload."""
-    size = pages.agg(F.avg(F.coalesce(F.octet_length(payload_col), F.lit(0)))).first()[0] or 0
-    return max(1, int(FILE_BYTES / (size + 1500)))
+    large = F.col("bytes") > LARGE * mean
+    for part, chosen, size in (("regular", ~large, mean), *([("large", large, largest)] if largest > LARGE * mean else [])):
+        captures.where(chosen).select(text.alias("value")).write.option("lineSep", _END).option(
+            "maxRecordsPerFile", max(1, int(FILE_BYTES / (size + 1500)))).option("compression", compression).text(f"{path}/{part}")
 
 
 def fields_of(block: bytes) -> dict[str, str]:

@@ -78,3 +78,17 @@ def test_broken_archives():
     with pytest.raises(ValueError):
         list(warc.records_in(b"WARC/1.0\r\nContent-Length: 10\r\n\r\nabc"))
     assert list(warc.records_in(b"\r\n\r\n")) == []
+
+
+def test_long_payloads_have_files_of_their_own(spark, tmp_path, monkeypatch):
+    """A run of long pages among short ones: no archive holds much more than FILE_BYTES, or one capture."""
+    monkeypatch.setattr(warc, "FILE_BYTES", 200_000)
+    rows = [(i, f"http://a.org/{i}", f"page {i} " + "x" * (i % 900)) for i in range(600)]
+    rows += [(1000 + i, f"http://b.org/{i}", f"long {i} " + "y" * 150_000) for i in range(8)] + [(2000, "http://c.org/", "z" * 20_000_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = str(tmp_path / "warc")
+    warc.write(pages, path, compression="none")
+    sizes = sorted(r.length for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("length").collect())
+    assert sizes[-1] < 20_010_000 and sizes[-2] < 200_000 * warc.LARGE and len(sizes) > 9
+    got = {r.page_id: (r.payload_bytes, r.payload_digest) for r in warc.round_trip(pages).collect()}
+    assert got == {i: (len(t), hashlib.sha1(t.encode()).hexdigest()) for i, _, t in rows}
