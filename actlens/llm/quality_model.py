@@ -16,6 +16,10 @@ aggregate then adds up, slot by slot, what the shards have changed, and the
 sums go into the common state (the squared gradients as well, which slow down
 the steps of slots that many shards move).  The state sent around
 has ``2 ** BITS + 3`` slots at most, whatever the input.
+
+Defined cases: null and empty texts have no words; texts of any length are counted whole; a score of
+exactly 0.5 (all of them without training rows) predicts 1; rows of a document with equal texts are one
+training row and are scored each; an empty table gives an empty one; other columns are not read.
 """
 
 from __future__ import annotations
@@ -112,8 +116,13 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, p: FTRL = FTRL(), max
                 [batch.column(0), batch.column(1), pa.array(slots, pa.list_(pa.int32())),
                  pa.array(values, pa.list_(pa.float32()))], ["doc_id", "label", "slots", "vals"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").select(
-        "doc_id", "label", "text").mapInArrow(vectors, "doc_id long, label int, slots array<int>, vals array<float>")
+    # Labels are bounded, and so are the rows that have them: an id may be repeated in docs.
+    # Rows of a document with equal texts are one row; those with the smallest hash are taken.
+    labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text").join(
+        F.broadcast(sample), "doc_id")
+    taken = labelled.select("doc_id", "hash").distinct().orderBy(F.xxhash64("doc_id", "hash"), "doc_id", "hash").limit(max_rows)
+    rows = labelled.join(F.broadcast(taken), ["doc_id", "hash"]).select("doc_id", "label", "text").mapInArrow(
+        vectors, "doc_id long, label int, slots array<int>, vals array<float>").dropDuplicates()
     # A bounded table of sparse vectors, written once: each round reads it.
     rows = materialize(rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS))).repartition(SHARDS, "shard"),
                        "ftrl-rows")

@@ -161,12 +161,17 @@ def sampled_labels(labels: DataFrame, label: str = "quality", limit: int = MAX_T
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING_ROWS) -> list[Rule]:
     """Learn the rules from the labelled rows of ``docs`` (``doc_id, text``).
-    The sample is bounded by ``limit``, so it may be broadcast and collected
-    as rows of a few integers.  ``doc_id`` repeated in ``docs`` counts as often."""
+    Labels are bounded by ``limit``, so they may be broadcast; the rows that have them are
+    bounded by it too, however often a ``doc_id`` is repeated in ``docs``: those with the
+    smallest hash are collected, as rows of a few integers.  Rows of a document with
+    equal counts are one row.  Without labels, or with labels of one kind only, the
+    list is empty.  Other columns are not read."""
     sample = sampled_labels(labels, limit=limit)
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left_semi")
     measured = with_counts(chosen).join(F.broadcast(sample), "doc_id").selectExpr(
-        "doc_id", "label", *(f"cast({e} as bigint) {m}" for m, e in MEASURES.items())).toPandas()
+        "doc_id", "label", *(f"cast({e} as bigint) {m}" for m, e in MEASURES.items())).distinct()
+    own = ["doc_id", *MEASURES]
+    measured = measured.orderBy(F.xxhash64(*own), *own).limit(limit).toPandas()
     measured = measured.sort_values(["doc_id", *MEASURES]).sample(frac=1, random_state=7)
     x = {m: measured[m].to_numpy(np.int64) for m in MEASURES}
     return learn(x, measured["label"].to_numpy() == 0)

@@ -130,3 +130,63 @@ def test_ftrl_against_a_loop():
             zz[i] += g - s * w[i]
             nn[i] += g * g
     assert np.allclose(z, zz) and np.allclose(n, nn)
+
+
+def test_training_rows_are_bounded_where_ids_repeat(spark, monkeypatch):
+    rows = [(1, f"some text number {i} with words"  * 9) for i in range(3000)] + [(1, "same " * 60)] * 2000 + [(2, "other " * 70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(1, 0, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(R, "learn", lambda x, bad: seen.append(len(bad)) or [])
+    assert R.fit(docs, labels, limit=2) == [] and seen == [2]
+    fitted = []
+    original = M.materialize
+    monkeypatch.setattr(M, "materialize", lambda df, name: fitted.append(df.count()) or original(df, name))
+    M.fit(docs, labels, M.F.lit(True), M.FTRL(rounds=1), max_rows=40)
+    assert fitted[0] == 40
+
+
+def test_features_against_a_loop():
+    """Slots and values of one text, counted one by one: hashed words and pairs (log counts, unit
+    length), the bias, and the shares of repeated pairs and triples."""
+    import xxhash
+
+    text = "a b c a b c a b Zürich . a"
+    tokens, mask = [w.encode() for w in text.split(" ")], (1 << 64) - 1
+    h = [xxhash.xxh64_intdigest(w) for w in tokens]
+    pairs = [(x * int(M._PAIR) & mask) ^ y for x, y in zip(h, h[1:])]
+    triples = [(x * int(M._PAIR) & mask) ^ y for x, y in zip(pairs, h[2:])]
+    counts = Counter((x * int(M._ODD) & mask) >> (64 - 10) for x in h + pairs)
+    norm = sum(np.log1p(c) ** 2 for c in counts.values()) ** 0.5
+    want = {s: np.log1p(c) / norm for s, c in counts.items()}
+    want |= {1024: 1.0, 1025: 1 - len(set(pairs)) / len(pairs), 1026: 1 - len(set(triples)) / len(triples)}
+    slots, values = M.features(text, 10)
+    assert len(slots) == len(set(slots.tolist())) and set(slots.tolist()) == set(want)
+    assert all(abs(v - want[s]) < 1e-6 for s, v in zip(slots.tolist(), values.tolist()))
+
+
+def test_rounds_add_up_the_shards_changes(spark):
+    """Weights equal those of a slow version: each shard from the common state, changes added; scores are dot products."""
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(rng.choice(words[: 20 + 20 * (i % 2)], 30))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, quality int")
+    p, bits = M.FTRL(rounds=2), 10
+    got = M.fit(docs, labels, M.F.lit(True), p, bits=bits)
+    shard = {r.doc_id: r.s for r in docs.selectExpr("doc_id", f"pmod(xxhash64(doc_id), {M.SHARDS}) as s").collect()}
+    z, n = np.zeros((1 << bits) + 3), np.zeros((1 << bits) + 3)
+    import pandas as pd
+
+    for _ in range(p.rounds):
+        dz, dn = np.zeros_like(z), np.zeros_like(n)
+        for s in range(M.SHARDS):
+            own = pd.DataFrame({"doc_id": [i for i, _ in rows if shard[i] == s]}).sample(frac=1, random_state=11)["doc_id"]
+            zs, ns = z.copy(), n.copy()
+            M.ftrl_pass([(*(lambda f: (f[0], f[1].astype(np.float32)))(M.features(rows[i][1], bits)), i % 2) for i in own], zs, ns, p)
+            dz, dn = dz + zs - z, dn + ns - n
+        z, n = z + dz, n + dn
+    assert np.allclose(got, M._weights(z, n, p), atol=1e-6)
+    for r in M.score(docs, got, bits).collect():
+        slots, values = M.features(rows[r.doc_id][1], bits)
+        assert abs(r.score - 1 / (1 + np.exp(-(got[slots] @ values)))) < 1e-9
