@@ -39,9 +39,14 @@ from actlens.sources.scratch import materialize_bucketed
 #: Range number of a row, in order, and the number that stands for it in the bucketed table.
 _RANGE, _BUCKET = "_range", "_bucket"
 
+#: What :func:`_bucket_values` found, by number of buckets.
+_KNOWN: dict[int, list[int]] = {}
+
 
 def _bucket_values(df: DataFrame, n: int) -> list[int]:
     """``n`` numbers that fall into the buckets 0 to n-1 of an n-bucket table."""
+    if n in _KNOWN:
+        return _KNOWN[n]
     found: dict[int, int] = {}
     width = start = 16 * n + 64
     at = 0
@@ -51,13 +56,14 @@ def _bucket_values(df: DataFrame, n: int) -> list[int]:
         for value, bucket in enumerate(tried, at):
             found.setdefault(bucket, value)
         at, width = at + width, start
-    return [found[b] for b in range(n)]
+    _KNOWN[n] = [found[b] for b in range(n)]
+    return _KNOWN[n]
 
 
 def _ranged(df: DataFrame, keys: list[str], order: list[str], partitions: int | None) -> DataFrame:
     """The rows, range-partitioned on (keys, order) and written once, with their range number."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    values = F.array(*[F.lit(v) for v in _bucket_values(df, n)])
+    values = F.expr(f"array({', '.join(map(str, _bucket_values(df, n)))})")
     rows = df.repartitionByRange(n, *keys, *order).withColumn(_RANGE, F.spark_partition_id())
     return materialize_bucketed(rows.withColumn(_BUCKET, F.element_at(values, F.col(_RANGE) + 1)), n, _BUCKET, "ranged")
 

@@ -24,6 +24,9 @@ DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Without this, every column expression asks the JVM some six times for the
+    # line of Python it stands in; errors then name the expression only.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     # Checkpoints (range-partitioned numbering, materialised profiles) are
     # removed once nothing refers to them any more.
